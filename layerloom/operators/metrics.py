@@ -29,12 +29,13 @@ WORK_HOURS = (9, 18)
 HIGH_PRICE = 100
 
 
-def _days(df: DataFrame, dates: Sequence[str] | None) -> DataFrame:
-    """The reported days as DATE rows: the given ones, or every ``dt`` of the input."""
+def _given_days(df: DataFrame, dates: Sequence[str] | None) -> list[DataFrame]:
+    """The asked days, so that a day without rows is reported too."""
     if dates is None:
-        return df.select(F.col("dt").try_cast("date").alias("day")).filter("day is not null").distinct()
+        return []
     literals = F.array(*[F.lit(check_dt(d)).cast("date") for d in sorted(set(dates))])
-    return df.sparkSession.range(1).select(F.explode(literals).alias("day"))
+    days = df.sparkSession.range(1).select(F.explode(literals).alias("day"))
+    return [days.withColumn("reported", F.lit(1))]
 
 
 def _only(df: DataFrame, dates: Sequence[str] | None) -> DataFrame:
@@ -50,17 +51,15 @@ def _with_day(df: DataFrame) -> DataFrame:
     return df.withColumn("day", F.col("dt").try_cast("date")).filter("day is not null")
 
 
-def _sum_by_day(days: DataFrame, parts: Sequence[DataFrame], running: Sequence[str] = ()) -> DataFrame:
-    """Add up per-day parts, each with some of the columns, over the reported days.
+def _sum_by_day(parts: Sequence[DataFrame], running: Sequence[str] = ()) -> DataFrame:
+    """Add up per-day parts, each with some of the columns.
 
-    ``running`` columns become running totals. Parts may hold days that are not reported;
-    those only feed the totals.
+    ``running`` columns become running totals. Days without a ``reported`` row only feed the
+    totals and are left out.
     """
     columns = list(dict.fromkeys(c for p in parts for c in p.columns if c != "day"))
-    seed = days.withColumn("reported", F.lit(1))
-    joined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, seed)
-    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*columns, "reported")]
-    per_day = joined.groupBy("day").agg(*sums)
+    joined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    per_day = joined.groupBy("day").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
     if running:
         so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         per_day = per_day.select(
@@ -107,13 +106,14 @@ def order_daily_stats(
     known = F.col("order_id").isNotNull()
     order_part = per_order.select(
         "day",
+        F.lit(1).alias("reported"),
         "amount",
         _flag(known).alias("orders"),
         _flag(known & (F.col("valid") == 1)).alias("valid"),
         _flag(known & (F.col("night") == 1)).alias("night"),
     )
     user_part = _distinct_keys(orders, "user_id").select("day", F.lit(1).alias("users"))
-    per_day = _sum_by_day(_days(dwd_order, dates), [order_part, user_part])
+    per_day = _sum_by_day([order_part, user_part, *_given_days(dwd_order, dates)])
     amount, orders_n, users = F.col("amount"), F.col("orders"), F.col("users")
     return _report(
         per_day,
@@ -134,7 +134,8 @@ def user_daily_stats(
     dwd_user: DataFrame, dates: Sequence[str] | None = None, etl_time: str | None = None
 ) -> DataFrame:
     """New users, users so far, and the share of new users registered in working hours."""
-    users = _with_day(_until(dwd_user, dates)).filter("user_id is not null")
+    rows = _with_day(_until(dwd_user, dates))
+    users = rows.filter("user_id is not null")
     seen = users.groupBy("user_id").agg(F.min("day").alias("day")).select("day", F.lit(1).alias("total"))
     registered = users.select(
         "user_id",
@@ -144,7 +145,8 @@ def user_daily_stats(
     ).filter("loaded <= day")
     new = registered.groupBy("day", "user_id").agg(F.max("work").alias("work"))
     new = new.select("day", F.lit(1).alias("new"), "work")
-    per_day = _sum_by_day(_days(dwd_user, dates), [seen, new], running=["total"])
+    days = _given_days(dwd_user, dates) or [rows.select("day").distinct().withColumn("reported", F.lit(1))]
+    per_day = _sum_by_day([seen, new, *days], running=["total"])
     return _report(
         per_day,
         {
@@ -177,10 +179,12 @@ def product_daily_stats(
     )
     counts = first_days.select("f.*").filter("day is not null")
     prices = rows.groupBy("day").agg(F.sum(cents("price")).alias("price_cents"), F.count("price").alias("priced"))
+    if dates is None:
+        prices = prices.withColumn("reported", F.lit(1))
     created = products.select("product_id", F.col("day").alias("loaded"), day_of("create_time").alias("day"))
     new = _distinct_keys(created.filter("loaded <= day"), "product_id").select("day", F.lit(1).alias("new"))
     per_day = _sum_by_day(
-        _days(dwd_product, dates), [counts, prices, new], running=["total", "high", "price_cents", "priced"]
+        [counts, prices, new, *_given_days(dwd_product, dates)], running=["total", "high", "price_cents", "priced"]
     )
     total = F.col("total")
     average = average_price(F.col("price_cents"), F.col("priced"))
@@ -196,9 +200,8 @@ def product_daily_stats(
     )
 
 
-def _new_users_of_day(dwd_user: DataFrame, dates: Sequence[str] | None) -> DataFrame:
-    users = _with_day(_only(dwd_user, dates))
-    return users.filter(day_of("register_time") == F.col("day"))
+def _registered_today() -> Column:
+    return day_of("register_time") == F.col("day")
 
 
 def user_order_daily_stats(
@@ -211,17 +214,20 @@ def user_order_daily_stats(
 
     Active are the ordering users and the users registered that day. Every ordering user is
     active, so one flag per (day, user) answers both counts and no join is needed. Without
-    ``dates`` the days are those of both inputs.
+    ``dates`` the days are those of both inputs; a row of no active user only names its day.
     """
     ordering = _with_day(_only(dwd_order, dates)).select("day", "user_id", F.lit(1).alias("ordering"))
-    joined = _new_users_of_day(dwd_user, dates).select("day", "user_id", F.lit(0).alias("ordering"))
-    active = ordering.unionByName(joined).filter("user_id is not null")
-    per_user = active.groupBy("day", "user_id").agg(F.max("ordering").alias("ordering"))
-    part = per_user.select("day", "ordering", F.lit(1).alias("active"))
-    days = _days(dwd_order, dates)
-    if dates is None:
-        days = days.union(_days(dwd_user, dates)).distinct()
-    per_day = _sum_by_day(days, [part])
+    registered = F.when(_registered_today(), F.col("user_id")).alias("user_id")
+    joined = _with_day(_only(dwd_user, dates)).select("day", registered, F.lit(0).alias("ordering"))
+    per_user = ordering.unionByName(joined).groupBy("day", "user_id").agg(F.max("ordering").alias("ordering"))
+    known = F.col("user_id").isNotNull()
+    part = per_user.select(
+        "day",
+        F.lit(1).alias("reported"),
+        _flag(known & (F.col("ordering") == 1)).alias("ordering"),
+        _flag(known).alias("active"),
+    )
+    per_day = _sum_by_day([part, *_given_days(dwd_order, dates)])
     return _report(
         per_day,
         {
@@ -241,7 +247,7 @@ def active_user_orders(
     order keep NULLs, and a user with very many orders meets the join as one row.
     """
     orders = _with_day(_only(dwd_order, dates))
-    registered = _new_users_of_day(dwd_user, dates).select("day", "user_id")
+    registered = _with_day(_only(dwd_user, dates)).filter(_registered_today()).select("day", "user_id")
     active = orders.select("day", "user_id").union(registered).distinct()
     ordered = orders.groupBy("day", "user_id").agg(
         F.count(F.lit(1)).alias("order_rows"), F.sum(cents("total_amount")).alias("amount")

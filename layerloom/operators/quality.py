@@ -143,13 +143,15 @@ def _long(df: DataFrame, aggregates: Mapping[str, Column], name: str, value: str
 def foreign_key_orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Values of a foreign key without a parent row, and how many child rows hold them.
 
-    The child is counted per value before the anti join, so a hot value moves as one row and
-    the join reuses the partitioning of the count.
+    Both sides are counted per value in one aggregation instead of an anti join: the optimizer
+    would push that join under the count and shuffle every child row. This way a hot value
+    leaves each task as one row.
     """
-    held = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("key_value"))
-    held = held.agg(F.count(F.lit(1)).alias("row_count"))
-    known = parent.select(F.col(parent_key).alias("key_value"))
-    return held.join(known, "key_value", "left_anti")
+    held = child.select(F.col(column).alias("key_value"), F.lit(1).alias("child"), F.lit(0).alias("parent"))
+    known = parent.select(F.col(parent_key).alias("key_value"), F.lit(0).alias("child"), F.lit(1).alias("parent"))
+    counts = held.unionByName(known).filter("key_value is not null").groupBy("key_value")
+    counts = counts.agg(F.sum("child").alias("row_count"), F.max("parent").alias("parent"))
+    return counts.filter("parent = 0").select("key_value", "row_count")
 
 
 def declared_orphans(frames: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:

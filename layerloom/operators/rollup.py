@@ -38,14 +38,19 @@ def order_amounts(details: DataFrame, products: DataFrame) -> DataFrame:
 def amount_differences(orders: DataFrame, details: DataFrame, products: DataFrame) -> DataFrame:
     """Every order id of either side with both amounts and their difference.
 
-    Both sides are summed per order id first, so the full outer join meets at most one row
-    per key and side. A missing side has a NULL amount and counts as 0 in the difference.
+    Booked and detail amounts are added up per order id in one aggregation, which is a full
+    outer join of the two sums without sorting either side. A missing side has a NULL amount
+    and counts as 0 in the difference; amounts of repeated order ids are added.
     """
-    rolled = order_amounts(details, products).select("order_id", "order_amount")
-    booked = orders.groupBy("order_id").agg(F.sum(cents("total_amount")).alias("c"))
-    booked = booked.select("order_id", from_cents(F.col("c")).alias("total_amount"))
-    zero = F.lit(0).cast("decimal(16,2)")
-    difference = F.coalesce("total_amount", zero) - F.coalesce("order_amount", zero)
-    return booked.join(rolled, "order_id", "full").select(
-        "order_id", "total_amount", "order_amount", difference.cast("decimal(16,2)").alias("difference")
+    booked = orders.select("order_id", cents("total_amount").alias("booked"))
+    rolled = price_details(details, products)
+    rolled = rolled.select("order_id", cents("detail_amount").alias("rolled"))
+    both = booked.unionByName(rolled, allowMissingColumns=True).groupBy("order_id")
+    sums = both.agg(F.sum("booked").alias("booked"), F.sum("rolled").alias("rolled"))
+    difference = F.coalesce("booked", F.lit(0)) - F.coalesce("rolled", F.lit(0))
+    return sums.select(
+        "order_id",
+        from_cents(F.col("booked")).alias("total_amount"),
+        from_cents(F.col("rolled")).alias("order_amount"),
+        from_cents(difference).alias("difference"),
     )
