@@ -61,7 +61,8 @@ def merge_changes(
         ods = ods.filter(live)
 
     order_by = [c for c in ORDER_COLUMNS if c in ods.columns]
-    keys = ["dt", spec.key] if scope == "dt" else [spec.key]
+    # The key first: its values differ early, which makes the sort before the aggregate cheap.
+    keys = [spec.key, "dt"] if scope == "dt" else [spec.key]
     needed = dict.fromkeys([*keys, *order_by, *spec.detail_columns, "op_type", "dt"])
     newest = latest_rows(ods.select(*needed), keys, order_by)
     if delete_mode == "tombstone":
