@@ -1,0 +1,105 @@
+"""Shapes of the physical plans, and results under hot keys."""
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from harness.spark_queries import QUERIES
+from layerloom.operators import metrics, quality, rollup
+from layerloom.operators.clean import clean_orders
+from layerloom.operators.merge import merge_table
+from layerloom.schemas import ORDER
+from layerloom.session import scratch_path
+from layerloom.sinks.tables import append_partitions, read_partitions
+
+SF = "/root/testdata/sf0.001"
+STREAMED_OR_WRITTEN = {
+    "partition_files", "export_lines", "export_row_summary", "layered_run", "layered_run_orders",
+    "minute_order_stats", "stream_changelog_append", "stream_cdc_merge",
+}
+# Frames of one row per calendar day, or one row in all.
+SINGLE_TASK = {
+    "dws_user_stats", "dws_user_stats_repeated", "dws_product_stats", "export_user_trend", "export_product_trend",
+    "row_count_recon", "row_totals", "partition_presence", "domain_violations", "null_census",
+}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMED_OR_WRITTEN))
+def test_no_cross_join_python_or_single_task(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    for bad in ("CartesianProduct", "NestedLoopJoin", "Python", "ArrowEval"):
+        assert bad not in text
+    if name not in SINGLE_TASK:
+        assert "SinglePartition" not in text
+
+
+def test_cleansing_does_not_shuffle(spark):
+    for name in ("dwd_product", "dwd_order", "changelog_flatten", "config_ingest", "full_import", "delimited_text_parse"):
+        assert "Exchange" not in plan(QUERIES[name](spark, SF))
+
+
+def test_metrics_stay_in_the_hash_aggregate(spark):
+    for name in ("dws_order_stats", "dws_user_stats", "dws_product_stats", "dws_user_order", "order_amount_rollup", "fk_orphans"):
+        text = plan(QUERIES[name](spark, SF))
+        assert "SortAggregate" not in text and "Expand" not in text
+
+
+def test_a_day_reads_its_partition_and_columns_only(spark):
+    path = scratch_path(spark, "orders")
+    rows = [(i, i % 7, Decimal(i), 1, f"2024-01-0{1 + i % 5} 10:00:00", None, None, None, f"2024-01-0{1 + i % 5}") for i in range(50)]
+    append_partitions(spark.createDataFrame(rows, ORDER.ods_schema()), path)
+    ods = read_partitions(spark, path, ORDER.ods_schema())
+    text = plan(metrics.order_daily_stats(clean_orders(ods, "now"), ["2024-01-02"]))
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    assert len(scans) == 2
+    for scan in scans:
+        assert "PartitionFilters: [isnotnull(dt" in scan and "= 2024-01-02)" in scan
+        assert "update_time" not in scan and "op_ts" not in scan
+    history = plan(metrics.user_daily_stats(read_partitions(spark, path, ORDER.ods_schema()).withColumnRenamed("create_time", "register_time"), ["2024-01-02"]))
+    assert "<= 2024-01-02)" in history.split("PartitionFilters")[1]
+
+
+def hot(spark, n, name, share=0.4):
+    """Keys where one holds a large share of the rows."""
+    return spark.range(n).select(F.when(F.col("id") < n * share, 7).otherwise(F.col("id") % 500).cast("int").alias(name), "id")
+
+
+def test_hot_key_merge_moves_few_rows(spark):
+    df = hot(spark, 20_000, "user_id").select(
+        "user_id", F.col("id").cast("string").alias("username"), F.lit("r").alias("register_time"),
+        F.lit("UPDATE").alias("op_type"), F.format_string("%08d", "id").alias("op_ts"), F.lit("d").alias("dt"),
+    )
+    got = merge_table(df, "u_user")
+    assert plan(got).count("SortAggregate") == 2  # one before the exchange, one after
+    assert {r.user_id: r.username for r in got.collect()}[7] == "19507"
+    assert got.count() == 500
+
+
+def test_hot_user_and_day_metrics(spark):
+    df = hot(spark, 20_000, "user_id").select(
+        F.col("id").cast("int").alias("order_id"), "user_id", F.lit(Decimal("1.00")).cast("decimal(10,2)").alias("total_amount"),
+        F.lit(1).cast("tinyint").alias("order_status"), F.lit("2024-01-01 20:00:00").alias("create_time"), F.lit("2024-01-01").alias("dt"),
+    )
+    (row,) = metrics.order_daily_stats(df).collect()
+    assert (row.total_order_count, row.per_user_amount, row.night_order_rate) == (20_000, Decimal("40.00"), 1)
+
+
+def test_hot_foreign_key_and_product(spark):
+    details = hot(spark, 20_000, "product_id").select(
+        F.col("id").cast("int").alias("detail_id"), (F.col("id") % 100).cast("int").alias("order_id"), "product_id", F.lit(2).alias("quantity")
+    )
+    products = spark.range(8).select(F.col("id").cast("int").alias("product_id"), F.lit(Decimal("1.50")).cast("decimal(10,2)").alias("price"))
+    orphans = quality.foreign_key_orphans(details, "product_id", products, "product_id")
+    assert orphans.agg(F.sum("row_count")).first()[0] == details.filter("product_id > 7").count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        amounts = rollup.order_amounts(details, products)
+        assert "SortMergeJoin" in plan(amounts)
+        assert amounts.agg(F.sum("order_amount")).first()[0] == 3 * details.filter("product_id <= 7").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
