@@ -243,18 +243,20 @@ def active_user_orders(
 ) -> DataFrame:
     """Active users of each day left-joined to what they ordered that day.
 
-    The order side is restricted and summed per (day, user) before the join: users without an
-    order keep NULLs, and a user with very many orders meets the join as one row.
+    Users without an order have NULLs. The join is one aggregation per (day, user): a user is
+    active through an order or a registration, so both sides only have to be added up. An
+    unknown user counts as active but matches no order, as in an equi-join.
     """
-    orders = _with_day(_only(dwd_order, dates))
-    registered = _with_day(_only(dwd_user, dates)).filter(_registered_today()).select("day", "user_id")
-    active = orders.select("day", "user_id").union(registered).distinct()
-    ordered = orders.groupBy("day", "user_id").agg(
-        F.count(F.lit(1)).alias("order_rows"), F.sum(cents("total_amount")).alias("amount")
+    orders = _with_day(_only(dwd_order, dates)).select(
+        "day", "user_id", F.lit(1).alias("order_rows"), cents("total_amount").alias("amount")
     )
-    return active.join(ordered, ["day", "user_id"], "left").select(
+    registered = _with_day(_only(dwd_user, dates)).filter(_registered_today()).select("day", "user_id")
+    active = orders.unionByName(registered, allowMissingColumns=True).groupBy("day", "user_id")
+    added = active.agg(F.sum("order_rows").alias("order_rows"), F.sum("amount").alias("amount"))
+    known = F.col("user_id").isNotNull()
+    return added.select(
         "user_id",
-        "order_rows",
-        from_cents(F.col("amount"), AMOUNT).alias("order_amount"),
+        F.when(known, F.col("order_rows")).alias("order_rows"),
+        F.when(known, from_cents(F.col("amount"), AMOUNT)).alias("order_amount"),
         F.col("day").cast("string").alias("dt"),
     )

@@ -88,15 +88,17 @@ NOT_DATA = "_SUCCESS|_tmp|part-r-"
 
 
 def partition_files(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
-    """``(dt, data_files, bytes)`` per partition folder, from the file listing alone."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    """``(dt, data_files, bytes)`` per partition folder, from the file listing alone.
+
+    With ``dt`` only that folder, which has to exist, is listed.
+    """
+    folder = path if dt is None else f"{path}/dt={check_dt(dt)}"
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     files = listing.select(
         F.regexp_extract("path", r"/dt=([^/]+)/", 1).alias("dt"),
         F.element_at(F.split("path", "/"), -1).alias("name"),
         "length",
     ).filter(F.col("dt") != "")
-    if dt is not None:
-        files = files.filter(F.col("dt") == dt)
     data = files.filter(~F.col("name").rlike(NOT_DATA))
     return data.groupBy("dt").agg(F.count(F.lit(1)).alias("data_files"), F.sum("length").alias("bytes"))
 

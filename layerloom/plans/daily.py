@@ -10,6 +10,7 @@ import time
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,6 @@ from layerloom.operators.quality import (
     CountPair,
     created_on,
     partition_files,
-    partition_presence,
     row_count_check,
     row_counts,
 )
@@ -31,6 +31,7 @@ from layerloom.sinks.tables import (
     append_partitions,
     conform,
     overwrite_partition,
+    partition_exists,
     publish_partitions,
     read_partitions,
 )
@@ -58,12 +59,12 @@ class Warehouse:
     def dws_path(self, table: str) -> str:
         return f"{self.root}/dws/{table}"
 
-    def ods(self, table: str) -> DataFrame:
-        return read_partitions(self.spark, self.ods_path(table), SOURCE_TABLES[table].ods_schema())
+    def ods(self, table: str, dts: list[str] | None = None) -> DataFrame:
+        return read_partitions(self.spark, self.ods_path(table), SOURCE_TABLES[table].ods_schema(), dts=dts)
 
-    def dwd(self, table: str) -> DataFrame:
+    def dwd(self, table: str, dts: list[str] | None = None) -> DataFrame:
         spec = SOURCE_TABLES[table]
-        return read_partitions(self.spark, self.dwd_path(table), spec.dwd_schema(), spec.detail_format)
+        return read_partitions(self.spark, self.dwd_path(table), spec.dwd_schema(), spec.detail_format, dts)
 
     def dws(self, table: str) -> DataFrame:
         return read_partitions(self.spark, self.dws_path(table), dws_schema(table))
@@ -118,40 +119,48 @@ def check_counts(house: Warehouse, sources: Mapping[str, DataFrame], dt: str) ->
     for name, source in sources.items():
         if name == "o_order":
             source = created_on(source, "create_time", dt)
-        pairs.append(CountPair(name, source, house.ods(name).filter(F.col("dt") == dt)))
+        pairs.append(CountPair(name, source, house.ods(name, [dt])))
     return row_count_check(pairs)
 
 
 def check_partitions(house: Warehouse, tables: Iterable[str], dt: str) -> DataFrame:
-    """Presence and data files of the raw partition ``dt`` of every table."""
-    tables = list(tables)
-    present = partition_presence({t: house.ods(t) for t in tables}, [dt])
-    files = None
-    for t in tables:
-        found = partition_files(house.spark, house.ods_path(t), dt).select(
-            F.lit(t).alias("table_name"), "dt", "data_files"
-        )
-        files = found if files is None else files.unionByName(found)
-    joined = present.join(files, ["table_name", "dt"], "left")
-    return joined.select("table_name", "dt", "present", F.coalesce("data_files", F.lit(0)).alias("data_files"))
+    """Presence and data files of the raw partition ``dt`` of every table.
+
+    Both come from the folders, so an empty but written partition is present.
+    """
+    spark = house.spark
+    found = {t: partition_exists(spark, house.ods_path(t), dt) for t in tables}
+    expected = spark.createDataFrame([(t, dt, p) for t, p in found.items()], "table_name string, dt string, present boolean")
+    files = [
+        partition_files(spark, house.ods_path(t), dt).select(F.lit(t).alias("table_name"), "data_files")
+        for t, present in found.items()
+        if present
+    ]
+    none = spark.createDataFrame([], "table_name string, data_files bigint")
+    listed = reduce(DataFrame.unionByName, files, none)
+    counts = F.coalesce("data_files", F.lit(0)).alias("data_files")
+    return expected.join(listed, "table_name", "left").select("table_name", "dt", "present", counts)
 
 
 def clean_day(house: Warehouse, dt: str, etl_time: str) -> None:
     def one(name: str) -> None:
-        rows = CLEANERS[name](house.ods(name), etl_time, dt)
+        rows = CLEANERS[name](house.ods(name, [dt]), etl_time)
         overwrite_partition(rows, house.dwd_path(name), dt, SOURCE_TABLES[name].detail_format)
 
     _together(one, CLEANERS)
 
 
 def day_metrics(house: Warehouse, dates: list[str] | None, etl_time: str) -> dict[str, DataFrame]:
-    """The four metric frames for the given days, or for all days at once."""
-    users, products, orders = house.dwd("u_user"), house.dwd("p_product"), house.dwd("o_order")
+    """The four metric frames for the given days, or for all days at once.
+
+    Cumulative metrics read the history; the others read the given days only.
+    """
+    users_of_day, orders_of_day = house.dwd("u_user", dates), house.dwd("o_order", dates)
     return {
-        "dws_user_stats_di": topic.user_daily_stats(users, dates, etl_time),
-        "dws_product_stats_di": topic.product_daily_stats(products, dates, etl_time),
-        "dws_order_stats_di": topic.order_daily_stats(orders, dates, etl_time),
-        "dws_user_order_basic_di": topic.user_order_daily_stats(users, orders, dates, etl_time),
+        "dws_user_stats_di": topic.user_daily_stats(house.dwd("u_user"), dates, etl_time),
+        "dws_product_stats_di": topic.product_daily_stats(house.dwd("p_product"), dates, etl_time),
+        "dws_order_stats_di": topic.order_daily_stats(orders_of_day, dates, etl_time),
+        "dws_user_order_basic_di": topic.user_order_daily_stats(users_of_day, orders_of_day, dates, etl_time),
     }
 
 
@@ -212,7 +221,7 @@ def run_day(
         flow_seconds = round(time.monotonic() - started)
         reported = [flow_metrics(spark, dt, status, sync_seconds, flow_seconds)]
         if status["ods_sync"]:
-            counts = row_counts({t: house.ods(t).filter(F.col("dt") == dt) for t in sources})
+            counts = row_counts({t: house.ods(t, [dt]) for t in sources})
             reported.append(sync_metrics(counts, dt))
         house.run_metrics.purge(dt)
         house.run_metrics.report(reported, dt)

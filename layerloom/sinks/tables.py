@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,23 +59,42 @@ def clear_partitions(spark: SparkSession, path: str, dts: Iterable[str], schema:
         overwrite_partition(empty, path, dt, fmt)
 
 
-def read_partitions(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """A table with its declared schema, so that ``dt`` stays text. Empty if never written."""
-    try:
-        return spark.read.format(fmt).schema(schema).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+def _folder(spark: SparkSession, path: str):
+    """File system and path handle of a folder on the driver."""
+    handle = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return handle.getFileSystem(spark._jsc.hadoopConfiguration()), handle
+
+
+def partition_exists(spark: SparkSession, path: str, dt: str) -> bool:
+    """Whether the partition folder is there, with or without rows."""
+    system, folder = _folder(spark, partition_path(path, dt))
+    return system.exists(folder)
+
+
+def read_partitions(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", dts: Iterable[str] | None = None
+) -> DataFrame:
+    """A table with its declared schema, so that ``dt`` stays text. Empty if never written.
+
+    With ``dts`` only those partition folders are listed; reading a day of a table with years
+    of partitions would otherwise list all of them first.
+    """
+    if dts is None:
+        system, folder = _folder(spark, path)
+        folders = [path] if system.exists(folder) else []
+    else:
+        folders = [partition_path(path, dt) for dt in dts if partition_exists(spark, path, dt)]
+    if not folders:
         return spark.createDataFrame([], schema)
+    return spark.read.format(fmt).schema(schema).option("basePath", path).load(folders)
 
 
 def publish_partitions(spark: SparkSession, path: str, dts: Iterable[str], table: str | None = None) -> None:
     """Mark partitions finished and, for a catalog table, register them."""
     dts = list(dts)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for dt in dts:
-        marker = jvm.org.apache.hadoop.fs.Path(f"{partition_path(path, dt)}/{SUCCESS_FILE}")
-        marker.getFileSystem(conf).create(marker, True).close()
+        system, marker = _folder(spark, f"{partition_path(path, dt)}/{SUCCESS_FILE}")
+        system.create(marker, True).close()
     if table is not None:
         for dt in dts:
             spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (dt='{dt}')")

@@ -23,7 +23,6 @@ from layerloom.schemas import SOURCE_DATABASE, SOURCE_TABLES, TableSpec
 from layerloom.sinks.tables import (
     clear_partitions,
     overwrite_found_partitions,
-    partition_path,
     publish_partitions,
     read_partitions,
 )
@@ -71,11 +70,7 @@ def read_change_log(
     spark: SparkSession, job: CdcJob, spec: TableSpec, dts: Sequence[str] | None = None
 ) -> DataFrame:
     """The raw log of a table; with ``dts`` only the folders of those days are listed."""
-    path, schema = job.ods_path(spec), change_log_schema(spec)
-    if dts is None:
-        return read_partitions(spark, path, schema)
-    folders = [partition_path(path, dt) for dt in dts]
-    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    return read_partitions(spark, job.ods_path(spec), change_log_schema(spec), dts=dts)
 
 
 def append_changes(parsed: DataFrame, job: CdcJob, spec: TableSpec, load: str) -> list[str]:

@@ -87,6 +87,12 @@ def test_checks_of_a_day(spark, house, sources, rows):
     assert not any(r.present or r.data_files for r in other)
 
 
+def test_an_empty_source_is_no_missing_partition(spark, sources):
+    root = scratch_path(spark, "house")
+    status = daily.run_day(spark, root, dict(sources, o_order_detail=sources["o_order_detail"].limit(0)), DT, ETL)
+    assert all(status.values())
+
+
 def test_backfill_equals_daily_runs(house, rows):
     everything = daily.day_metrics(house, None, ETL)
     for table, df in everything.items():

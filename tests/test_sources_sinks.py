@@ -148,7 +148,18 @@ def test_partition_files(spark, rows):
     Path(path, "dt=2024-01-03", "x_tmp").write_text("x")
     Path(path, "dt=2024-01-03", "part-r-0").write_text("x")
     assert rows(quality.partition_files(spark, path), "dt", "data_files") == [("2024-01-01", 1)]
-    assert quality.partition_files(spark, path, "2024-01-02").count() == 0
+    assert quality.partition_files(spark, path, "2024-01-03").count() == 0
+    assert tables.partition_exists(spark, path, "2024-01-03")
+    assert not tables.partition_exists(spark, path, "2024-01-02")
+
+
+def test_reading_days_lists_only_those(spark, rows):
+    path = scratch_path(spark, "table")
+    tables.append_partitions(frame(spark, (1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03")), path)
+    some = tables.read_partitions(spark, path, SCHEMA, dts=["2024-01-01", "2024-01-03", "2030-01-01"])
+    assert rows(some) == [(1, "2024-01-01"), (3, "2024-01-03")]
+    assert not any("dt=2024-01-02" in name for name in some.inputFiles())
+    assert tables.read_partitions(spark, path, SCHEMA, dts=["2030-01-01"]).count() == 0
 
 
 def test_conform_checks_the_type(spark):
