@@ -278,7 +278,11 @@ ORACLES: dict[str, str] = {
     "dws_user_stats_repeated": with_views(
         ["ods_u_user_rows"], [("dwd", _dwd_user("ods_u_user_rows"))], _user_stats()
     ),
+    "dws_user_stats_digest": "select * from ("
+    + with_views(["ods_u_user_rows"], [("dwd", _dwd_user("ods_u_user_rows"))], _user_stats())
+    + f") where dt = '{RUN_DT}'",
     "dws_product_stats": DWS["dws_product_stats_di"],
+    "dws_product_stats_digest": f"select * from ({DWS['dws_product_stats_di']}) where dt = '{RUN_DT}'",
     "dws_user_order": DWS["dws_user_order_basic_di"],
     "active_user_orders": with_views(
         ["ods_u_user", "ods_o_order"],
@@ -431,7 +435,10 @@ ORACLES: dict[str, str] = {
         "union all select 'data_warehouse_success_rate', 'sqoop_ods_full_sync', 1)",
     ),
     "layered_run_orders": with_views(
-        ["ods_o_order"], [("dwd", _LAYERED_DWD)], _order_stats(f"select '{RUN_DT}' as dt")
+        ["ods_o_order"],
+        [("dwd", _LAYERED_DWD), ("stats", _order_stats(f"select '{RUN_DT}' as dt"))],
+        "select * replace (cast(total_order_count as int) as total_order_count, "
+        "cast(valid_order_count as int) as valid_order_count) from stats",
     ),
     "minute_order_stats": (
         "select strftime(w, '%Y-%m-%d %H:%M:%S') as window_start, "

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from harness.views import change_events, table, view
 from layerloom.functions.times import epoch_ms_text, to_epoch_ms
-from layerloom.operators import metrics, quality, rollup
+from layerloom.operators import history, metrics, quality, rollup
 from layerloom.operators.changelog import flatten_table, parse_events
 from layerloom.operators.clean import clean_orders, clean_products, clean_users
 from layerloom.operators.merge import merge_table
@@ -74,6 +74,22 @@ def dws_user_order(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.user_order_daily_stats(dwd_user(spark, sf), dwd_order(spark, sf), etl_time=ETL_TIME)
 
 
+def _digest_day(df: DataFrame, table: str) -> DataFrame:
+    """The metrics of one day from a digest of the days before a cut and one of those since."""
+    digest, stats = history.DIGESTS[table], history.STATS[table]
+    before = digest(df.filter(F.col("dt") < EXPORT_SINCE))
+    since = digest(df.filter(F.col("dt").between(EXPORT_SINCE, RUN_DT)))
+    return stats(history.merge_digests(before, since, SOURCE_TABLES[table].key), RUN_DT, ETL_TIME)
+
+
+def dws_user_stats_digest(spark: SparkSession, sf: str) -> DataFrame:
+    return _digest_day(dwd_user_rows(spark, sf), "u_user")
+
+
+def dws_product_stats_digest(spark: SparkSession, sf: str) -> DataFrame:
+    return _digest_day(dwd_product(spark, sf), "p_product")
+
+
 def dws_order_stats_one_day(spark: SparkSession, sf: str) -> DataFrame:
     """A reported day and one without any row, whose metrics are 0."""
     return metrics.order_daily_stats(dwd_order(spark, sf), [RUN_DT, "2030-01-01"], ETL_TIME)
@@ -366,7 +382,9 @@ QUERIES: dict[str, Query] = {
     "dws_order_stats_one_day": dws_order_stats_one_day,
     "dws_user_stats": dws_user_stats,
     "dws_user_stats_repeated": dws_user_stats_repeated,
+    "dws_user_stats_digest": dws_user_stats_digest,
     "dws_product_stats": dws_product_stats,
+    "dws_product_stats_digest": dws_product_stats_digest,
     "dws_user_order": dws_user_order,
     "active_user_orders": active_user_orders,
     "cdc_merge_user": _merge("ods_user_cdc", "u_user", scope="all"),

@@ -14,7 +14,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from layerloom.operators import history
 from layerloom.operators import metrics as topic
 from layerloom.operators.clean import CLEANERS
 from layerloom.operators.quality import (
@@ -30,7 +32,9 @@ from layerloom.schemas import SOURCE_TABLES, dws_schema
 from layerloom.sinks.tables import (
     append_partitions,
     conform,
+    drop_partition,
     overwrite_partition,
+    partition_days,
     partition_exists,
     publish_partitions,
     read_partitions,
@@ -66,6 +70,13 @@ class Warehouse:
         spec = SOURCE_TABLES[table]
         return read_partitions(self.spark, self.dwd_path(table), spec.dwd_schema(), spec.detail_format, dts)
 
+    def digest_path(self, table: str) -> str:
+        return f"{self.root}/digests/{table}"
+
+    def digest(self, table: str, dt: str) -> DataFrame:
+        schema = T.StructType.fromDDL(history.DIGEST_SCHEMAS[table] + ", dt string")
+        return read_partitions(self.spark, self.digest_path(table), schema, dts=[dt]).drop("dt")
+
     def dws(self, table: str) -> DataFrame:
         return read_partitions(self.spark, self.dws_path(table), dws_schema(table))
 
@@ -164,8 +175,41 @@ def day_metrics(house: Warehouse, dates: list[str] | None, etl_time: str) -> dic
     }
 
 
-def aggregate_day(house: Warehouse, dt: str, etl_time: str) -> None:
+def refresh_digest(house: Warehouse, table: str, dt: str) -> DataFrame:
+    """Write the history digest of ``dt`` from the latest earlier one and the days since.
+
+    Digests of later days are dropped: they contain the rows this run may have replaced.
+    """
+    spark, path, key = house.spark, house.digest_path(table), SOURCE_TABLES[table].key
+    for day in partition_days(spark, path):
+        if day > dt:
+            drop_partition(spark, path, day)
+    earlier = [day for day in partition_days(spark, path) if day < dt][-1:]
+    since = earlier[0] if earlier else ""
+    loaded = [day for day in partition_days(spark, house.dwd_path(table)) if since < day <= dt]
+    digest = history.DIGESTS[table](house.dwd(table, loaded))
+    if earlier:
+        digest = history.merge_digests(house.digest(table, since), digest, key)
+    overwrite_partition(digest, path, dt)
+    return house.digest(table, dt)
+
+
+def digest_metrics(house: Warehouse, dt: str, etl_time: str) -> dict[str, DataFrame]:
+    """The cumulative metric frames of one day, from refreshed digests."""
+    names = {"u_user": "dws_user_stats_di", "p_product": "dws_product_stats_di"}
+    frames = {}
+
+    def one(table: str) -> None:
+        frames[names[table]] = history.STATS[table](refresh_digest(house, table, dt), dt, etl_time)
+
+    _together(one, names)
+    return frames
+
+
+def aggregate_day(house: Warehouse, dt: str, etl_time: str, use_digests: bool = False) -> None:
     frames = day_metrics(house, [dt], etl_time)
+    if use_digests:
+        frames |= digest_metrics(house, dt, etl_time)
 
     def one(table: str) -> None:
         rows = conform(frames[table], dws_schema(table)).coalesce(1)
@@ -181,12 +225,14 @@ def run_day(
     dt: str | None = None,
     etl_time: str | None = None,
     strict_counts: bool = False,
+    use_digests: bool = False,
 ) -> dict[str, int]:
     """Run all layers for ``dt`` and record the run metrics; returns the status per step.
 
     A failing step stops the run; its status and those after it stay 0 and the error is
     raised once the metrics are stored. Missing partitions stop the run; count differences do
-    only with ``strict_counts``.
+    only with ``strict_counts``. ``use_digests`` computes the cumulative metrics from history
+    digests; it needs the detail layer to be written by these runs alone.
     """
     dt, etl_time = run_dt(dt), etl_time or now_text()
     house = Warehouse(spark, root)
@@ -206,7 +252,7 @@ def run_day(
         "row_check": count_step,
         "partition_check": partition_step,
         "dwd_clean": lambda: clean_day(house, dt, etl_time),
-        "dws_agg": lambda: aggregate_day(house, dt, etl_time),
+        "dws_agg": lambda: aggregate_day(house, dt, etl_time, use_digests),
     }
     status = dict.fromkeys(STEPS, 0)
     started = time.monotonic()

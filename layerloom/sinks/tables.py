@@ -71,6 +71,21 @@ def partition_exists(spark: SparkSession, path: str, dt: str) -> bool:
     return system.exists(folder)
 
 
+def partition_days(spark: SparkSession, path: str) -> list[str]:
+    """The ``dt`` values of a table's partition folders, in order; one per day."""
+    system, folder = _folder(spark, path)
+    if not system.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    return sorted(name.removeprefix("dt=") for name in names if name.startswith("dt="))
+
+
+def drop_partition(spark: SparkSession, path: str, dt: str) -> None:
+    """Remove a partition folder and its rows."""
+    system, folder = _folder(spark, partition_path(path, dt))
+    system.delete(folder, True)
+
+
 def read_partitions(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", dts: Iterable[str] | None = None
 ) -> DataFrame:

@@ -1,9 +1,12 @@
 """Change-log ingest: one stream, parsed once, fanned out to raw and detail tables.
 
 Every micro-batch appends its rows to the raw tables and then recomputes the latest rows of
-the partitions it touched. ``foreachBatch`` may run a batch again after a failure; raw rows
-are therefore written to a ``load`` folder named after query and batch, which a second run
-replaces, and detail partitions are overwritten.
+the partitions it touched. A merge reads the raw log of a whole day, so with large days and
+short triggers set ``merge_each_batch=False`` and run ``replay_day`` on a schedule.
+
+``foreachBatch`` may run a batch again after a failure; raw rows are therefore written to a
+``load`` folder named after query and batch, which a second run replaces, and detail
+partitions are overwritten.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ class CdcJob:
     dt_policy: str = "business_date"
     run_date: str | None = None
     etl_time: str | None = None
+    merge_each_batch: bool = True
     merge_options: dict = field(default_factory=dict)
 
     def ods_path(self, spec: TableSpec) -> str:
@@ -84,7 +88,8 @@ def append_changes(parsed: DataFrame, job: CdcJob, spec: TableSpec, load: str) -
     days = rows.filter("dt is not null").select("dt").distinct()
     touched = sorted(row["dt"] for row in days.collect())
     path = job.ods_path(spec)
-    overwrite_found_partitions(rows.withColumn("load", F.lit(load)), path, by=("dt", "load"))
+    # Spread by day: every task of a large batch would write a file into every day otherwise.
+    overwrite_found_partitions(rows.withColumn("load", F.lit(load)), path, by=("dt", "load"), spread=True)
     publish_partitions(rows.sparkSession, path, touched)
     return touched
 
@@ -115,7 +120,10 @@ def replay_day(spark: SparkSession, job: CdcJob, dt: str) -> None:
 
 
 def apply_batch(raw: DataFrame, job: CdcJob, load: str) -> None:
-    """One micro-batch: parse, keep bad events aside, then append and merge every table."""
+    """One micro-batch: parse, keep bad events aside, then append and merge every table.
+
+    Also takes a bounded read of the topic; ``load`` then names that read.
+    """
     spark = raw.sparkSession
     parsed = parse_events(with_position(raw)).persist()
     try:
@@ -124,7 +132,9 @@ def apply_batch(raw: DataFrame, job: CdcJob, load: str) -> None:
 
         def one_table(name: str) -> None:
             spec = SOURCE_TABLES[name]
-            merge_days(spark, job, spec, append_changes(parsed, job, spec, load))
+            touched = append_changes(parsed, job, spec, load)
+            if job.merge_each_batch:
+                merge_days(spark, job, spec, touched)
 
         _in_parallel(one_table, job.tables)
     finally:

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from layerloom.operators import metrics
+from layerloom.operators import history, metrics
 
 DAYS = [f"2024-01-{d:02d}" for d in range(1, 7)]
 ORDERS = "order_id int, user_id int, total_amount decimal(10,2), order_status tinyint, create_time string, dt string"
@@ -138,6 +138,18 @@ def user_order_day(users, orders, d):
     return {"order_user_count": len(ordering), "order_user_rate": half_up(len(ordering), len(active), 4)}
 
 
+def test_digests(spark, data):
+    users, products = spark.createDataFrame(data[1], USERS), spark.createDataFrame(data[2], PRODUCTS)
+    for early, late in ((DAYS[1], DAYS[3]), (DAYS[2], DAYS[5]), ("2023-12-31", DAYS[0])):
+        for df, key, digest, stats, want in (
+            (users, "user_id", history.user_digest, history.user_stats, user_day(data[1], late)),
+            (products, "product_id", history.product_digest, history.product_stats, product_day(data[2], late)),
+        ):
+            first = digest(df.filter(df.dt <= early))
+            rest = digest(df.filter((df.dt > early) & (df.dt <= late)))
+            assert by_dt(stats(history.merge_digests(first, rest, key), late)) == {late: want}
+
+
 def test_user_order_stats(spark, data):
     users, orders = spark.createDataFrame(data[1], USERS), spark.createDataFrame(data[0], ORDERS)
     got = by_dt(metrics.user_order_daily_stats(users, orders))

@@ -99,6 +99,36 @@ def test_backfill_equals_daily_runs(house, rows):
         assert rows(df.filter(F.col("dt") == DT)) == rows(daily.day_metrics(house, [DT], ETL)[table])
 
 
+def test_digests_equal_the_whole_history(spark, rows):
+    root = scratch_path(spark, "house")
+    house = daily.Warehouse(spark, root)
+    days = ["2024-01-10", "2024-01-12", "2024-01-20"]
+    tables = ("dws_user_stats_di", "dws_product_stats_di")
+
+    def write(day, seed):
+        made = synthetic.updated_tables(spark, day, seed=seed, users=30, products=20, orders=30, details=30, history_days=3)
+        for name in ("u_user", "p_product", "o_order"):
+            daily.overwrite_partition(daily.import_full(made[name], SOURCE_TABLES[name], day), house.ods_path(name), day)
+        daily.clean_day(house, day, ETL)
+
+    def check(day):
+        daily.aggregate_day(house, day, ETL, use_digests=True)
+        want = daily.day_metrics(house, [day], ETL)
+        for table in tables:
+            names = house.dws(table).columns
+            stored = house.dws(table).filter(F.col("dt") == day)
+            assert rows(stored) == rows(want[table].select(*names))
+
+    for n, day in enumerate(days):
+        write(day, n)
+        check(day)
+    assert daily.partition_days(spark, house.digest_path("u_user")) == days
+    write(days[1], 9)
+    check(days[1])
+    assert daily.partition_days(spark, house.digest_path("u_user")) == days[:2]
+    check(days[2])
+
+
 def test_incremental_import(spark, sources):
     house = daily.Warehouse(spark, scratch_path(spark, "house"))
     users = {"u_user": sources["u_user"]}

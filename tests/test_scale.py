@@ -20,7 +20,8 @@ STREAMED_OR_WRITTEN = {
 }
 # Frames of one row per calendar day, or one row in all.
 SINGLE_TASK = {
-    "dws_user_stats", "dws_user_stats_repeated", "dws_product_stats", "export_user_trend", "export_product_trend",
+    "dws_user_stats", "dws_user_stats_repeated", "dws_product_stats", "dws_user_stats_digest",
+    "dws_product_stats_digest", "export_user_trend", "export_product_trend",
     "row_count_recon", "row_totals", "partition_presence", "domain_violations", "null_census",
 }
 

@@ -102,6 +102,18 @@ def test_a_repeated_batch_changes_nothing(spark, rows):
     assert (rows(cdc.read_change_log(spark, job, USER)), detail_rows(spark, job, USER, rows)) == before
 
 
+def test_merging_later_gives_the_same(spark, rows):
+    later = cdc.CdcJob(scratch_path(spark, "cdc"), tables=("u_user",), etl_time="now", merge_each_batch=False)
+    now = cdc.CdcJob(scratch_path(spark, "cdc"), tables=("u_user",), etl_time="now")
+    for n, lines in enumerate(BATCHES):
+        for job in (later, now):
+            cdc.apply_batch(spark.createDataFrame([(line,) for line in lines], "value string"), job, f"q-{n}")
+    assert detail_rows(spark, later, USER, rows) == []
+    for dt in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        cdc.replay_day(spark, later, dt)
+    assert detail_rows(spark, later, USER, rows) == detail_rows(spark, now, USER, rows) != []
+
+
 def test_a_day_without_survivors_is_emptied(spark, rows):
     job = cdc.CdcJob(scratch_path(spark, "cdc"), tables=("u_user",), merge_options={"delete_mode": "tombstone"})
     for n, lines in enumerate(BATCHES):
