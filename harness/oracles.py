@@ -62,25 +62,28 @@ _ETL = f"'{ETL_TIME}' as etl_time"
 def _order_stats(days: str) -> str:
     """Metrics per day of ``days`` from ``dwd``; a day without rows gives zeros."""
     return f"""
-select n as total_order_count, {_scaled("cents", 2, "decimal(16,2)")} as total_order_amount,
+select n as total_order_count, {_scaled("coalesce(cents, 0)", 2, "decimal(16,2)")} as total_order_amount,
        {_money("cents", "n")} as avg_order_amount, valid as valid_order_count,
        {_rate("valid", "n")} as valid_order_rate, {_rate("night", "n")} as night_order_rate,
        {_money("cents", "users")} as per_user_amount, {_ETL}, dt
-from (select d.dt, count(distinct order_id) as n, coalesce(cast(sum(total_amount) * 100 as hugeint), 0) as cents,
-             count(distinct case when order_status = 1 then order_id end) as valid,
-             count(distinct case when hour(cast(create_time as timestamp)) between 18 and 23 then order_id end) as night,
+from (select d.dt, count(distinct order_id) as n, cast(sum(total_amount) * 100 as hugeint) as cents,
+             count(distinct order_id) filter (order_status = 1) as valid,
+             count(distinct order_id) filter (create_time[12:13] >= '18') as night,
              count(distinct user_id) as users
-      from ({days}) d left join dwd on dwd.dt = d.dt group by d.dt)"""
+      from ({days}) d left join dwd using (dt) group by d.dt)"""
+
+
+_DAY_OF = "cast({0} as timestamp)::date = cast({1} as date)"
 
 
 def _user_stats() -> str:
-    new = "cast(cast(register_time as timestamp) as date) = cast(d.dt as date)"
+    new = _DAY_OF.format("register_time", "d.dt")
     return f"""
 select fresh as new_user_count, total as total_user_count, {_rate("working", "fresh")} as workhour_register_rate,
        {_ETL}, dt
-from (select d.dt, count(distinct case when {new} then user_id end) as fresh, count(distinct user_id) as total,
-             count(distinct case when {new} and hour(cast(register_time as timestamp)) between 9 and 18
-                                 then user_id end) as working
+from (select d.dt, count(distinct user_id) as total, count(distinct user_id) filter ({new}) as fresh,
+             count(distinct user_id) filter ({new} and register_time[12:13] in
+               ('09', '10', '11', '12', '13', '14', '15', '16', '17', '18')) as working
       from (select distinct dt from dwd) d join dwd on dwd.dt <= d.dt group by d.dt)"""
 
 
@@ -92,17 +95,15 @@ select total as total_product_count,
        cast(case when total = 0 then 0 else {average} end as decimal(10,2)) as avg_product_price,
        {_rate("high", "total")} as high_price_rate, fresh as new_product_count, {_ETL}, dt
 from (select d.dt, count(distinct product_id) as total, cast(sum(price) * 100 as hugeint) as cents,
-             count(price) as priced, count(distinct case when price >= 100 then product_id end) as high,
-             count(distinct case when cast(cast(create_time as timestamp) as date) = cast(d.dt as date)
-                                 then product_id end) as fresh
+             count(price) as priced, count(distinct product_id) filter (price >= 100) as high,
+             count(distinct product_id) filter ({_DAY_OF.format("create_time", "d.dt")}) as fresh
       from (select distinct dt from dwd) d join dwd on dwd.dt <= d.dt group by d.dt)"""
 
 
-_ACTIVE = """
-select distinct dt, user_id from dwd_order
+_ACTIVE = f"""
+select dt, user_id from dwd_order
 union
-select distinct dt, user_id from dwd_user
-where cast(cast(register_time as timestamp) as date) = cast(dt as date)"""
+select dt, user_id from dwd_user where {_DAY_OF.format("register_time", "dt")}"""
 
 
 def _user_order() -> str:
@@ -110,8 +111,7 @@ def _user_order() -> str:
 select ordering as order_user_count, {_rate("ordering", "active")} as order_user_rate, {_ETL}, dt
 from (select d.dt, count(distinct o.user_id) as ordering, count(distinct a.user_id) as active
       from (select dt from dwd_order union select dt from dwd_user) d
-      left join active a on a.dt = d.dt
-      left join dwd_order o on a.user_id = o.user_id and o.dt = a.dt
+      left join active a using (dt) left join dwd_order o on o.dt = a.dt and o.user_id = a.user_id
       group by d.dt)"""
 
 

@@ -108,18 +108,21 @@ def order_daily_stats(
         "day",
         F.lit(1).alias("reported"),
         "amount",
+        _flag(F.col("amount").isNotNull()).alias("with_amount"),
         _flag(known).alias("orders"),
         _flag(known & (F.col("valid") == 1)).alias("valid"),
         _flag(known & (F.col("night") == 1)).alias("night"),
     )
     user_part = _distinct_keys(orders, "user_id").select("day", F.lit(1).alias("users"))
     per_day = _sum_by_day([order_part, user_part, *_given_days(dwd_order, dates)])
-    amount, orders_n, users = F.col("amount"), F.col("orders"), F.col("users")
+    orders_n, users = F.col("orders"), F.col("users")
+    # A day whose amounts are all missing has the amount 0 but no average.
+    amount = F.when(F.col("with_amount") > 0, F.col("amount"))
     return _report(
         per_day,
         {
             "total_order_count": orders_n,
-            "total_order_amount": from_cents(amount, AMOUNT),
+            "total_order_amount": from_cents(F.col("amount"), AMOUNT),
             "avg_order_amount": half_up_ratio(amount, orders_n, 2, AMOUNT, num_scale=2),
             "valid_order_count": F.col("valid"),
             "valid_order_rate": half_up_ratio(F.col("valid"), orders_n, 4, RATE),

@@ -29,6 +29,20 @@ def build_session(app_name: str = "layerloom", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def cluster_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Start values for a job whose largest shuffle holds about ``shuffle_bytes``.
+
+    Shuffles start with partitions of about 128 MB, at least two per core, and AQE merges
+    small ones; scans read 256 MB per task.
+    """
+    partition = 128 * 1024**2
+    return {
+        "spark.sql.shuffle.partitions": str(max(2 * cores, -(-shuffle_bytes // partition))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition),
+        "spark.sql.files.maxPartitionBytes": str(2 * partition),
+    }
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediates.
 

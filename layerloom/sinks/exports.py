@@ -36,7 +36,10 @@ def export_csv(frames: Mapping[str, DataFrame], folder: str, since: str) -> None
 
 
 def export_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """``(table_name, row_count)`` of the exported files that hold rows."""
+    """``(table_name, row_count)`` of every exported table, 0 for one without rows."""
     lines = spark.read.text(f"{folder}/*")
     name = F.element_at(F.split(F.input_file_name(), "/"), -2)
-    return lines.groupBy(name.alias("table_name")).agg(F.count(F.lit(1)).alias("row_count"))
+    counted = lines.groupBy(name.alias("table_name")).agg(F.count(F.lit(1)).alias("row_count"))
+    names = F.array(*[F.lit(n) for n in EXPORT_COLUMNS])
+    tables = spark.range(1).select(F.explode(names).alias("table_name"), F.lit(0).cast("bigint").alias("row_count"))
+    return tables.unionByName(counted).groupBy("table_name").agg(F.sum("row_count").alias("row_count"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from layerloom.functions import numbers, rules, times
 from layerloom.params import check_dt, check_policy, run_dt
-from layerloom.session import scratch_path
+from layerloom.session import cluster_settings, scratch_path
 
 
 def test_normalise_time(spark, rows):
@@ -132,6 +132,12 @@ def test_run_parameters():
         check_policy("today")
 
 
+def test_cluster_settings():
+    big = cluster_settings(10 * 1024**4, cores=4000)
+    assert big["spark.sql.shuffle.partitions"] == "81920"
+    assert cluster_settings(1, cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(f"{shared}/x-")

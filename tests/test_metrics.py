@@ -85,6 +85,13 @@ def test_order_stats(spark, data):
     assert by_dt(metrics.order_daily_stats(df, asked)) == {d: order_day(data[0], d) for d in asked}
 
 
+def test_a_day_without_amounts_has_no_average(spark):
+    df = spark.createDataFrame([(1, 7, None, 1, "2024-01-01 10:00:00", "2024-01-01")], ORDERS)
+    row = by_dt(metrics.order_daily_stats(df))["2024-01-01"]
+    assert (row["total_order_amount"], row["avg_order_amount"], row["per_user_amount"]) == (0, None, None)
+    assert (row["total_order_count"], row["valid_order_rate"]) == (1, 1)
+
+
 def test_order_stats_of_another_state(spark, data):
     df = spark.createDataFrame(data[0], ORDERS)
     got = by_dt(metrics.order_daily_stats(df, valid_status=2))

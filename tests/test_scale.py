@@ -104,3 +104,26 @@ def test_hot_foreign_key_and_product(spark):
         assert amounts.agg(F.sum("order_amount")).first()[0] == 3 * details.filter("product_id <= 7").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_product_is_split_across_tasks(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    details = hot(spark, 50_000, "product_id", 0.7).select(
+        F.col("id").cast("int").alias("detail_id"), (F.col("id") % 100).cast("int").alias("order_id"), "product_id", F.lit(2).alias("quantity")
+    )
+    products = spark.range(500).select(F.col("id").cast("int").alias("product_id"), F.lit(Decimal("1.50")).cast("decimal(10,2)").alias("price"))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        amounts = rollup.order_amounts(details.repartition(8), products)
+        assert sum(r.order_amount for r in amounts.collect()) == 3 * 50_000
+        assert "SortMergeJoin(skew=true)" in plan(amounts)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

@@ -182,6 +182,8 @@ def test_exports(spark, rows):
     assert rows(exports.export_summary(spark, folder)) == [(n, 2) for n in sorted(frames)]
     (file,) = Path(folder, "dws_order_stats_di").glob("*.csv")
     assert file.read_text() == "2024-01-02,1,0.50\n2024-01-03,1,0.50\n"
+    exports.export_csv(frames, folder, "2025-01-01")
+    assert rows(exports.export_summary(spark, folder)) == [(n, 0) for n in sorted(frames)]
 
 
 @pytest.mark.parametrize("make", [synthetic.random_tables, synthetic.updated_tables])
