@@ -1,10 +1,12 @@
 """Run registered queries on Spark and their SQL in DuckDB, and compare the rows.
 
-Usage: ``python -m harness.compare [sf_dir] [query ...]``
+Usage: ``python -m harness.compare [sf_dir] [query ...]``; ``COMPARE_ZONE`` sets the session
+time zone, on which no result may depend.
 """
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from collections import Counter
@@ -56,6 +58,8 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if zone := os.environ.get("COMPARE_ZONE"):
+        local["spark.sql.session.timeZone"] = zone
     spark = build_session("compare", "local[8]", **local)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

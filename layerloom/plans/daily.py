@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerloom.jobs import run_together
 from layerloom.operators import history
 from layerloom.operators import metrics as topic
 from layerloom.operators.clean import CLEANERS
@@ -89,13 +89,6 @@ class Warehouse:
         return MarkStore(self.spark, f"{self.root}/marks")
 
 
-def _together(work: Callable[[str], None], names: Iterable[str]) -> None:
-    names = list(names)
-    with ThreadPoolExecutor(max_workers=len(names)) as pool:
-        for done in [pool.submit(work, name) for name in names]:
-            done.result()
-
-
 def import_day(house: Warehouse, sources: Mapping[str, DataFrame], dt: str) -> None:
     """Full snapshots of all sources into the raw partition ``dt``."""
 
@@ -104,7 +97,7 @@ def import_day(house: Warehouse, sources: Mapping[str, DataFrame], dt: str) -> N
         overwrite_partition(rows, house.ods_path(name), dt)
         publish_partitions(house.spark, house.ods_path(name), [dt])
 
-    _together(one, sources)
+    run_together(one, sources)
 
 
 def import_changes(house: Warehouse, sources: Mapping[str, DataFrame], dt: str, now: str | None = None) -> None:
@@ -121,7 +114,7 @@ def import_changes(house: Warehouse, sources: Mapping[str, DataFrame], dt: str,
         append_partitions(rows, house.ods_path(name))
         house.marks.advance(name, now)
 
-    _together(one, sources)
+    run_together(one, sources)
 
 
 def check_counts(house: Warehouse, sources: Mapping[str, DataFrame], dt: str) -> DataFrame:
@@ -158,7 +151,7 @@ def clean_day(house: Warehouse, dt: str, etl_time: str) -> None:
         rows = CLEANERS[name](house.ods(name, [dt]), etl_time)
         overwrite_partition(rows, house.dwd_path(name), dt, SOURCE_TABLES[name].detail_format)
 
-    _together(one, CLEANERS)
+    run_together(one, CLEANERS)
 
 
 def day_metrics(house: Warehouse, dates: list[str] | None, etl_time: str) -> dict[str, DataFrame]:
@@ -202,7 +195,7 @@ def digest_metrics(house: Warehouse, dt: str, etl_time: str) -> dict[str, DataFr
     def one(table: str) -> None:
         frames[names[table]] = history.STATS[table](refresh_digest(house, table, dt), dt, etl_time)
 
-    _together(one, names)
+    run_together(one, names)
     return frames
 
 
@@ -215,7 +208,7 @@ def aggregate_day(house: Warehouse, dt: str, etl_time: str, use_digests: bool =
         rows = conform(frames[table], dws_schema(table)).coalesce(1)
         overwrite_partition(rows, house.dws_path(table), dt)
 
-    _together(one, frames)
+    run_together(one, frames)
 
 
 def run_day(

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerloom.jobs import run_together
 from layerloom.params import check_dt
 
 # Exported columns of each metric table.
@@ -31,8 +32,12 @@ def trend(df: DataFrame, table: str, since: str) -> DataFrame:
 
 def export_csv(frames: Mapping[str, DataFrame], folder: str, since: str) -> None:
     """One headerless CSV per metric table; a table has one row per day, so one file holds it."""
-    for table, df in frames.items():
-        trend(df, table, since).coalesce(1).write.mode("overwrite").csv(f"{folder}/{table}", header=False)
+
+    def one(table: str) -> None:
+        rows = trend(frames[table], table, since).coalesce(1)
+        rows.write.mode("overwrite").csv(f"{folder}/{table}", header=False)
+
+    run_together(one, frames)
 
 
 def export_summary(spark: SparkSession, folder: str) -> DataFrame:

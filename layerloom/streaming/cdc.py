@@ -11,8 +11,7 @@ partitions are overwritten.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from layerloom.jobs import run_together
 from layerloom.operators.changelog import bad_events, flatten_table, parse_events
 from layerloom.operators.merge import merge_table
 from layerloom.schemas import SOURCE_DATABASE, SOURCE_TABLES, TableSpec
@@ -136,19 +136,11 @@ def apply_batch(raw: DataFrame, job: CdcJob, load: str) -> None:
             if job.merge_each_batch:
                 merge_days(spark, job, spec, touched)
 
-        _in_parallel(one_table, job.tables)
+        run_together(one_table, job.tables)
     finally:
         parsed.unpersist()
 
 
-def _in_parallel(work: Callable[[str], None], names: Iterable[str]) -> None:
-    """Submit the Spark jobs of independent tables together; the first failure is raised."""
-    names = list(names)
-    with ThreadPoolExecutor(max_workers=len(names)) as pool:
-        for done in [pool.submit(work, name) for name in names]:
-            done.result()
-
-
 def start_ingest(raw: DataFrame, job: CdcJob, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Start the ingest of a streaming frame with a ``value`` column.
 

@@ -41,7 +41,7 @@ def test_incremental_window_is_half_open(source, rows):
 
 def test_read_options():
     plain = relational.read_options("jdbc:x", "u_user", user="me")
-    assert plain == {"url": "jdbc:x", "dbtable": "u_user", "fetchsize": "10000", "user": "me"}
+    assert plain == {"url": "jdbc:x", "dbtable": "u_user", "fetchsize": "10000", "preferTimestampNTZ": "true", "user": "me"}
     split = relational.read_options("jdbc:x", "u_user", "user_id", (1, 900), 8)
     assert (split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("1", "900", "8")
     with pytest.raises(ValueError):
