@@ -147,7 +147,12 @@ def check_partitions(house: Warehouse, tables: Iterable[str], dt: str) -> DataFr
 
 
 def clean_day(house: Warehouse, dt: str, etl_time: str) -> None:
+    """Replace the detail partitions of ``dt`` and drop the history digests that hold them."""
+
     def one(name: str) -> None:
+        for day in partition_days(house.spark, house.digest_path(name)):
+            if day >= dt:
+                drop_partition(house.spark, house.digest_path(name), day)
         rows = CLEANERS[name](house.ods(name, [dt]), etl_time)
         overwrite_partition(rows, house.dwd_path(name), dt, SOURCE_TABLES[name].detail_format)
 
@@ -169,14 +174,8 @@ def day_metrics(house: Warehouse, dates: list[str] | None, etl_time: str) -> dic
 
 
 def refresh_digest(house: Warehouse, table: str, dt: str) -> DataFrame:
-    """Write the history digest of ``dt`` from the latest earlier one and the days since.
-
-    Digests of later days are dropped: they contain the rows this run may have replaced.
-    """
+    """Write the history digest of ``dt`` from the latest earlier one and the days since."""
     spark, path, key = house.spark, house.digest_path(table), SOURCE_TABLES[table].key
-    for day in partition_days(spark, path):
-        if day > dt:
-            drop_partition(spark, path, day)
     earlier = [day for day in partition_days(spark, path) if day < dt][-1:]
     since = earlier[0] if earlier else ""
     loaded = [day for day in partition_days(spark, house.dwd_path(table)) if since < day <= dt]
@@ -225,7 +224,7 @@ def run_day(
     A failing step stops the run; its status and those after it stay 0 and the error is
     raised once the metrics are stored. Missing partitions stop the run; count differences do
     only with ``strict_counts``. ``use_digests`` computes the cumulative metrics from history
-    digests; it needs the detail layer to be written by these runs alone.
+    digests; it needs the detail layer to be written by ``clean_day`` alone.
     """
     dt, etl_time = run_dt(dt), etl_time or now_text()
     house = Warehouse(spark, root)

@@ -46,6 +46,10 @@ class CdcJob:
     merge_each_batch: bool = True
     merge_options: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        if self.merge_options.get("scope", "dt") != "dt":
+            raise ValueError("a stream merge recomputes days, so its scope is 'dt'")
+
     def ods_path(self, spec: TableSpec) -> str:
         return f"{self.root}/ods/{spec.ods_name}"
 

@@ -86,6 +86,7 @@ def test_restart_goes_on_from_the_checkpoint(spark, rows, tmp_path):
     assert cdc.read_change_log(spark, job, USER).count() == 6
     loads = {r.load for r in cdc.read_change_log(spark, job, USER).select("load").distinct().collect()}
     assert len(loads) == 3
+    assert all(len(load) > 36 for load in loads)  # a query id and a batch number
     ingest(spark, tmp_path / "in", job, str(tmp_path / "ck"))
     assert cdc.read_change_log(spark, job, USER).count() == 6
 
@@ -131,6 +132,11 @@ def test_position_orders_changes_of_the_same_millisecond(spark, rows):
     assert detail_rows(spark, job, USER, rows) == [(1, "late", "2024-01-01 08:00:00", "2024-01-01")]
 
 
+def test_a_stream_merge_works_on_days():
+    with pytest.raises(ValueError):
+        cdc.CdcJob("x", merge_options={"scope": "all"})
+
+
 def test_append_only_stream(spark, rows, tmp_path):
     for n, lines in enumerate(BATCHES):
         put(tmp_path / "in", n, lines)
