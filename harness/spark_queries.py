@@ -332,17 +332,20 @@ def metric_lines(spark: SparkSession, sf: str) -> DataFrame:
     return runlog.text_lines(runlog.distinct_lines(reported.unionByName(reported)))
 
 
+_METRIC_FRAMES: dict[str, Query] = {
+    "dws_order_stats_di": dws_order_stats,
+    "dws_user_stats_di": dws_user_stats,
+    "dws_product_stats_di": dws_product_stats,
+    "dws_user_order_basic_di": dws_user_order,
+}
+
+
 def _metric_frames(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {
-        "dws_order_stats_di": dws_order_stats(spark, sf),
-        "dws_user_stats_di": dws_user_stats(spark, sf),
-        "dws_product_stats_di": dws_product_stats(spark, sf),
-        "dws_user_order_basic_di": dws_user_order(spark, sf),
-    }
+    return {name: query(spark, sf) for name, query in _METRIC_FRAMES.items()}
 
 
 def _trend(name: str) -> Query:
-    return lambda spark, sf: trend(_metric_frames(spark, sf)[name], name, EXPORT_SINCE)
+    return lambda spark, sf: trend(_METRIC_FRAMES[name](spark, sf), name, EXPORT_SINCE)
 
 
 def export_lines(spark: SparkSession, sf: str) -> DataFrame:

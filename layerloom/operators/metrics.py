@@ -46,6 +46,11 @@ def _until(df: DataFrame, dates: Sequence[str] | None) -> DataFrame:
     return df if dates is None else df.filter(F.col("dt") <= max(dates))
 
 
+def _asked(dates: Sequence[str] | None) -> Column:
+    """Whether ``day`` is reported: other days need no per-key rows of their own."""
+    return F.lit(True) if dates is None else F.col("day").isin(*[F.lit(d).cast("date") for d in dates])
+
+
 def _with_day(df: DataFrame) -> DataFrame:
     """Adds ``dt`` as a DATE: unlike text it fits the fixed-width aggregation buffer."""
     return df.withColumn("day", F.col("dt").try_cast("date")).filter("day is not null")
@@ -145,7 +150,7 @@ def user_daily_stats(
         F.col("day").alias("loaded"),
         day_of("register_time").alias("day"),
         _flag(hour_of("register_time").between(*WORK_HOURS)).alias("work"),
-    ).filter("loaded <= day")
+    ).filter((F.col("loaded") <= F.col("day")) & _asked(dates))
     new = registered.groupBy("day", "user_id").agg(F.max("work").alias("work"))
     new = new.select("day", F.lit(1).alias("new"), "work")
     days = _given_days(dwd_user, dates) or [rows.select("day").distinct().withColumn("reported", F.lit(1))]
@@ -185,7 +190,8 @@ def product_daily_stats(
     if dates is None:
         prices = prices.withColumn("reported", F.lit(1))
     created = products.select("product_id", F.col("day").alias("loaded"), day_of("create_time").alias("day"))
-    new = _distinct_keys(created.filter("loaded <= day"), "product_id").select("day", F.lit(1).alias("new"))
+    created = created.filter((F.col("loaded") <= F.col("day")) & _asked(dates))
+    new = _distinct_keys(created, "product_id").select("day", F.lit(1).alias("new"))
     per_day = _sum_by_day(
         [counts, prices, new, *_given_days(dwd_product, dates)], running=["total", "high", "price_cents", "priced"]
     )
