@@ -33,6 +33,7 @@ from layerloom.sinks.tables import (
     append_partitions,
     conform,
     drop_partition,
+    overwrite_found_partitions,
     overwrite_partition,
     partition_days,
     partition_exists,
@@ -210,6 +211,16 @@ def aggregate_day(house: Warehouse, dt: str, etl_time: str, use_digests: bool =
     run_together(one, frames)
 
 
+def backfill_metrics(house: Warehouse, etl_time: str) -> None:
+    """Recompute the metrics of every day of the detail layer in one pass per table."""
+    frames = day_metrics(house, None, etl_time)
+
+    def one(table: str) -> None:
+        overwrite_found_partitions(conform(frames[table], dws_schema(table)), house.dws_path(table), spread=True)
+
+    run_together(one, frames)
+
+
 def run_day(
     spark: SparkSession,
     root: str,

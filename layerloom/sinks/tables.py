@@ -110,9 +110,9 @@ def publish_partitions(spark: SparkSession, path: str, dts: Iterable[str], table
     for dt in dts:
         system, marker = _folder(spark, f"{partition_path(path, dt)}/{SUCCESS_FILE}")
         system.create(marker, True).close()
-    if table is not None:
-        for dt in dts:
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (dt='{dt}')")
+    if table is not None and dts:
+        partitions = " ".join(f"PARTITION (dt='{dt}')" for dt in dts)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partitions}")
 
 
 def register_table(spark: SparkSession, table: str, path: str, schema: T.StructType, fmt: str = "parquet") -> None:
