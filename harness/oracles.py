@@ -233,6 +233,7 @@ def _lines(name: str) -> str:
 
 
 _LINES = " union all ".join(_lines(n) for n in _TRENDS)
+_EXPORTED = " union all ".join(f"select '{n}' as table_name" for n in _TRENDS)
 
 
 def _nulls() -> str:
@@ -423,7 +424,9 @@ ORACLES: dict[str, str] = {
     "export_product_trend": _trend("dws_product_stats_di"),
     "export_user_order_trend": _trend("dws_user_order_basic_di"),
     "export_lines": _LINES,
-    "export_row_summary": f"select table_name, count(*) as row_count from ({_LINES}) group by table_name",
+    # Every exported file is listed, one without lines as 0.
+    "export_row_summary": f"select t.table_name, count(l.line) as row_count from ({_EXPORTED}) t "
+    f"left join ({_LINES}) l using (table_name) group by t.table_name",
     "layered_run": with_views(
         _ALL_ODS,
         [("daily", _DAILY)],

@@ -17,7 +17,7 @@ from layerloom.plans import daily
 from layerloom.schemas import DWS_SPECS, SOURCE_TABLES
 from layerloom.session import build_session
 from layerloom.sinks.exports import export_csv, export_summary
-from layerloom.sources.relational import read_table
+from layerloom.sources.relational import database_counts, read_table
 from layerloom.sources.topics import stream_files, stream_topic
 from layerloom.streaming.cdc import CdcJob, replay_day, start_ingest
 
@@ -65,6 +65,10 @@ def _sources(spark: SparkSession, source: str, partitions: int) -> dict[str, Dat
     return {name: spark.read.parquet(f"{source}/{name}") for name in SOURCE_TABLES}
 
 
+def _source_counts(spark: SparkSession, source: str, dt: str) -> DataFrame | None:
+    return database_counts(spark, source, dt) if source.startswith("jdbc:") else None
+
+
 def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     job = CdcJob(
         args.root,
@@ -83,15 +87,25 @@ def main(argv: Sequence[str] | None = None) -> None:
     house = daily.Warehouse(spark, args.root)
     if args.command == "run-day":
         sources = _sources(spark, args.source, args.partitions)
-        options = {"strict_counts": args.strict_counts, "use_digests": args.use_digests}
-        for step, status in daily.run_day(spark, args.root, sources, args.dt, **options).items():
-            print(step, status)
+        dt = run_dt(args.dt)
+        status = daily.run_day(
+            spark,
+            args.root,
+            sources,
+            dt,
+            strict_counts=args.strict_counts,
+            use_digests=args.use_digests,
+            source_counts=_source_counts(spark, args.source, dt),
+        )
+        for step, done in status.items():
+            print(step, done)
     elif args.command == "import-changes":
         daily.import_changes(house, _sources(spark, args.source, args.partitions), run_dt(args.dt))
     elif args.command == "check":
         sources = _sources(spark, args.source, args.partitions)
-        daily.check_counts(house, sources, run_dt(args.dt)).show(truncate=False)
-        daily.check_partitions(house, sources, run_dt(args.dt)).show(truncate=False)
+        dt = run_dt(args.dt)
+        daily.check_counts(house, sources, dt, _source_counts(spark, args.source, dt)).show(truncate=False)
+        daily.check_partitions(house, sources, dt).show(truncate=False)
     elif args.command == "backfill":
         daily.backfill_metrics(house, now_text())
     elif args.command == "export":

@@ -49,8 +49,14 @@ def total_rows(counts: DataFrame) -> DataFrame:
 
 def row_count_check(pairs: Sequence[CountPair], tolerance_pct: float = TOLERANCE_PCT) -> DataFrame:
     """Source and target counts by table, their difference in percent, and whether it passes."""
-    source = row_counts({p.table: p.source for p in pairs}).withColumnRenamed("row_count", "src")
-    target = row_counts({p.table: p.target for p in pairs}).withColumnRenamed("row_count", "tgt")
+    source = row_counts({p.table: p.source for p in pairs})
+    return compare_counts(source, row_counts({p.table: p.target for p in pairs}), tolerance_pct)
+
+
+def compare_counts(source: DataFrame, target: DataFrame, tolerance_pct: float = TOLERANCE_PCT) -> DataFrame:
+    """``row_count_check`` of two frames of counts by table."""
+    source = source.withColumnRenamed("row_count", "src")
+    target = target.withColumnRenamed("row_count", "tgt")
     both = source.join(target, "table_name")
     empty = F.when(F.col("tgt") == 0, F.lit(0.0)).otherwise(F.lit(100.0))
     share = F.abs(F.col("tgt") - F.col("src")).cast("double") / F.nullif("src", F.lit(0)) * 100

@@ -20,10 +20,9 @@ from layerloom.operators import history
 from layerloom.operators import metrics as topic
 from layerloom.operators.clean import CLEANERS
 from layerloom.operators.quality import (
-    CountPair,
+    compare_counts,
     created_on,
     partition_files,
-    row_count_check,
     row_counts,
 )
 from layerloom.params import now_text, run_dt
@@ -118,14 +117,19 @@ def import_changes(house: Warehouse, sources: Mapping[str, DataFrame], dt: str,
     run_together(one, sources)
 
 
-def check_counts(house: Warehouse, sources: Mapping[str, DataFrame], dt: str) -> DataFrame:
-    """Source rows against the raw partition; of orders only those created on ``dt``."""
-    pairs = []
-    for name, source in sources.items():
-        if name == "o_order":
-            source = created_on(source, "create_time", dt)
-        pairs.append(CountPair(name, source, house.ods(name, [dt])))
-    return row_count_check(pairs)
+def check_counts(
+    house: Warehouse, sources: Mapping[str, DataFrame], dt: str, source_counts: DataFrame | None = None
+) -> DataFrame:
+    """Source rows against the raw partition; of orders only those created on ``dt``.
+
+    ``source_counts``, such as ``database_counts``, saves reading the sources again.
+    """
+    if source_counts is None:
+        counted = dict(sources)
+        if "o_order" in counted:
+            counted["o_order"] = created_on(counted["o_order"], "create_time", dt)
+        source_counts = row_counts(counted)
+    return compare_counts(source_counts, row_counts({name: house.ods(name, [dt]) for name in sources}))
 
 
 def check_partitions(house: Warehouse, tables: Iterable[str], dt: str) -> DataFrame:
@@ -229,6 +233,7 @@ def run_day(
     etl_time: str | None = None,
     strict_counts: bool = False,
     use_digests: bool = False,
+    source_counts: DataFrame | None = None,
 ) -> dict[str, int]:
     """Run all layers for ``dt`` and record the run metrics; returns the status per step.
 
@@ -241,7 +246,7 @@ def run_day(
     house = Warehouse(spark, root)
 
     def count_step() -> None:
-        failed = check_counts(house, sources, dt).filter("not passed")
+        failed = check_counts(house, sources, dt, source_counts).filter("not passed")
         if strict_counts and not failed.isEmpty():
             raise CheckFailed(f"row counts differ on {dt}")
 

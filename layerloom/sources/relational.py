@@ -6,12 +6,16 @@ window predicate are plain DataFrame operations, which Spark pushes into the sou
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerloom.functions.times import time_text
-from layerloom.schemas import TableSpec
+from layerloom.params import check_dt
+from layerloom.schemas import ORDER, SOURCE_TABLES, TableSpec
 
 
 def read_options(
@@ -40,11 +44,35 @@ def read_options(
     return options
 
 
-def key_bounds(spark: SparkSession, options: dict[str, str], key: str) -> tuple[int, int] | None:
-    """Smallest and greatest key; the two aggregates are pushed to the database."""
-    source = spark.read.format("jdbc").options(**options).option("pushDownAggregate", "true").load()
-    low, high = source.agg(F.min(key), F.max(key)).first()
-    return None if low is None else (low, high)
+def _ask(spark: SparkSession, query: str, options: dict[str, str]) -> DataFrame:
+    """A query the database answers itself, so that only its result travels."""
+    rest = {k: v for k, v in options.items() if k != "dbtable"}
+    return spark.read.format("jdbc").options(**rest).option("query", query).load()
+
+
+def bounds_query(spec: TableSpec) -> str:
+    return f"SELECT MIN({spec.key}) AS low_key, MAX({spec.key}) AS high_key FROM {spec.name}"
+
+
+def count_query(spec: TableSpec, dt: str | None = None) -> str:
+    """Row count of a table, with ``dt`` only of rows created on that day."""
+    query = f"SELECT COUNT(*) AS row_count FROM {spec.name}"
+    if dt is None:
+        return query
+    after = date.fromisoformat(check_dt(dt)) + timedelta(days=1)
+    column = spec.time_column
+    return f"{query} WHERE {column} >= '{dt} 00:00:00' AND {column} < '{after} 00:00:00'"
+
+
+def database_counts(spark: SparkSession, url: str, dt: str, **extra: str) -> DataFrame:
+    """``(table_name, row_count)`` of all source tables; of orders only those created on ``dt``."""
+    counts = [
+        _ask(spark, count_query(spec, dt if spec is ORDER else None), read_options(url, spec.name, **extra)).select(
+            F.lit(name).alias("table_name"), F.col("row_count").cast("bigint").alias("row_count")
+        )
+        for name, spec in SOURCE_TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def read_table(
@@ -53,9 +81,9 @@ def read_table(
     """A source table over JDBC, read in ``num_partitions`` ranges of its integer key."""
     options = read_options(url, spec.name, **extra)
     if num_partitions > 1:
-        bounds = key_bounds(spark, options, spec.key)
-        if bounds is not None:
-            options = read_options(url, spec.name, spec.key, bounds, num_partitions, **extra)
+        low, high = _ask(spark, bounds_query(spec), options).first()
+        if low is not None:
+            options = read_options(url, spec.name, spec.key, (low, high), num_partitions, **extra)
     return spark.read.format("jdbc").options(**options).load()
 
 

@@ -81,6 +81,9 @@ def test_strict_counts(spark, sources, monkeypatch):
 
 def test_checks_of_a_day(spark, house, sources, rows):
     assert [r.passed for r in daily.check_counts(house, sources, DT).collect()] == [True] * 4
+    counts = spark.createDataFrame([(n, 1 if n == "u_user" else df.count()) for n, df in sources.items()], "table_name string, row_count bigint")
+    given = {r.table_name: r.passed for r in daily.check_counts(house, sources, DT, counts).collect()}
+    assert given == {"u_user": False, "p_product": True, "o_order": True, "o_order_detail": True}
     found = daily.check_partitions(house, sources, DT).collect()
     assert all(r.present and r.data_files > 0 for r in found) and len(found) == 4
     other = daily.check_partitions(house, sources, "2024-02-02").collect()

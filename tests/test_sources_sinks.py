@@ -48,6 +48,14 @@ def test_read_options():
         relational.read_options("jdbc:x", "u_user", num_partitions=4)
 
 
+def test_questions_to_the_database():
+    assert relational.bounds_query(USER) == "SELECT MIN(user_id) AS low_key, MAX(user_id) AS high_key FROM u_user"
+    assert relational.count_query(USER) == "SELECT COUNT(*) AS row_count FROM u_user"
+    assert relational.count_query(ORDER, "2024-02-29").endswith(
+        "WHERE create_time >= '2024-02-29 00:00:00' AND create_time < '2024-03-01 00:00:00'"
+    )
+
+
 def test_topic_options():
     options = topics.topic_options("h:1", "changes", maxOffsetsPerTrigger="5")
     assert options["startingOffsets"] == "earliest"
