@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -67,6 +68,11 @@ def read_short_config(line: str, topic: str = "") -> IngestConfig:
     return IngestConfig(table, topic, target, fields)
 
 
+def read_configs(lines: Iterable[str]) -> list[IngestConfig]:
+    """All full lines; empty ones and those starting with # are skipped."""
+    return [read_config(line) for line in lines if line.strip() and not line.startswith("#")]
+
+
 def ingest(parsed: DataFrame, config: IngestConfig, rows: str = "first", database: str | None = SOURCE_DATABASE) -> DataFrame:
     """Typed rows of the configured table with ``op_type, op_ts, dt`` (the change day)."""
     events = parsed.filter(F.col("table") == config.table)

@@ -11,7 +11,7 @@ partitions are overwritten.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +29,7 @@ from layerloom.sinks.tables import (
     publish_partitions,
     read_partitions,
 )
+from layerloom.sources.field_list import IngestConfig, ingest
 
 _POSITION = [("src_partition", "int"), ("src_offset", "bigint")]
 
@@ -152,14 +153,46 @@ def start_ingest(raw: DataFrame, job: CdcJob, checkpoint: str, trigger: dict | N
     checkpoint never replaces loads of an older one.
     """
 
+    return _start_loads(raw, lambda batch, load: apply_batch(batch, job, load), checkpoint, trigger)
+
+
+def _start_loads(
+    raw: DataFrame, apply: Callable[[DataFrame, str], None], checkpoint: str, trigger: dict | None
+) -> StreamingQuery:
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        apply_batch(batch, job, f"{query_id}-{batch_id}")
+        apply(batch, f"{query_id}-{batch_id}")
 
     writer = raw.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "1 minute"})).start()
 
 
+def start_configured(
+    raw: DataFrame,
+    configs: Sequence[IngestConfig],
+    root: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    **options,
+) -> StreamingQuery:
+    """Append the configured tables of one topic to ``root/<target>``, partitioned by change day."""
+    by_target = {config.target: config for config in configs}
+
+    def apply(batch: DataFrame, load: str) -> None:
+        parsed = parse_events(batch).persist()
+        try:
+
+            def one_target(target: str) -> None:
+                rows = ingest(parsed, by_target[target], **options).withColumn("load", F.lit(load))
+                overwrite_found_partitions(rows, f"{root}/{target}", by=("dt", "load"), spread=True)
+
+            run_together(one_target, by_target)
+        finally:
+            parsed.unpersist()
+
+    return _start_loads(raw, apply, checkpoint, trigger)
+
+
 def start_append(
     raw: DataFrame, spec: TableSpec, path: str, checkpoint: str, trigger: dict | None = None, **options
 ) -> StreamingQuery:

@@ -11,7 +11,7 @@ from layerloom.operators.clean import clean_orders
 from layerloom.operators.merge import merge_table
 from layerloom.schemas import ORDER
 from layerloom.session import scratch_path
-from layerloom.sinks.tables import append_partitions, read_partitions
+from layerloom.sinks.tables import append_partitions, overwrite_found_partitions, read_partitions
 
 SF = "/root/testdata/sf0.001"
 STREAMED_OR_WRITTEN = {
@@ -106,6 +106,23 @@ def test_hot_foreign_key_and_product(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_day_is_written_by_several_tasks(spark):
+    path = scratch_path(spark, "days")
+    day = F.when(F.col("id") % 10 < 6, "2024-01-01").otherwise(F.concat(F.lit("2024-01-0"), F.col("id") % 8 + 2))
+    df = spark.range(0, 200_000, 1, 8).select("id", F.xxhash64("id").alias("v"), day.alias("dt"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500KB")
+    try:
+        overwrite_found_partitions(df, path, spread=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {r.dt: r.data_files for r in quality.partition_files(spark, path).collect()}
+    hot_files = files.pop("2024-01-01")
+    assert hot_files > 1
+    # A day in the same shuffle partition as the hot one is split with it, the others are not.
+    assert 1 in files.values() and max(files.values()) <= hot_files
+    assert spark.read.parquet(path).count() == 200_000
+
+
 def test_hot_product_is_split_across_tasks(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",

@@ -11,6 +11,7 @@ from layerloom.operators.merge import merge_table
 from layerloom.schemas import ORDER, ORDER_DETAIL, USER
 from layerloom.session import scratch_path
 from layerloom.sinks.tables import read_partitions
+from layerloom.sources.field_list import read_configs
 from layerloom.sources.topics import stream_files
 from layerloom.streaming import cdc
 from layerloom.streaming.windows import minute_order_stats, with_event_time
@@ -150,6 +151,32 @@ def test_append_only_stream(spark, rows, tmp_path):
     assert rows(got.groupBy("dt").count()) == [("2024-01-01", 4), ("2024-01-02", 2)]
 
 
+def test_configured_tables(spark, rows, tmp_path):
+    for n, lines in enumerate(BATCHES):
+        put(tmp_path / "in", n, lines)
+    configs = read_configs([
+        "# skipped",
+        "",
+        "u_user|changes|my_users|id:INT:user_id,name:STRING:username",
+        "o_order|changes|my_orders|id:BIGINT:order_id,amount:DECIMAL(12,1):total_amount",
+    ])
+    root = scratch_path(spark, "configured")
+    for _ in range(2):
+        raw = stream_files(spark, str(tmp_path / "in"))
+        cdc.start_configured(raw, configs, root, str(tmp_path / "ck"), {"availableNow": True}).awaitTermination()
+    users = spark.read.parquet(f"{root}/my_users")
+    assert sorted(users.columns) == ["dt", "id", "load", "name", "op_ts", "op_type"]
+    assert rows(users.select(F.col("dt").cast("string"), "id", "name", "op_type")) == [
+        ("2024-01-01", 1, "a1", "INSERT"),
+        ("2024-01-01", 1, "a2", "UPDATE"),
+        ("2024-01-01", 2, "b1", "INSERT"),
+        ("2024-01-01", 2, "b2", "DELETE"),
+        ("2024-01-02", 3, "c1", "INSERT"),
+        ("2024-01-02", 3, "c2", "DELETE"),
+    ]
+    assert rows(spark.read.parquet(f"{root}/my_orders"), "id", "amount") == [(1, Decimal("-5.0"))]
+
+
 def order_lines(*seconds):
     return [json.dumps({"ts": BASE + int(s * 1000), "amount": 1.5}) for s in seconds]
 
