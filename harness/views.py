@@ -31,7 +31,7 @@ select case when user_id % 41 = 0 then null else cast(user_id as int) end as use
        substr(cast(ts as string), 1, 19) as register_time,
        substr(cast(ts as string), 1, 19) as update_time,
        substr(cast(ts as string), 1, 10) as dt
-from events where event_type in ('signup', 'view')""",
+from events""",
     ),
     "ods_p_product": (
         "part",
