@@ -5,21 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerloom.llm.bloom_cascade import judge_urls
 from layerloom.llm.common import table
+from layerloom.llm.cross_polytope import neighbours
 from layerloom.llm.mixing import mix
+from layerloom.llm.secrets import scan_secrets, secret_digest
+from layerloom.llm.topk import top_k
+
+
+def op1_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(scan_secrets(table(spark, sf_dir, "documents")))
+
+
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_judge_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_scan_secrets": op1_scan_secrets,
+    "op2_top_k": op2_top_k,
     "op5_mix_sources": op5_mix_sources,
+    "op7_neighbours": op7_neighbours,
     "op10_judge_urls": op10_judge_urls,
 }

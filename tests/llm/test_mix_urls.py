@@ -1,0 +1,78 @@
+"""Mixing and url filters: edge rows; the whole tables are compared in test_queries."""
+
+from pyspark.sql import functions as F
+
+from layerloom.llm.bloom_cascade import build_cascade, judge_urls, key_hashes
+from layerloom.llm.mixing import mix
+
+DOCS = "doc_id long, text string, source string, size long, target double"
+
+
+def test_mix_meets_budgets_on_odd_rows(spark):
+    rows = [(i, "w " * (i % 7), f"s{i % 3}", 9, 1.0) for i in range(60)]
+    rows += [(None, "a b", None, 0, 0.0)] * 5 + [(7, "x y z", "s1", 0, 0.0)] * 40 + [(1000, None, "empty", 0, 0.0), (1001, "big " * 30_000, "s2", 0, 0.0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for range_rows in (1024, 2):
+        got = mix(docs, range_rows=range_rows).collect()
+        assert len(got) == len(rows)
+        by = {}
+        for r in got:
+            s = by.setdefault(r["source_size"], [0, 0, r["target"]])
+            s[0] += r["size"]
+            s[1] += r["taken"]
+            assert 0 <= r["taken"] <= 3 * r["size"]
+        for size, (sizes, taken, target) in by.items():
+            assert size == sizes and taken == round(target)
+        assert sum(t for _, t, _ in by.values()) == sum(s for s, _, _ in by.values())
+        again = mix(docs.repartition(5), range_rows=range_rows).collect()
+        assert sorted(map(repr, again)) == sorted(map(repr, got))
+
+
+def test_mix_of_nothing(spark):
+    assert mix(spark.createDataFrame([], DOCS)).collect() == []
+    assert [r["taken"] for r in mix(spark.createDataFrame([(1, None, None, 1, 1.0)], DOCS)).collect()] == [0]
+
+
+def test_cascade_is_exact_in_one_and_many_shards(spark):
+    universe = spark.range(3000).select(F.concat(F.lit("k"), F.col("id")).alias("key"))
+    universe = universe.unionByName(universe).unionByName(spark.createDataFrame([(None,)], "key string"))
+    listed = spark.range(0, 3300, 11).select(F.concat(F.lit("k"), F.col("id")).alias("key"))
+    for shard_keys in (1_000_000, 50):
+        cascade = build_cascade(universe, listed, shard_keys)
+        assert (cascade.shards == 1) == (shard_keys > 1000)
+        keys = universe.select("key", *key_hashes(F.col("key"))).withColumns({h: F.when(F.col("key").isNotNull(), F.col(h)) for h in ("h1", "h2")})
+        got = cascade.test(keys, "h1", "h2", "hit").collect()
+        assert len(got) == 6001
+        assert all(r["hit"] == (r["key"] is not None and int(r["key"][1:]) % 11 == 0) for r in got)
+
+
+def test_cascade_of_nothing(spark):
+    none = spark.createDataFrame([], "key string")
+    keys = spark.createDataFrame([("a",)], "key string")
+    for universe, listed, want in ((keys, none, False), (none, keys, True), (keys, keys, True)):
+        cascade = build_cascade(universe, listed)
+        assert [r["hit"] for r in cascade.test(keys.select(*key_hashes(F.col("key"))), "h1", "h2", "hit").collect()] == [want]
+
+
+def test_urls(spark):
+    cases = {
+        None: ("", "", None, "allow"),
+        "no scheme/spam": ("", "", None, "allow"),
+        "": ("", "", None, "allow"),
+        "http://A.Example.NET/en/x?y#z": ("a.example.net", "/en/x", "example.net/en/", "allow"),
+        "http://example.net/de/": ("example.net", "/de/", "net/", "block"),
+        "http://badexample.net/en/": ("badexample.net", "/en/", "net/", "block"),
+        "http://net": ("net", "", None, "allow"),
+        "x://spam-farm.org?a=http://b.net/": ("spam-farm.org", "", None, "block"),
+        "x://spam-farm.org/fr/": ("spam-farm.org", "/fr/", "org/fr/", "allow"),
+        "https://m.example.com/de/1": ("m.example.com", "/de/1", "example.com/de/", "block"),
+        "://h\n/p\nq": ("h\n", "/p\nq", None, "allow"),
+        "http://É.com/" + "a" * 100_000: ("É.com", "/" + "a" * 100_000, None, "allow"),
+    }
+    rows = [(i, u, "r", "h") for i, u in enumerate(cases)] + [(0, None, "r", "h"), (None, "http://net/", None, None)]
+    got = judge_urls(spark.createDataFrame(rows, "page_id long, url string, rule string, host string")).collect()
+    assert len(got) == len(rows)
+    want = list(cases.values())
+    for r in got:
+        expected = ("net", "/", "net/", "block") if r["page_id"] is None else want[r["page_id"]]
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == expected
