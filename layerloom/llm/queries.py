@@ -11,6 +11,8 @@ from layerloom.llm.bloom_cascade import judge_urls
 from layerloom.llm.common import table
 from layerloom.llm.cross_polytope import neighbours
 from layerloom.llm.mixing import mix
+from layerloom.llm.pieces import encode_documents
+from layerloom.llm.quality import rate_documents
 from layerloom.llm.secrets import scan_secrets, secret_digest
 from layerloom.llm.topk import top_k
 
@@ -23,6 +25,14 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op3_encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_rate_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -38,6 +48,8 @@ def op10_judge_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_scan_secrets": op1_scan_secrets,
     "op2_top_k": op2_top_k,
+    "op3_encode_pieces": op3_encode_pieces,
+    "op4_rate_quality": op4_rate_quality,
     "op5_mix_sources": op5_mix_sources,
     "op7_neighbours": op7_neighbours,
     "op10_judge_urls": op10_judge_urls,
