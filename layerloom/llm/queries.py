@@ -11,6 +11,7 @@ from layerloom.llm.bloom_cascade import judge_urls
 from layerloom.llm.common import table
 from layerloom.llm.cross_polytope import neighbours
 from layerloom.llm.mixing import mix
+from layerloom.llm.partenum import join_documents
 from layerloom.llm.pieces import encode_documents
 from layerloom.llm.quality import rate_documents
 from layerloom.llm.secrets import scan_secrets, secret_digest
@@ -37,6 +38,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_join_shingles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_encode_pieces": op3_encode_pieces,
     "op4_rate_quality": op4_rate_quality,
     "op5_mix_sources": op5_mix_sources,
+    "op6_join_shingles": op6_join_shingles,
     "op7_neighbours": op7_neighbours,
     "op10_judge_urls": op10_judge_urls,
 }
