@@ -88,6 +88,31 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = 0, rang
     return each.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
 
 
+def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = 0) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, with the columns of ``docs``.
+
+    A row that the cut divides comes once more with its first words, joined by single spaces; ``n_chars``
+    follows if there is one. Rows with equal id, source and size are told apart by the hash of their text.
+    """
+    same = ("doc_id", "source", "size")
+    turn = F.row_number().over(Window.partitionBy(*same).orderBy("__order"))
+    rows = docs.withColumns({"__size": word_count(F.col("text")), "__order": F.xxhash64("text")})
+    rows = rows.withColumn("__turn", F.row_number().over(Window.partitionBy("doc_id", "source", "__size").orderBy("__order")))
+    taken = mix(docs, weights, seed).withColumn("__order", F.col("taken")).withColumn("turn", turn)
+    taken = taken.filter("taken > 0").select(*[F.col(c).alias(f"__t_{c}") for c in (*same, "turn")], F.col("taken").alias("__taken"))
+    met = rows["doc_id"].eqNullSafe(taken["__t_doc_id"]) & rows["source"].eqNullSafe(taken["__t_source"])
+    met = met & (rows["__size"] == taken["__t_size"]) & (rows["__turn"] == taken["__t_turn"])
+    each = rows.join(taken, met).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size")))))
+    words = F.least("__size", F.col("__taken") - (F.col("__copy") - 1) * F.col("__size"))
+    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), words.cast("int")), " ")
+    whole = words == F.col("__size")
+    out = each.withColumn("__part", F.when(~whole, part))
+    changed = {"text": F.coalesce("__part", "text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.coalesce(F.length("__part").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return out.withColumns(changed).select(docs.columns)
+
+
 def _before(value, window: Window) -> Column:
     return F.coalesce(F.sum(value).over(window), F.lit(0).cast("long"))
 

@@ -35,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerloom.llm.common import shuffle_partitions, written
@@ -524,3 +524,16 @@ def join_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     of_class = least.join(names, "root").select(F.col("key").alias("__key"), "component_id")
     placed = rows.join(of_class, F.col("key") == F.col("__key"), "left")
     return placed.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def drop_copies(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """``docs`` with one row of each component: the one with its least id.
+
+    Of rows with that id one stays, the same in every run. Rows without an id stay, as nothing names them.
+    """
+    found = join_documents(docs, limits)
+    leads = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.length("text"))
+    named = docs.filter(F.col("doc_id").isNotNull()).join(leads, "doc_id", "left_semi")
+    one = named.withColumn("__row", F.row_number().over(first)).filter(F.col("__row") == 1).drop("__row")
+    return one.select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
