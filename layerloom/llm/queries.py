@@ -13,6 +13,7 @@ from layerloom.llm.cross_polytope import neighbours
 from layerloom.llm.mixing import mix
 from layerloom.llm.partenum import join_documents
 from layerloom.llm.pieces import encode_documents
+from layerloom.llm.pitman_yor import score_documents
 from layerloom.llm.quality import rate_documents
 from layerloom.llm.secrets import scan_secrets, secret_digest
 from layerloom.llm.topk import top_k
@@ -46,6 +47,10 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op9_score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_judge_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -58,5 +63,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix_sources": op5_mix_sources,
     "op6_join_shingles": op6_join_shingles,
     "op7_neighbours": op7_neighbours,
+    "op9_score_documents": op9_score_documents,
     "op10_judge_urls": op10_judge_urls,
 }
