@@ -16,6 +16,7 @@ from layerloom.llm.pieces import encode_documents
 from layerloom.llm.pitman_yor import score_documents
 from layerloom.llm.quality import rate_documents
 from layerloom.llm.secrets import scan_secrets, secret_digest
+from layerloom.llm.surrogates import replace_documents
 from layerloom.llm.topk import top_k
 
 
@@ -47,6 +48,10 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op8_replace_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix_sources": op5_mix_sources,
     "op6_join_shingles": op6_join_shingles,
     "op7_neighbours": op7_neighbours,
+    "op8_replace_entities": op8_replace_entities,
     "op9_score_documents": op9_score_documents,
     "op10_judge_urls": op10_judge_urls,
 }
