@@ -178,8 +178,8 @@ def signatures(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def sketch(shingle_set: np.ndarray) -> bytes:
-    """Parities of hashed counts, at least two bits an element, a power of two of bytes."""
-    bits = max(64, 1 << int(2 * len(shingle_set) - 1).bit_length())
+    """Parities of hashed counts, at least four bits an element, a power of two of bytes."""
+    bits = max(64, 1 << int(4 * len(shingle_set) - 1).bit_length())
     odd = np.bincount((shingle_set & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -472,26 +472,48 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(enough).select("a", "b")
 
 
+def _allowed_pairs(key, root, n, bits, at, lists, name: int, inner: bool) -> tuple[list[int], list[int]]:
+    """Pairs of one block of a group, across roots, that sketches allow.
+
+    Groups overlap, so a pair is given only where ``name`` is the least group that both have.
+    """
+    size = np.array([len(b) for b in bits])
+    folded = {}
+    for m in np.unique(size):
+        folded[m] = np.zeros((len(size), m // 8), U64)
+        for i in np.flatnonzero(size >= m):
+            folded[m][i] = fold(np.frombuffer(bits[i], np.uint8), m).view(U64)
+    one, two = [], []
+    for x in range(len(key)):
+        rest = np.arange(x + 1, len(key))
+        rest = rest[(root[rest] != root[x]) & sizes_fit(n[rest], n[x]) & (inner | (at[rest] != at[x]))]
+        shared = np.minimum(size[rest], size[x])
+        for m in np.unique(shared):
+            some = rest[shared == m]
+            apart = np.bitwise_count(folded[m][some] ^ folded[m][x]).sum(axis=1)
+            for y in some[apart <= most_different(n[some], n[x])]:
+                if np.intersect1d(lists[x], lists[y])[0] == name:
+                    one.append(min(key[x], key[y]))
+                    two.append(max(key[x], key[y]))
+    return one, two
+
+
 def _across(groups: DataFrame, classes: DataFrame, block: int) -> DataFrame:
-    """Sketch-allowed pairs ``a, b`` of different components in large groups, by blocks.
+    """Sketch-allowed pairs ``a, b`` of different components in large groups, by blocks, each once.
 
-    ``groups`` has ``g, key, root``; only groups with two or more components are given.
+    ``groups`` has ``g, key, root``; only groups with two or more components are given. A set's
+    list of groups is no longer than its list of signatures.
     """
     sizes = groups.groupBy("g").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    rows = groups.join(sizes, "g").join(classes.select("key", "n", "sketch"), "key")
+    lists = groups.groupBy("key").agg(F.sort_array(F.collect_list("g")).alias("lists"))
+    rows = groups.join(sizes, "g").join(classes.select("key", "n", "sketch").join(lists, "key"), "key")
     mine = rows.withColumn("at", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    mine = mine.select("g", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at", "key", "root", "n", "sketch")
+    mine = mine.select("g", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at", "key", "root", "n", "sketch", "lists")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        inner = pdf["i"].iat[0] == pdf["j"].iat[0]
-        key, root, n, bits, at = (pdf[c].to_numpy() for c in ("key", "root", "n", "sketch", "at"))
-        order = np.argsort(key)
-        for x, p in enumerate(order):
-            rest = order[x + 1 :]
-            rest = rest[(root[rest] != root[p]) & sizes_fit(n[rest], n[p]) & (inner | (at[rest] != at[p]))]
-            found += [(key[p], key[q]) for q in rest if may_link(bits[p], bits[q], n[p], n[q])]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        columns = (pdf[c].to_numpy() for c in ("key", "root", "n", "sketch", "at", "lists"))
+        a, b = _allowed_pairs(*columns, pdf["g"].iat[0], pdf["i"].iat[0] == pdf["j"].iat[0])
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     return mine.groupBy("g", "i", "j").applyInPandas(compare, "a long, b long")
 
