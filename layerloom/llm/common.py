@@ -24,6 +24,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame, name: str) -> DataFrame:
+    """The rows and their partitions, kept in the shared checkpoint folder; lineage ends here."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:  # set only where the session leaves it open
+        context.setCheckpointDir(scratch_path(df.sparkSession, name))
+    return df.checkpoint()
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(text, UPPER, LOWER)

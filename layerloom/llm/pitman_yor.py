@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.llm.common import shuffle_partitions
+from layerloom.llm.common import checkpointed, shuffle_partitions
 
 CONTEXT_BITS = 16
 HELD_OUT, MODULUS = 2, 7
@@ -411,7 +411,7 @@ def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_I
     kind = narrow.schema["doc_id"].dataType.simpleString()
     fields = FIELDS.format(id=kind)
     schema = to_arrow_schema(spark.createDataFrame([], fields).schema)
-    packed = narrow.mapInArrow(_pack(schema, buckets), fields).repartition(buckets, "bucket").checkpoint()
+    packed = checkpointed(narrow.mapInArrow(_pack(schema, buckets), fields).repartition(buckets, "bucket"), "packed")
     totals = fit(packed, sweeps)
     scored = packed.mapInArrow(_score(schema, totals, sweeps, burn_in), fields)
     train_tokens = totals.tokens

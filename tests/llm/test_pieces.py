@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import duckdb
 import numpy as np
 import pytest
 import sentencepiece
@@ -76,13 +77,22 @@ def as_unigram():
 
 
 def test_ids_equal_the_library():
-    docs = __import__("duckdb").sql("select text from '/root/testdata/sf0.001/documents.parquet'").fetchall()
-    texts = [t for (t,) in docs if t and MARK not in t and len(t) < 5000]
+    """Its lattice search on short texts; its fast search prunes, so ours is never worse than that."""
+    docs = duckdb.sql("select text from '/root/testdata/sf0.001/documents.parquet'").fetchall()
+    texts = [t for (t,) in docs if t and MARK not in t]
     library, encoder = as_unigram(), Encoder(load())
     cost = encoder.vocabulary.cost
+    short = [" ".join(w[i : i + 8]) for t in texts for w in [t.split(" ")[:40]] for i in range(0, len(w), 8)]
+    # a marker alone, or a character in bytes, costs 1e9: beyond it, single-precision sums cannot tell pieces apart
+    exact = 0
+    for text, ids in zip(short, encoder.encode(short), strict=True):
+        want = library.nbest_encode(text, nbest_size=2)[0]
+        mine, its = cost[ids].sum(), cost[want].sum()
+        assert mine == its if min(mine, its) > -1e6 else mine >= its
+        exact += ids.tolist() == want
+    assert exact > 0.8 * len(short)
     for text, ids in zip(texts, encoder.encode(texts), strict=True):
-        want = library.encode(text)
-        assert ids.tolist() == want or cost[ids].sum() >= cost[want].sum() - 1e-3 * abs(cost[want].sum()) * 1e-3
+        assert cost[ids].sum() >= cost[library.encode(text)].sum()
 
 
 def test_round_trip_and_cache_limit():
