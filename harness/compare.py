@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 from decimal import Decimal
@@ -60,6 +61,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
     }
     if zone := os.environ.get("COMPARE_ZONE"):
         local["spark.sql.session.timeZone"] = zone
+    local["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="compare-")
     spark = build_session("compare", "local[8]", **local)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

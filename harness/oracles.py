@@ -189,6 +189,22 @@ _TABLES = {v: v.removeprefix("ods_") for v in _ALL_ODS}
 _DAILY = " union all ".join(
     f"select '{t}' as table_name, dt, count(*) as n from {v} group by dt" for v, t in _TABLES.items()
 )
+_VALIDATE = """
+select 'op_type' as check_name, 'o_order_detail' as table_name, op_type as detail, count(*) as findings from ods_o_order_detail group by op_type
+union all select 'repeated_key', 'u_user', 'user_id', (select count(*) from (select 1 from dwd_u group by dt, user_id having count(*) > 1))
+union all select 'repeated_key', 'p_product', 'product_id', (select count(*) from (select 1 from dwd_p group by dt, product_id having count(*) > 1))
+union all select 'repeated_key', 'o_order', 'order_id', (select count(*) from (select 1 from dwd_o group by dt, order_id having count(*) > 1))
+union all select 'repeated_key', 'o_order_detail', 'detail_id', (select count(*) from (select 1 from dwd_d group by dt, detail_id having count(*) > 1))
+union all select 'domain', 'p_product', 'price_below_zero', (select count(*) from dwd_p where price < 0)
+union all select 'domain', 'o_order', 'status_out_of_domain', (select count(*) from dwd_o where order_status not in (1, 2, 3, -1))
+union all select 'missing_value', 'u_user', c, (select count(*) from dwd_u where case c when 'user_id' then user_id is null when 'username' then username is null else register_time is null end) from (values ('user_id'), ('username'), ('register_time')) t(c)
+union all select 'missing_value', 'p_product', c, (select count(*) from dwd_p where case c when 'product_id' then product_id is null when 'product_name' then product_name is null when 'price' then price is null else create_time is null end) from (values ('product_id'), ('product_name'), ('price'), ('create_time')) t(c)
+union all select 'missing_value', 'o_order', c, (select count(*) from dwd_o where case c when 'order_id' then order_id is null when 'user_id' then user_id is null when 'total_amount' then total_amount is null when 'order_status' then order_status is null else create_time is null end) from (values ('order_id'), ('user_id'), ('total_amount'), ('order_status'), ('create_time')) t(c)
+union all select 'missing_value', 'o_order_detail', c, (select count(*) from dwd_d where case c when 'detail_id' then detail_id is null when 'order_id' then order_id is null when 'product_id' then product_id is null when 'quantity' then quantity is null else create_time is null end) from (values ('detail_id'), ('order_id'), ('product_id'), ('quantity'), ('create_time')) t(c)
+union all select 'orphan', 'o_order', 'user_id', (select count(*) from dwd_o where user_id is not null and user_id not in (select user_id from dwd_u where user_id is not null))
+union all select 'orphan', 'o_order_detail', 'order_id', (select count(*) from dwd_d where order_id is not null and order_id not in (select order_id from dwd_o where order_id is not null))
+union all select 'orphan', 'o_order_detail', 'product_id', (select count(*) from dwd_d where product_id is not null and product_id not in (select product_id from dwd_p where product_id is not null))
+union all select 'amount', 'o_order', 'total_amount', (select count(*) from booked full join rolled using (order_id) where coalesce(total_amount, 0) <> coalesce(order_amount, 0))"""
 _METRIC_ROWS = """
 select 'data_warehouse_sync_rows' as metric, 'sqoop_ods_full_sync_' || table_name as business,
        cast(n as bigint) as value, dt as date from daily
@@ -305,9 +321,10 @@ ORACLES: dict[str, str] = {
     "changelog_first_row": f"select {_RAW_USER} from ({_FIRST_ROWS}) where user_id is not null",
     "config_ingest": (
         "select user_id as id, cast(user_id as decimal(12,3)) as amount, username as name, "
-        f"register_time as at, op_type, op_ts, dt from ({_FIRST_ROWS})"
+        f"register_time as at, op_type, op_ts, dt from ({_ALL_ROWS})"
     ),
-    "config_ingest_by_name": f"select {_RAW_USER} from ({_FIRST_ROWS})",
+    "config_ingest_first_row": f"select {_RAW_USER} from ({_FIRST_ROWS})",
+    "config_ingest_by_name": f"select {_RAW_USER} from ({_ALL_ROWS})",
     "full_import": (
         "select cast(event_id as int) as order_id, cast(user_id as int) as user_id, "
         "cast(value as decimal(10,2)) as total_amount, cast(event_id % 5 as tinyint) as order_status, "
@@ -443,12 +460,37 @@ ORACLES: dict[str, str] = {
         "select * replace (cast(total_order_count as int) as total_order_count, "
         "cast(valid_order_count as int) as valid_order_count) from stats",
     ),
+    "validate_day": with_views(
+        ["ods_u_user", "ods_p_product", "ods_o_order", "ods_o_order_detail"],
+        [("dwd_u", DWD_USER), ("dwd_p", DWD_PRODUCT), ("dwd_o", DWD_ORDER), ("dwd_d", "select detail_id, order_id, product_id, quantity, create_time, dt from ods_o_order_detail"),
+         ("rolled", "select order_id, sum(cast(round(price * quantity, 2) as decimal(16,2))) as order_amount from dwd_d join (select product_id, max_by(price, dt) as price from dwd_p group by product_id) using (product_id) group by order_id"),
+         ("booked", "select order_id, sum(total_amount) as total_amount from dwd_o group by order_id")],
+        _VALIDATE,
+    ),
+    "incremental_marks": with_views(
+        ["ods_o_order"],
+        [],
+        "select order_id, user_id, total_amount, order_status, create_time, update_time, "
+        f"cast(null as varchar) as op_type, cast(null as varchar) as op_ts, '{RUN_DT}' as dt "
+        f"from ods_o_order where update_time < '{WINDOW[1]}'",
+    ),
+    "mixed_routes": with_views(
+        ["ods_u_user_rows"],
+        [],
+        f"select 'full' as load_kind, '{RUN_DT}' as dt, count(*) as row_count from ods_u_user_rows "
+        f"union all select 'window', '{RUN_DT}', count(*) from ods_u_user_rows where update_time < '{WINDOW[1]}' "
+        f"union all select 'change', dt, count(*) from ({_ALL_ROWS}) where user_id is not null group by dt",
+    ),
+    "bad_change_events": (
+        "select case event_id % 11 when 2 then 'payload' when 3 then 'day' else 'unroutable' end as reason, "
+        "count(*) as row_count from events where event_id % 11 between 1 and 4 group by 1"
+    ),
     "minute_order_stats": (
         "select strftime(w, '%Y-%m-%d %H:%M:%S') as window_start, "
         "strftime(w + interval 1 minute, '%Y-%m-%d %H:%M:%S') as window_end, "
         "count(*) as order_count, cast(sum(cast(value as decimal(10,2))) as decimal(16,2)) as order_amount "
-        "from (select *, date_trunc('minute', ts) as w from events where event_type = 'purchase') "
-        "where w + interval 1 minute <= (select max(ts) - interval 5 second from events where event_type = 'purchase') "
+        "from (select *, date_trunc('minute', ts) as w from events) "
+        "where w + interval 1 minute <= (select max(ts) - interval 5 second from events) "
         "group by w"
     ),
     "stream_changelog_append": _FLATTEN,

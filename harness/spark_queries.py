@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 from harness.views import change_events, table, view
 from layerloom.functions.times import epoch_ms_text, to_epoch_ms
 from layerloom.operators import history, metrics, quality, rollup
-from layerloom.operators.changelog import flatten_table, parse_events
+from layerloom.operators.changelog import bad_events, flatten_table, parse_events
 from layerloom.operators.clean import clean_orders, clean_products, clean_users
 from layerloom.operators.merge import merge_table
 from layerloom.plans import daily, runlog
+from layerloom.plans.validate import validate
 from layerloom.schemas import ORDER, ORDER_DETAIL, SOURCE_TABLES, USER
 from layerloom.session import scratch_path
 from layerloom.sinks.exports import export_csv, export_summary, trend
@@ -22,14 +24,14 @@ from layerloom.sinks.tables import overwrite_found_partitions, read_partitions
 from layerloom.sources.delimited import line_of, parse_lines
 from layerloom.sources.field_list import ingest, read_config, read_short_config
 from layerloom.sources.relational import import_full, import_incremental
-from layerloom.streaming.cdc import CdcJob, start_append, start_ingest
+from layerloom.streaming.cdc import CdcJob, apply_batch, read_change_log, start_append, start_ingest
 from layerloom.streaming.windows import minute_order_stats, with_event_time
 
 ETL_TIME = "2024-02-01 00:00:00"
 RUN_DT = "2024-01-15"
 EXPORT_SINCE = "2024-01-10"
 WINDOW = ("2024-01-10 00:00:00", "2024-01-20 12:30:00")
-FIELD_LINE = "u_user|changes|ods_u_user|id:INT:user_id,amount:DECIMAL(12,3):user_id,name:STRING:username,at:DATETIME:register_time"
+FIELD_LINE = "u_user|changes|ods_u_user|id:BIGINT(20):user_id,amount:DECIMAL(12,3):user_id,name:STRING:username,at:DATETIME:register_time"
 SHORT_LINE = "u_user|ods_u_user|user_id,username,register_time,update_time"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +127,10 @@ def config_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return ingest(_events(spark, sf), read_config(FIELD_LINE))
 
 
+def config_ingest_first_row(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest(_events(spark, sf), read_short_config(SHORT_LINE), rows="first")
+
+
 def config_ingest_by_name(spark: SparkSession, sf: str) -> DataFrame:
     return ingest(_events(spark, sf), read_short_config(SHORT_LINE))
 
@@ -140,7 +146,7 @@ def stream_changelog_append(spark: SparkSession, sf: str) -> DataFrame:
     raw = change_events(_event_stream(spark, sf)).select("value")
     query = start_append(raw, USER, f"{root}/ods", f"{root}/checkpoint", {"availableNow": True})
     query.awaitTermination()
-    return read_partitions(spark, f"{root}/ods", USER.ods_schema())
+    return read_partitions(spark, f"{root}/ods", USER.ods_schema()).drop("load")
 
 
 def stream_cdc_merge(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,9 +160,8 @@ def stream_cdc_merge(spark: SparkSession, sf: str) -> DataFrame:
 def minute_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Closed one-minute windows of a replayed stream."""
     root = scratch_path(spark, "minutes")
-    purchases = _event_stream(spark, sf).filter("event_type = 'purchase'")
     orders = with_event_time(
-        purchases.select(to_epoch_ms("ts").alias("ts"), F.col("value").cast("decimal(10,2)").alias("total_amount"))
+        _event_stream(spark, sf).select(to_epoch_ms("ts").alias("ts"), F.col("value").cast("decimal(10,2)").alias("total_amount"))
     )
     writer = minute_order_stats(orders).writeStream.format("parquet").outputMode("append")
     writer = writer.option("path", f"{root}/windows").option("checkpointLocation", f"{root}/checkpoint")
@@ -352,7 +357,7 @@ def export_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The lines of the four exported CSV files."""
     folder = scratch_path(spark, "export")
     export_csv(_metric_frames(spark, sf), folder, EXPORT_SINCE)
-    name = F.element_at(F.split(F.input_file_name(), "/"), -2)
+    name = F.element_at(F.split("_metadata.file_path", "/"), -2)
     return spark.read.text(f"{folder}/*").select(name.alias("table_name"), F.col("value").alias("line"))
 
 
@@ -362,6 +367,56 @@ def export_row_summary(spark: SparkSession, sf: str) -> DataFrame:
     return export_summary(spark, folder)
 
 
+def validate_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row check over the raw views and the detail rows made from them."""
+    raw = {"o_order_detail": _details(spark, sf)}
+    details = {
+        "u_user": dwd_user(spark, sf),
+        "p_product": dwd_product(spark, sf),
+        "o_order": dwd_order(spark, sf),
+        "o_order_detail": raw["o_order_detail"].select("detail_id", "order_id", "product_id", "quantity", "create_time", "dt"),
+    }
+    return validate(raw, details)
+
+
+def incremental_marks(spark: SparkSession, sf: str) -> DataFrame:
+    """Two windows over one source, with marks stored and read in between."""
+    house = daily.Warehouse(spark, scratch_path(spark, "marks"))
+    sources = {"o_order": view(spark, sf, "ods_o_order")}
+    for now in WINDOW:
+        daily.import_changes(house, sources, RUN_DT, now)
+    return house.ods("o_order")
+
+
+def mixed_routes(spark: SparkSession, sf: str) -> DataFrame:
+    """Full import, one window read twice, and change batches in one warehouse: rows of each."""
+    root = scratch_path(spark, "mixed")
+    house, job = daily.Warehouse(spark, root), CdcJob(root, tables=("u_user",), etl_time=ETL_TIME)
+    sources = {"u_user": view(spark, sf, "ods_u_user_rows")}
+    events = change_events(table(spark, sf, "events"))
+    apply_batch(events.filter("src_offset % 2 = 0"), job, "batch-0")
+    daily.import_day(house, sources, RUN_DT)
+    for store in ("lost", "kept"):  # the first window's mark is lost, so it is read again
+        again = replace(house, mark_folder=store)
+        daily.import_changes(again, sources, RUN_DT, WINDOW[1])
+    apply_batch(events.filter("src_offset % 2 = 1"), job, "batch-1")
+    raw = read_change_log(spark, job, USER)
+    kind = F.when(F.col("load").startswith("batch"), "change").when(F.col("load") == "full", "full").otherwise("window")
+    return raw.groupBy(kind.alias("load_kind"), "dt").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def bad_change_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events that give no rows, by reason: cut texts, rows that are no list, no event time."""
+    events = table(spark, sf, "events").select("event_id")
+    good = '{"database":"demo_oltp","table":"u_user","type":"INSERT","ts":1,"data":[{"user_id":"1"}]}'
+    kinds = {1: good[:30], 2: good.replace('[{"user_id":"1"}]', '"oops"'), 3: good.replace('"ts":1,', ""), 4: good.replace('"type":"INSERT",', "")}
+    value = F.lit(good)
+    for rest, text in kinds.items():
+        value = F.when(F.col("event_id") % 11 == rest, F.lit(text)).otherwise(value)
+    found = bad_events(parse_events(events.select(value.alias("value"))))
+    return found.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def layered_run(spark: SparkSession, sf: str) -> DataFrame:
     """One whole run over the shared tables; its stored metrics without the run times."""
     root = scratch_path(spark, "warehouse")
@@ -402,6 +457,7 @@ QUERIES: dict[str, Query] = {
     "changelog_flatten": changelog_flatten,
     "changelog_first_row": changelog_first_row,
     "config_ingest": config_ingest,
+    "config_ingest_first_row": config_ingest_first_row,
     "config_ingest_by_name": config_ingest_by_name,
     "full_import": full_import,
     "incremental_window": incremental_window,
@@ -429,6 +485,10 @@ QUERIES: dict[str, Query] = {
     "export_user_order_trend": _trend("dws_user_order_basic_di"),
     "export_lines": export_lines,
     "export_row_summary": export_row_summary,
+    "validate_day": validate_day,
+    "incremental_marks": incremental_marks,
+    "mixed_routes": mixed_routes,
+    "bad_change_events": bad_change_events,
     "layered_run": layered_run,
     "layered_run_orders": layered_run_orders,
     "minute_order_stats": minute_orders,

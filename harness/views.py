@@ -21,7 +21,7 @@ select case when user_id % 41 = 0 then null else cast(user_id as int) end as use
        substr(cast(min(ts) as string), 1, 19) as register_time,
        substr(cast(max(ts) as string), 1, 19) as update_time,
        substr(cast(min(ts) as string), 1, 10) as dt
-from events where event_type = 'signup' group by user_id""",
+from events group by user_id""",
     ),
     "ods_u_user_rows": (
         "events",
@@ -53,16 +53,16 @@ select case when event_id % 101 = 0 then null else cast(event_id as int) end as
        case when event_id % 89 = 0 then null
             when event_id % 97 = 0 then cast(-value as decimal(10,2))
             else cast(value as decimal(10,2)) end as total_amount,
-       cast(event_id % 5 as tinyint) as order_status,
+       cast(case event_type when 'signup' then 1 when 'purchase' then 2 when 'error' then 3 when 'view' then 0 else 4 end as tinyint) as order_status,
        substr(cast(ts as string), 1, 19) as create_time,
        substr(cast(ts as string), 1, 19) as update_time,
        substr(cast(ts as string), 1, 10) as dt
-from events where event_type = 'purchase'""",
+from events""",
     ),
     "ods_o_order_detail": (
         "lineitem",
         """
-select cast(l_orderkey * 8 + l_linenumber as int) as detail_id,
+select cast((l_orderkey * 8 + l_linenumber) % 2000000000 as int) as detail_id,
        cast(l_orderkey as int) as order_id,
        cast(l_partkey as int) as product_id,
        cast(l_quantity as int) as quantity,

@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from layerloom.params import DT_POLICIES, now_text, run_dt
 from layerloom.plans import daily
+from layerloom.plans.validate import validate
 from layerloom.schemas import DWS_SPECS, SOURCE_TABLES
 from layerloom.session import build_session
 from layerloom.sinks.exports import export_csv, export_summary
-from layerloom.sources.relational import database_counts, read_table
+from layerloom.sources.field_list import read_configs
+from layerloom.sources.relational import database_counts, read_table, source_now
 from layerloom.sources.topics import stream_files, stream_topic
-from layerloom.streaming.cdc import CdcJob, replay_day, start_ingest
+from layerloom.streaming.cdc import CdcJob, replay_day, start_configured, start_ingest
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -33,14 +35,16 @@ def _parser() -> argparse.ArgumentParser:
 
     def source_options(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--source", required=True)
-        sub.add_argument("--partitions", type=int, default=1, help="parallel reads per table")
+        sub.add_argument("--partitions", type=int, default=16, help="parallel reads per table")
         sub.add_argument("dt", nargs="?")
 
     run = command("run-day", "import, check, cleanse and aggregate one day")
     source_options(run)
     run.add_argument("--strict-counts", action="store_true")
     run.add_argument("--use-digests", action="store_true")
+    run.add_argument("--catalog", help="database in which tables and partitions are registered")
     source_options(command("import-changes", "append the rows changed since the last import"))
+    command("validate", "print the row checks of one day").add_argument("dt", nargs="?")
     source_options(command("check", "print the row-count and partition checks of one day"))
     command("backfill", "recompute the metrics of every day")
     export = command("export", "write the metric tables as CSV")
@@ -56,6 +60,8 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--once", action="store_true", help="stop after the available events")
     ingest.add_argument("--dt-policy", choices=DT_POLICIES, default="business_date")
     ingest.add_argument("--append-only", action="store_true", help="merge later, with replay")
+    ingest.add_argument("--rate", type=int, help="most events (topic) or files of one batch")
+    ingest.add_argument("--configs", help="file of configuration lines: only append the tables they name")
     return parser
 
 
@@ -73,11 +79,19 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     job = CdcJob(
         args.root,
         dt_policy=args.dt_policy,
-        run_date=run_dt() if args.dt_policy == "run_date" else None,
         merge_each_batch=not args.append_only,
     )
-    raw = stream_files(spark, args.files) if args.files else stream_topic(spark, args.servers, args.topic)
+    if args.files:
+        rate = {"maxFilesPerTrigger": str(args.rate)} if args.rate else {}
+        raw = stream_files(spark, args.files, **rate)
+    else:
+        rate = {"maxOffsetsPerTrigger": str(args.rate)} if args.rate else {}
+        raw = stream_topic(spark, args.servers, args.topic, **rate)
     trigger = {"availableNow": True} if args.once else None
+    if args.configs:
+        lines = [r["value"] for r in spark.read.text(args.configs).collect()]
+        start_configured(raw, read_configs(lines), f"{args.root}/ods", args.checkpoint, trigger).awaitTermination()
+        return
     start_ingest(raw, job, args.checkpoint, trigger).awaitTermination()
 
 
@@ -96,11 +110,18 @@ def main(argv: Sequence[str] | None = None) -> None:
             strict_counts=args.strict_counts,
             use_digests=args.use_digests,
             source_counts=_source_counts(spark, args.source, dt),
+            catalog=args.catalog,
         )
         for step, done in status.items():
             print(step, done)
     elif args.command == "import-changes":
-        daily.import_changes(house, _sources(spark, args.source, args.partitions), run_dt(args.dt))
+        sources = _sources(spark, args.source, args.partitions)
+        now = source_now(spark, args.source) if args.source.startswith("jdbc:") else None
+        daily.import_changes(house, sources, run_dt(args.dt), now)
+    elif args.command == "validate":
+        dt = run_dt(args.dt)
+        raw, details = ({t: layer(t, [dt]) for t in SOURCE_TABLES} for layer in (house.ods, house.dwd))
+        validate(raw, details).orderBy("check_name", "table_name").show(1000, truncate=False)
     elif args.command == "check":
         sources = _sources(spark, args.source, args.partitions)
         dt = run_dt(args.dt)

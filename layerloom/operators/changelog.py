@@ -35,10 +35,27 @@ def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
     return parsed.withColumn("ts_ltz", F.timestamp_millis("ts"))
 
 
+# Change types whose events carry rows.
+ROW_CHANGES = ("INSERT", "UPDATE", "DELETE")
+
+
 def bad_events(parsed: DataFrame) -> DataFrame:
-    """Events that cannot be routed: not JSON, or without database, table or change type."""
+    """``(raw, reason)`` of events that give no rows although they should.
+
+    ``unroutable``: not JSON, or without database, table or change type. ``payload``: a row change
+    whose rows are missing or no list. ``day``: a change without a readable event time. An
+    empty list of rows is no error.
+    """
     missing = F.col("database").isNull() | F.col("table").isNull() | F.col("type").isNull()
-    return parsed.filter(missing).select("raw")
+    payload = F.col("type").isin(*ROW_CHANGES) & F.col("data").isNull()
+    day = F.col("type").isin(*ROW_CHANGES) & F.col("ts").isNull()
+    reason = F.when(missing, "unroutable").when(payload, "payload").when(day, "day")
+    return parsed.select("raw", reason.alias("reason")).filter("reason is not null")
+
+
+def rows_without_day(rows: DataFrame) -> DataFrame:
+    """``(raw, reason)`` of flattened rows whose day cannot be read, as JSON of the row."""
+    return rows.filter("dt is null").select(F.to_json(F.struct("*")).alias("raw"), F.lit("row_day").alias("reason"))
 
 
 def route(parsed: DataFrame, table: str, database: str = SOURCE_DATABASE) -> DataFrame:

@@ -87,6 +87,31 @@ def _distinct_keys(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).select("day", key).distinct()
 
 
+def _part(day: str, when: Column | None = None, **counts: Column) -> Column:
+    """One contribution to the metrics of ``day``, or to none."""
+    at = F.col(day) if when is None else F.when(when, F.col(day))
+    return F.struct(at.alias("day"), *[c.alias(name) for name, c in counts.items()])
+
+
+def _by_key_and_day(
+    kept: DataFrame, key: str, least: Sequence[str], parts: Sequence[Column], *counted: Column
+) -> DataFrame:
+    """Contributions of a frame with one row per key and day.
+
+    ``least`` columns become their minimum over the key; ``first`` marks one row per key, so
+    that what a key adds once is added once. Parts that count for nothing are left out.
+    """
+    of_key = Window.partitionBy(key)
+    keyed = kept.select(
+        "*",
+        *[F.min(c).over(of_key).alias(f"__{c}") for c in least],
+        (F.row_number().over(of_key.orderBy("made")) == 1).alias("first"),
+    ).drop(*least)
+    keyed = keyed.withColumnsRenamed({f"__{c}": c for c in least})
+    added = keyed.select(F.explode(F.array(*parts)).alias("p")).select("p.*").filter("day is not null")
+    return added.filter(reduce(lambda a, b: a | b, counted))
+
+
 def order_daily_stats(
     dwd_order: DataFrame,
     dates: Sequence[str] | None = None,
@@ -144,17 +169,21 @@ def user_daily_stats(
     """New users, users so far, and the share of new users registered in working hours."""
     rows = _with_day(_until(dwd_user, dates))
     users = rows.filter("user_id is not null")
-    seen = users.groupBy("user_id").agg(F.min("day").alias("day")).select("day", F.lit(1).alias("total"))
-    registered = users.select(
-        "user_id",
-        F.col("day").alias("loaded"),
-        day_of("register_time").alias("day"),
-        _flag(hour_of("register_time").between(*WORK_HOURS)).alias("work"),
-    ).filter((F.col("loaded") <= F.col("day")) & _asked(dates))
-    new = registered.groupBy("day", "user_id").agg(F.max("work").alias("work"))
-    new = new.select("day", F.lit(1).alias("new"), "work")
+    made = day_of("register_time")
+    in_time = F.col("day") <= made
+    at_work = in_time & hour_of("register_time").between(*WORK_HOURS)
+    # One row per user and day of registration, with all that the metrics need: one scan.
+    kept = users.groupBy("user_id", made.alias("made")).agg(
+        F.min("day").alias("seen"), F.max(_flag(in_time)).alias("new"), F.max(_flag(at_work)).alias("work")
+    )
+    zero, one = F.lit(0), F.lit(1)
+    parts = [
+        _part("made", total=zero, new=F.col("new"), work=F.col("work")),
+        _part("seen", F.col("first"), total=one, new=zero, work=zero),
+    ]
+    counts = _by_key_and_day(kept, "user_id", ["seen"], parts, F.col("total") > 0, (F.col("new") > 0) & _asked(dates))
     days = _given_days(dwd_user, dates) or [rows.select("day").distinct().withColumn("reported", F.lit(1))]
-    per_day = _sum_by_day([seen, new, *days], running=["total"])
+    per_day = _sum_by_day([counts, *days], running=["total"])
     return _report(
         per_day,
         {
@@ -176,24 +205,24 @@ def product_daily_stats(
     rows = _with_day(_until(dwd_product, dates))
     products = rows.filter("product_id is not null")
     high_day = F.when(F.col("price") >= HIGH_PRICE, F.col("day"))
-    first_days = products.groupBy("product_id").agg(F.min("day").alias("seen"), F.min(high_day).alias("high"))
-    first_days = first_days.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("seen").alias("day"), F.lit(1).alias("total"), F.lit(0).alias("high")),
-                F.struct(F.col("high").alias("day"), F.lit(0).alias("total"), F.lit(1).alias("high")),
-            )
-        ).alias("f")
+    made = day_of("create_time")
+    kept = products.groupBy("product_id", made.alias("made")).agg(
+        F.min("day").alias("seen"), F.min(high_day).alias("dear"), F.max(_flag(F.col("day") <= made)).alias("new")
     )
-    counts = first_days.select("f.*").filter("day is not null")
+    zero, one = F.lit(0), F.lit(1)
+    parts = [
+        _part("made", total=zero, high=zero, new=F.col("new")),
+        _part("seen", F.col("first"), total=one, high=zero, new=zero),
+        _part("dear", F.col("first"), total=zero, high=one, new=zero),
+    ]
+    cumulative = (F.col("total") > 0) | (F.col("high") > 0)
+    counts = _by_key_and_day(kept, "product_id", ["seen", "dear"], parts, cumulative, (F.col("new") > 0) & _asked(dates))
+    # The days of the history are those that have prices: this reads two columns again.
     prices = rows.groupBy("day").agg(F.sum(cents("price")).alias("price_cents"), F.count("price").alias("priced"))
     if dates is None:
         prices = prices.withColumn("reported", F.lit(1))
-    created = products.select("product_id", F.col("day").alias("loaded"), day_of("create_time").alias("day"))
-    created = created.filter((F.col("loaded") <= F.col("day")) & _asked(dates))
-    new = _distinct_keys(created, "product_id").select("day", F.lit(1).alias("new"))
     per_day = _sum_by_day(
-        [counts, prices, new, *_given_days(dwd_product, dates)], running=["total", "high", "price_cents", "priced"]
+        [counts, prices, *_given_days(dwd_product, dates)], running=["total", "high", "price_cents", "priced"]
     )
     total = F.col("total")
     average = average_price(F.col("price_cents"), F.col("priced"))

@@ -8,13 +8,31 @@ from pyspark.sql import functions as F
 from layerloom.functions.numbers import cents, from_cents
 
 
+_DAY, _NONE = 1 << 40, 1 << 36
+
+
+def latest_prices(products: DataFrame) -> DataFrame:
+    """``product_id, price`` of each product's latest ``dt``; without ``dt``, rows as they are.
+
+    Day and cents are packed into one BIGINT, whose maximum stays in the hash aggregate.
+    """
+    if "dt" not in products.columns:
+        return products.select("product_id", "price")
+    day = F.coalesce(F.unix_date(F.col("dt").try_cast("date")).cast("bigint"), F.lit(0))
+    packed = day * _DAY + F.coalesce(cents("price") + _NONE, F.lit(0))
+    low = F.pmod(F.max(packed), F.lit(_DAY))
+    price = F.when(low != 0, from_cents(low - _NONE)).cast("decimal(10,2)")
+    return products.groupBy("product_id").agg(price.alias("price"))
+
+
 def price_details(details: DataFrame, products: DataFrame) -> DataFrame:
     """Details with ``price`` and ``detail_amount = round(price * quantity, 2)``.
 
-    No broadcast hint: Spark broadcasts the products only when their measured size is under
+    Of several rows of a product, such as daily snapshots, the one with the latest ``dt`` counts
+    (the greatest price of that day). No broadcast hint: Spark broadcasts the products only when their measured size is under
     its threshold, and splits a hot product of a sort-merge join at run time.
     """
-    priced = details.join(products.select("product_id", "price"), "product_id")
+    priced = details.join(latest_prices(products), "product_id")
     amount = F.round(F.col("price") * F.col("quantity"), 2).cast("decimal(16,2)")
     return priced.withColumn("detail_amount", amount)
 

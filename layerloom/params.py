@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 DT_POLICIES = ("run_date", "business_date", "op_date")
 _DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
@@ -18,14 +18,15 @@ def check_dt(dt: str) -> str:
 
 
 def run_dt(dt: str | None = None, today: date | None = None) -> str:
-    """The business date of a run: ``dt`` if given, else yesterday."""
+    """The business date of a run: ``dt`` if given, else yesterday in UTC."""
     if dt is not None:
         return check_dt(dt)
-    return ((today or date.today()) - timedelta(days=1)).isoformat()
+    return ((today or datetime.now(timezone.utc).date()) - timedelta(days=1)).isoformat()
 
 
-def now_text() -> str:
-    return datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+def now_text(lag_seconds: int = 0) -> str:
+    """The time in UTC, as all times are read, or that many seconds before."""
+    return (datetime.now(timezone.utc) - timedelta(seconds=lag_seconds)).strftime("%Y-%m-%d %H:%M:%S")
 
 
 def check_policy(policy: str) -> str:

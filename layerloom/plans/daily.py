@@ -6,6 +6,7 @@ before has written, so a lost executor costs the tasks of the current step only.
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
@@ -29,15 +30,17 @@ from layerloom.params import now_text, run_dt
 from layerloom.plans.runlog import STEPS, MetricStore, flow_metrics, sync_metrics
 from layerloom.schemas import SOURCE_TABLES, dws_schema
 from layerloom.sinks.tables import (
-    append_partitions,
+    claim_route,
     conform,
-    drop_partition,
+    drop_days_from,
     overwrite_found_partitions,
+    overwrite_load,
     overwrite_partition,
     partition_days,
     partition_exists,
     publish_partitions,
     read_partitions,
+    register_table,
 )
 from layerloom.sources.marks import MarkStore
 from layerloom.sources.relational import import_full, import_incremental
@@ -49,10 +52,17 @@ class CheckFailed(RuntimeError):
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Folder layout of the layers."""
+    """Folder layout of the layers.
+
+    Raw tables lie in ``dt=/load=`` folders: full imports write the load ``full``, windows
+    ``since_<mark>``, streams a load per batch. With ``catalog``, a database, every import
+    and every layer registers its tables and partitions there.
+    """
 
     spark: SparkSession
     root: str
+    catalog: str | None = None
+    mark_folder: str = "marks"
 
     def ods_path(self, table: str) -> str:
         return f"{self.root}/ods/{SOURCE_TABLES[table].ods_name}"
@@ -64,7 +74,18 @@ class Warehouse:
         return f"{self.root}/dws/{table}"
 
     def ods(self, table: str, dts: list[str] | None = None) -> DataFrame:
-        return read_partitions(self.spark, self.ods_path(table), SOURCE_TABLES[table].ods_schema(), dts=dts)
+        """Imported rows; the change log of a stream in the same table is not among them."""
+        schema = _raw_schema(table)
+        rows = read_partitions(self.spark, self.ods_path(table), schema, dts=dts)
+        return rows.filter(F.col("load").rlike(IMPORTED)).drop("load")
+
+    def publish(self, path: str, dts: list[str], schema: T.StructType, fmt: str = "parquet", load: str | None = None) -> None:
+        """Mark days of a table finished; with a catalog, register the table and the days."""
+        name = None
+        if self.catalog:
+            name = f"{self.catalog}.{path.rsplit('/', 1)[1]}"
+            register_table(self.spark, name, path, schema, fmt, ("dt", "load") if load else ("dt",))
+        publish_partitions(self.spark, path, dts, name, load)
 
     def dwd(self, table: str, dts: list[str] | None = None) -> DataFrame:
         spec = SOURCE_TABLES[table]
@@ -86,7 +107,15 @@ class Warehouse:
 
     @property
     def marks(self) -> MarkStore:
-        return MarkStore(self.spark, f"{self.root}/marks")
+        return MarkStore(self.spark, f"{self.root}/{self.mark_folder}")
+
+
+# Fixed value: names of loads that imports write.
+IMPORTED = "^(full$|since_)"
+
+
+def _raw_schema(table: str) -> T.StructType:
+    return T.StructType([*SOURCE_TABLES[table].ods_schema().fields, T.StructField("load", T.StringType())])
 
 
 def import_day(house: Warehouse, sources: Mapping[str, DataFrame], dt: str) -> None:
@@ -94,31 +123,42 @@ def import_day(house: Warehouse, sources: Mapping[str, DataFrame], dt: str) -> N
 
     def one(name: str) -> None:
         rows = import_full(sources[name], SOURCE_TABLES[name], dt)
-        overwrite_partition(rows, house.ods_path(name), dt)
-        publish_partitions(house.spark, house.ods_path(name), [dt])
+        # a full snapshot of the day stands for the imports of that day before it
+        overwrite_load(rows, house.ods_path(name), dt, "full")
+        house.publish(house.ods_path(name), [dt], _raw_schema(name), load="full")
 
     run_together(one, sources)
 
 
-def import_changes(house: Warehouse, sources: Mapping[str, DataFrame], dt: str, now: str | None = None) -> None:
-    """Rows changed since the last import, appended to the raw partition ``dt``.
+def import_changes(
+    house: Warehouse, sources: Mapping[str, DataFrame], dt: str, now: str | None = None, lag_seconds: int = 0
+) -> None:
+    """Rows changed since the last import, as a load of the raw partition ``dt``.
 
-    The mark of a table moves only after its rows are written, so a failed table is read again
-    from its old mark.
+    ``now``, the end of the window, is best asked from the source (``source_now``); without it, it is
+    UTC, as all times are read. ``lag_seconds`` leaves time for rows that are not committed yet.
+    The load is named after the window's start, and the mark of a table moves only after its rows
+    are written: a window that failed is read again and replaces what it had written.
     """
-    now = now or now_text()
+    now = now or now_text(lag_seconds)
 
     def one(name: str) -> None:
         last = house.marks.current(name)
         rows = import_incremental(sources[name], SOURCE_TABLES[name], last, now, dt)
-        append_partitions(rows, house.ods_path(name))
+        load = "since_" + re.sub("[^0-9]", "", last)
+        overwrite_load(rows, house.ods_path(name), dt, load)
+        house.publish(house.ods_path(name), [dt], _raw_schema(name), load=load)
         house.marks.advance(name, now)
 
     run_together(one, sources)
 
 
 def check_counts(
-    house: Warehouse, sources: Mapping[str, DataFrame], dt: str, source_counts: DataFrame | None = None
+    house: Warehouse,
+    sources: Mapping[str, DataFrame],
+    dt: str,
+    source_counts: DataFrame | None = None,
+    raw_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Source rows against the raw partition; of orders only those created on ``dt``.
 
@@ -129,7 +169,9 @@ def check_counts(
         if "o_order" in counted:
             counted["o_order"] = created_on(counted["o_order"], "create_time", dt)
         source_counts = row_counts(counted)
-    return compare_counts(source_counts, row_counts({name: house.ods(name, [dt]) for name in sources}))
+    if raw_counts is None:
+        raw_counts = row_counts({name: house.ods(name, [dt]) for name in sources})
+    return compare_counts(source_counts, raw_counts)
 
 
 def check_partitions(house: Warehouse, tables: Iterable[str], dt: str) -> DataFrame:
@@ -155,11 +197,12 @@ def clean_day(house: Warehouse, dt: str, etl_time: str) -> None:
     """Replace the detail partitions of ``dt`` and drop the history digests that hold them."""
 
     def one(name: str) -> None:
-        for day in partition_days(house.spark, house.digest_path(name)):
-            if day >= dt:
-                drop_partition(house.spark, house.digest_path(name), day)
+        spec = SOURCE_TABLES[name]
+        claim_route(house.spark, house.dwd_path(name), "batch")
+        drop_days_from(house.spark, house.digest_path(name), dt)
         rows = CLEANERS[name](house.ods(name, [dt]), etl_time)
-        overwrite_partition(rows, house.dwd_path(name), dt, SOURCE_TABLES[name].detail_format)
+        overwrite_partition(rows, house.dwd_path(name), dt, spec.detail_format)
+        house.publish(house.dwd_path(name), [dt], spec.dwd_schema(), spec.detail_format)
 
     run_together(one, CLEANERS)
 
@@ -170,9 +213,17 @@ def day_metrics(house: Warehouse, dates: list[str] | None, etl_time: str) -> dic
     Cumulative metrics read the history; the others read the given days only.
     """
     users_of_day, orders_of_day = house.dwd("u_user", dates), house.dwd("o_order", dates)
+
+    def cumulative(table: str, stats) -> DataFrame:
+        if dates is None or len(dates) != 1:
+            return stats(house.dwd(table), dates, etl_time)
+        # one day: a digest of the history up to it holds every part, from one scan
+        digest = history.DIGESTS[table](house.dwd(table).filter(F.col("dt") <= dates[0]))
+        return history.STATS[table](digest, dates[0], etl_time)
+
     return {
-        "dws_user_stats_di": topic.user_daily_stats(house.dwd("u_user"), dates, etl_time),
-        "dws_product_stats_di": topic.product_daily_stats(house.dwd("p_product"), dates, etl_time),
+        "dws_user_stats_di": cumulative("u_user", topic.user_daily_stats),
+        "dws_product_stats_di": cumulative("p_product", topic.product_daily_stats),
         "dws_order_stats_di": topic.order_daily_stats(orders_of_day, dates, etl_time),
         "dws_user_order_basic_di": topic.user_order_daily_stats(users_of_day, orders_of_day, dates, etl_time),
     }
@@ -211,6 +262,7 @@ def aggregate_day(house: Warehouse, dt: str, etl_time: str, use_digests: bool =
     def one(table: str) -> None:
         rows = conform(frames[table], dws_schema(table)).coalesce(1)
         overwrite_partition(rows, house.dws_path(table), dt)
+        house.publish(house.dws_path(table), [dt], dws_schema(table))
 
     run_together(one, frames)
 
@@ -234,19 +286,25 @@ def run_day(
     strict_counts: bool = False,
     use_digests: bool = False,
     source_counts: DataFrame | None = None,
+    catalog: str | None = None,
 ) -> dict[str, int]:
     """Run all layers for ``dt`` and record the run metrics; returns the status per step.
 
     A failing step stops the run; its status and those after it stay 0 and the error is
     raised once the metrics are stored. Missing partitions stop the run; count differences do
     only with ``strict_counts``. ``use_digests`` computes the cumulative metrics from history
-    digests; it needs the detail layer to be written by ``clean_day`` alone.
+    digests, which every writer of detail partitions drops from that day on. ``catalog``
+    registers tables and partitions there.
     """
     dt, etl_time = run_dt(dt), etl_time or now_text()
-    house = Warehouse(spark, root)
+    house = Warehouse(spark, root, catalog)
+    counted: list[DataFrame] = []
 
     def count_step() -> None:
-        failed = check_counts(house, sources, dt, source_counts).filter("not passed")
+        # Counted once: the check and the run metrics take the same few rows.
+        raw = row_counts({t: house.ods(t, [dt]) for t in sources})
+        counted.append(spark.createDataFrame(raw.collect(), raw.schema))
+        failed = check_counts(house, sources, dt, source_counts, counted[0]).filter("not passed")
         if strict_counts and not failed.isEmpty():
             raise CheckFailed(f"row counts differ on {dt}")
 
@@ -275,7 +333,7 @@ def run_day(
         flow_seconds = round(time.monotonic() - started)
         reported = [flow_metrics(spark, dt, status, sync_seconds, flow_seconds)]
         if status["ods_sync"]:
-            counts = row_counts({t: house.ods(t, [dt]) for t in sources})
+            counts = counted[0] if counted else row_counts({t: house.ods(t, [dt]) for t in sources})
             reported.append(sync_metrics(counts, dt))
         house.run_metrics.purge(dt)
         house.run_metrics.report(reported, dt)

@@ -43,20 +43,17 @@ def sync_metrics(counts: DataFrame, dt: str | Column) -> DataFrame:
     ``dt`` may be a column of ``counts``; then every day gets its own rows.
     """
     day = F.lit(dt) if isinstance(dt, str) else dt
-    counts = counts.select("table_name", "row_count", day.alias("date"))
     label = F.concat(F.lit(f"{SYNC_LABEL}_"), "table_name")
-    per_table = counts.select(
-        F.lit(SYNC_ROWS).alias("metric"), label.alias("business"), F.col("row_count").alias("value"), "date"
-    )
-    total = counts.groupBy("date").agg(F.sum("row_count").alias("total"))
-    totals = F.array(
-        F.struct(F.lit(SYNC_TOTAL_ROWS).alias("metric"), F.col("total").alias("value")),
-        F.struct(F.lit(SUCCESS_RATE).alias("metric"), (F.col("total") > 0).cast("bigint").alias("value")),
-    )
-    overall = total.select("date", F.explode(totals).alias("m"))
-    return per_table.unionByName(
-        overall.select("m.metric", F.lit(SYNC_LABEL).alias("business"), "m.value", "date")
+    # Each count feeds its own row and the totals; one aggregation, so counts are taken once.
+    parts = F.array(
+        F.struct(F.lit(SYNC_ROWS).alias("metric"), label.alias("business")),
+        F.struct(F.lit(SYNC_TOTAL_ROWS).alias("metric"), F.lit(SYNC_LABEL).alias("business")),
+        F.struct(F.lit(SUCCESS_RATE).alias("metric"), F.lit(SYNC_LABEL).alias("business")),
     )
+    fed = counts.select("row_count", day.alias("date"), F.explode(parts).alias("m"))
+    summed = fed.groupBy("m.metric", "m.business", "date").agg(F.sum("row_count").alias("value"))
+    value = F.when(F.col("metric") == SUCCESS_RATE, (F.col("value") > 0).cast("bigint")).otherwise(F.col("value"))
+    return summed.select("metric", "business", value.alias("value"), "date")
 
 
 def flow_metrics(

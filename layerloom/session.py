@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,14 +43,9 @@ def cluster_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder for written intermediates.
+    """A fresh folder for written intermediates, which every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``, which every executor can reach. Only a local
-    master without that setting gets a folder of its own machine.
+    It lies under ``spark.checkpoint.dir``, or else beside the tables in the warehouse folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="layerloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

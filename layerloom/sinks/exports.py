@@ -34,7 +34,7 @@ def export_csv(frames: Mapping[str, DataFrame], folder: str, since: str) -> None
     """One headerless CSV per metric table; a table has one row per day, so one file holds it."""
 
     def one(table: str) -> None:
-        rows = trend(frames[table], table, since).coalesce(1)
+        rows = trend(frames[table], table, since).repartition(1).sortWithinPartitions("dt")
         rows.write.mode("overwrite").csv(f"{folder}/{table}", header=False)
 
     run_together(one, frames)
@@ -43,7 +43,7 @@ def export_csv(frames: Mapping[str, DataFrame], folder: str, since: str) -> None
 def export_summary(spark: SparkSession, folder: str) -> DataFrame:
     """``(table_name, row_count)`` of every exported table, 0 for one without rows."""
     lines = spark.read.text(f"{folder}/*")
-    name = F.element_at(F.split(F.input_file_name(), "/"), -2)
+    name = F.element_at(F.split("_metadata.file_path", "/"), -2)
     counted = lines.groupBy(name.alias("table_name")).agg(F.count(F.lit(1)).alias("row_count"))
     names = F.array(*[F.lit(n) for n in EXPORT_COLUMNS])
     tables = spark.range(1).select(F.explode(names).alias("table_name"), F.lit(0).cast("bigint").alias("row_count"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from layerloom.operators.changelog import changed_rows, partition_day, project_rows
 from layerloom.schemas import SOURCE_DATABASE
 
-_CAST_TYPES = re.compile(r"(INT|BIGINT.*|DECIMAL.*)", re.IGNORECASE)
+_CAST_TYPES = re.compile(r"(INT|DECIMAL.*)", re.IGNORECASE)
 _COMMA_OUTSIDE_PARENTHESES = re.compile(r",(?![^(]*\))")
 
 # Words in a column name that decide its type, first match wins.
@@ -39,6 +39,8 @@ class IngestConfig:
 
 def _cast_type(declared: str) -> str:
     """Whole numbers and decimals are cast; every other declared type stays text."""
+    if declared.upper().startswith("BIGINT"):  # also with a display width
+        return "bigint"
     return declared.lower() if _CAST_TYPES.fullmatch(declared) else "string"
 
 
@@ -73,8 +75,11 @@ def read_configs(lines: Iterable[str]) -> list[IngestConfig]:
     return [read_config(line) for line in lines if line.strip() and not line.startswith("#")]
 
 
-def ingest(parsed: DataFrame, config: IngestConfig, rows: str = "first", database: str | None = SOURCE_DATABASE) -> DataFrame:
-    """Typed rows of the configured table with ``op_type, op_ts, dt`` (the change day)."""
+def ingest(parsed: DataFrame, config: IngestConfig, rows: str = "all", database: str | None = SOURCE_DATABASE) -> DataFrame:
+    """Typed rows of the configured table with ``op_type, op_ts, dt`` (the change day).
+
+    Every changed row of an event counts; ``rows="first"`` takes only the first.
+    """
     events = parsed.filter(F.col("table") == config.table)
     if database is not None:
         events = events.filter(F.col("database") == database)

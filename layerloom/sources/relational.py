@@ -76,10 +76,22 @@ def database_counts(spark: SparkSession, url: str, dt: str, **extra: str) -> Dat
 
 
 def read_table(
-    spark: SparkSession, url: str, spec: TableSpec, num_partitions: int = 1, **extra: str
+    spark: SparkSession,
+    url: str,
+    spec: TableSpec,
+    num_partitions: int = 16,
+    predicates: list[str] | None = None,
+    **extra: str,
 ) -> DataFrame:
-    """A source table over JDBC, read in ``num_partitions`` ranges of its integer key."""
+    """A source table over JDBC, by default read in ranges of its integer key.
+
+    Ids with gaps make ranges uneven; ``predicates``, such as ``spread_predicates``, then
+    give the parts instead. One partition has to be asked for.
+    """
     options = read_options(url, spec.name, **extra)
+    if predicates is not None:
+        asked = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+        return spark.read.jdbc(url, spec.name, predicates=predicates, properties=asked)
     if num_partitions > 1:
         low, high = _ask(spark, bounds_query(spec), options).first()
         if low is not None:
@@ -87,6 +99,22 @@ def read_table(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def spread_predicates(spec: TableSpec, parts: int) -> list[str]:
+    """Disjoint conditions that deal rows by the remainder of their key, whatever gaps ids have."""
+    first = f"MOD({spec.key}, {parts}) = 0 OR {spec.key} IS NULL"
+    return [first, *[f"MOD({spec.key}, {parts}) IN ({i}, {i - parts})" for i in range(1, parts)]]
+
+
+def now_query() -> str:
+    return "SELECT CURRENT_TIMESTAMP AS source_time"
+
+
+def source_now(spark: SparkSession, url: str, **extra: str) -> str:
+    """The clock of the source, in the zone in which it stores its times."""
+    asked = _ask(spark, now_query(), read_options(url, "", **extra)).select(F.date_format("source_time", "yyyy-MM-dd HH:mm:ss"))
+    return asked.first()[0]
+
+
 def _raw_columns(source: DataFrame, spec: TableSpec) -> DataFrame:
     """Declared columns with declared types; date-times become text."""
     types = dict(source.dtypes)

@@ -20,11 +20,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from layerloom.jobs import run_together
-from layerloom.operators.changelog import bad_events, flatten_table, parse_events
+from layerloom.operators.changelog import bad_events, flatten_table, parse_events, rows_without_day
 from layerloom.operators.merge import merge_table
+from layerloom.params import run_dt
 from layerloom.schemas import SOURCE_DATABASE, SOURCE_TABLES, TableSpec
 from layerloom.sinks.tables import (
+    claim_route,
     clear_partitions,
+    drop_days_from,
     overwrite_found_partitions,
     publish_partitions,
     read_partitions,
@@ -85,11 +88,13 @@ def read_change_log(
 def append_changes(parsed: DataFrame, job: CdcJob, spec: TableSpec, load: str) -> list[str]:
     """Write one load of a table; returns the days it touched (at most one per calendar day).
 
-    Rows without a day stay in the raw table's default partition and are never merged.
+    Rows without a day stay in the raw table's default partition, are never merged, and are
+    kept as bad events.
     """
-    rows = flatten_table(
-        parsed, spec, job.database, dt_policy=job.dt_policy, run_date=job.run_date, keep_order=True
-    )
+    # A stream lives for weeks, so without a fixed date the run date is that of the batch.
+    run_date = job.run_date or (run_dt() if job.dt_policy == "run_date" else None)
+    rows = flatten_table(parsed, spec, job.database, dt_policy=job.dt_policy, run_date=run_date, keep_order=True)
+    _keep_bad(rows_without_day(rows), job.bad_path, f"{load}-{spec.name}")
     days = rows.filter("dt is not null").select("dt").distinct()
     touched = sorted(row["dt"] for row in days.collect())
     path = job.ods_path(spec)
@@ -106,11 +111,14 @@ def merge_days(spark: SparkSession, job: CdcJob, spec: TableSpec, dts: Sequence[
     """
     if not dts:
         return
-    log = read_change_log(spark, job, spec, dts)
+    claim_route(spark, job.dwd_path(spec), "stream")
+    drop_days_from(spark, f"{job.root}/digests/{spec.name}", min(dts))
+    # rows of imports in the same raw table have no change time
+    log = read_change_log(spark, job, spec, dts).filter("op_ms is not null")
     live = merge_table(log, spec.name, etl_time=job.etl_time, **job.merge_options).persist()
     try:
         path, fmt = job.dwd_path(spec), spec.detail_format
-        overwrite_found_partitions(live, path, fmt, spread=len(dts) > 1)
+        overwrite_found_partitions(live, path, fmt, spread=True)
         left = {row["dt"] for row in live.select("dt").distinct().collect()}
         clear_partitions(spark, path, sorted(set(dts) - left), spec.dwd_schema(), fmt)
         publish_partitions(spark, path, dts)
@@ -118,6 +126,10 @@ def merge_days(spark: SparkSession, job: CdcJob, spec: TableSpec, dts: Sequence[
         live.unpersist()
 
 
+def _keep_bad(bad: DataFrame, path: str, load: str) -> None:
+    overwrite_found_partitions(bad.withColumn("load", F.lit(load)), path, by=("load",))
+
+
 def replay_day(spark: SparkSession, job: CdcJob, dt: str) -> None:
     """Run the merge of one day again for all tables; the result is the same each time."""
     for name in job.tables:
@@ -132,8 +144,7 @@ def apply_batch(raw: DataFrame, job: CdcJob, load: str) -> None:
     spark = raw.sparkSession
     parsed = parse_events(with_position(raw)).persist()
     try:
-        bad = bad_events(parsed).withColumn("load", F.lit(load))
-        overwrite_found_partitions(bad, job.bad_path, by=("load",))
+        _keep_bad(bad_events(parsed), job.bad_path, load)
 
         def one_table(name: str) -> None:
             spec = SOURCE_TABLES[name]
@@ -181,6 +192,7 @@ def start_configured(
     def apply(batch: DataFrame, load: str) -> None:
         parsed = parse_events(batch).persist()
         try:
+            _keep_bad(bad_events(parsed), f"{root}/bad_events", load)
 
             def one_target(target: str) -> None:
                 rows = ingest(parsed, by_target[target], **options).withColumn("load", F.lit(load))
@@ -196,8 +208,15 @@ def start_configured(
 def start_append(
     raw: DataFrame, spec: TableSpec, path: str, checkpoint: str, trigger: dict | None = None, **options
 ) -> StreamingQuery:
-    """Only append one table's changes, with the exactly-once file sink of Spark."""
-    rows = flatten_table(parse_events(raw), spec, **options)
-    writer = rows.writeStream.format("parquet").partitionBy("dt").outputMode("append")
-    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "1 minute"})).start()
+    """Only append one table's changes, by load, and keep bad events under ``path`` + ``_bad``."""
+
+    def apply(batch: DataFrame, load: str) -> None:
+        parsed = parse_events(batch).persist()
+        try:
+            _keep_bad(bad_events(parsed), f"{path}_bad", load)
+            rows = flatten_table(parsed, spec, **options).withColumn("load", F.lit(load))
+            overwrite_found_partitions(rows, path, by=("dt", "load"), spread=True)
+        finally:
+            parsed.unpersist()
+
+    return _start_loads(raw, apply, checkpoint, trigger)

@@ -22,7 +22,7 @@ STREAMED_OR_WRITTEN = {
 SINGLE_TASK = {
     "dws_user_stats", "dws_user_stats_repeated", "dws_product_stats", "dws_user_stats_digest",
     "dws_product_stats_digest", "export_user_trend", "export_product_trend",
-    "row_count_recon", "row_totals", "partition_presence", "domain_violations", "null_census",
+    "row_count_recon", "row_totals", "validate_day", "partition_presence", "domain_violations", "null_census",
 }
 
 
