@@ -485,6 +485,11 @@ ORACLES: dict[str, str] = {
         "select case event_id % 11 when 2 then 'payload' when 3 then 'day' else 'unroutable' end as reason, "
         "count(*) as row_count from events where event_id % 11 between 1 and 4 group by 1"
     ),
+    "export_order_positions": with_views(
+        ["ods_o_order"],
+        [("dwd", DWD_ORDER)],
+        f"select row_number() over (order by dt) - 1 as position, dt from (select distinct dt from dwd where dt >= '{EXPORT_SINCE}')",
+    ),
     "minute_order_stats": (
         "select strftime(w, '%Y-%m-%d %H:%M:%S') as window_start, "
         "strftime(w + interval 1 minute, '%Y-%m-%d %H:%M:%S') as window_end, "
@@ -493,7 +498,20 @@ ORACLES: dict[str, str] = {
         "where w + interval 1 minute <= (select max(ts) - interval 5 second from events) "
         "group by w"
     ),
+    "minute_orders_late": (
+        "select strftime(w, '%Y-%m-%d %H:%M:%S') as window_start, "
+        "strftime(w + interval 1 minute, '%Y-%m-%d %H:%M:%S') as window_end, "
+        "count(*) as order_count, cast(sum(cast(value as decimal(10,2))) as decimal(16,2)) as order_amount "
+        "from (select *, date_trunc('minute', ts) as w from events) "
+        "where w + interval 1 minute <= (select max(ts) - interval 5 second from events) "
+        "group by w"
+    ),
     "stream_changelog_append": _FLATTEN,
+    "replay_day_result": (
+        f"select user_id, username, register_time, {_TAIL} from ("
+        "select *, row_number() over (partition by dt, user_id order by op_ts desc, seq desc, pos desc) as rn "
+        f"from ({_ALL_ROWS}) where user_id is not null and op_type <> 'DELETE' and dt = '{RUN_DT}') where rn = 1"
+    ),
     "stream_cdc_merge": (
         f"select user_id, username, register_time, {_TAIL} from ("
         "select *, row_number() over (partition by dt, user_id order by op_ts desc, seq desc, pos desc) as rn "

@@ -24,7 +24,7 @@ from layerloom.sinks.tables import overwrite_found_partitions, read_partitions
 from layerloom.sources.delimited import line_of, parse_lines
 from layerloom.sources.field_list import ingest, read_config, read_short_config
 from layerloom.sources.relational import import_full, import_incremental
-from layerloom.streaming.cdc import CdcJob, apply_batch, read_change_log, start_append, start_ingest
+from layerloom.streaming.cdc import CdcJob, apply_batch, read_change_log, replay_day, start_append, start_ingest
 from layerloom.streaming.windows import minute_order_stats, with_event_time
 
 ETL_TIME = "2024-02-01 00:00:00"
@@ -149,19 +149,55 @@ def stream_changelog_append(spark: SparkSession, sf: str) -> DataFrame:
     return read_partitions(spark, f"{root}/ods", USER.ods_schema()).drop("load")
 
 
+def _batches(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
+    """A stream in which each part arrives as one micro-batch, in order."""
+    folder = scratch_path(spark, "batches")
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _thirds(spark: SparkSession, sf: str) -> list[DataFrame]:
+    events = table(spark, sf, "events")
+    return [events.filter(F.col("event_id") % 3 == i) for i in range(3)]
+
+
 def stream_cdc_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Three micro-batches, each merged into the days that it touches."""
     root = scratch_path(spark, "cdc")
     job = CdcJob(f"{root}/tables", tables=("u_user",), etl_time=ETL_TIME)
-    raw = change_events(_event_stream(spark, sf))
+    raw = change_events(_batches(spark, _thirds(spark, sf)))
     start_ingest(raw, job, f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
     return read_partitions(spark, job.dwd_path(USER), USER.dwd_schema())
 
 
+def replay_day_result(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches only appended, then one day merged by replay, twice."""
+    job = CdcJob(scratch_path(spark, "replay"), tables=("u_user",), etl_time=ETL_TIME, merge_each_batch=False)
+    for n, part in enumerate(_thirds(spark, sf)):
+        apply_batch(change_events(part), job, f"batch-{n}")
+    for _ in range(2):
+        replay_day(spark, job, RUN_DT)
+    return read_partitions(spark, job.dwd_path(USER), USER.dwd_schema())
+
+
 def minute_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Closed one-minute windows of a replayed stream."""
+    return _minutes(spark, _event_stream(spark, sf))
+
+
+def minute_orders_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in three micro-batches, the last of which repeats rows of closed windows: they are dropped."""
+    events = table(spark, sf, "events")
+    half = F.lit("2024-01-15").cast("timestamp_ntz")
+    early, late = events.filter(F.col("ts") < half), events.filter(F.col("ts") >= half)
+    return _minutes(spark, _batches(spark, [early, late, early.filter("event_id % 10 = 0")]))
+
+
+def _minutes(spark: SparkSession, events: DataFrame) -> DataFrame:
     root = scratch_path(spark, "minutes")
     orders = with_event_time(
-        _event_stream(spark, sf).select(to_epoch_ms("ts").alias("ts"), F.col("value").cast("decimal(10,2)").alias("total_amount"))
+        events.select(to_epoch_ms("ts").alias("ts"), F.col("value").cast("decimal(10,2)").alias("total_amount"))
     )
     writer = minute_order_stats(orders).writeStream.format("parquet").outputMode("append")
     writer = writer.option("path", f"{root}/windows").option("checkpointLocation", f"{root}/checkpoint")
@@ -361,6 +397,14 @@ def export_lines(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(f"{folder}/*").select(name.alias("table_name"), F.col("value").alias("line"))
 
 
+def export_order_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """The place of each day in the exported file of the order metrics."""
+    folder = scratch_path(spark, "export")
+    export_csv({"dws_order_stats_di": dws_order_stats(spark, sf)}, folder, EXPORT_SINCE)
+    lines = spark.read.text(f"{folder}/dws_order_stats_di")  # one file, so ids count its lines
+    return lines.select(F.monotonically_increasing_id().alias("position"), F.split("value", ",")[0].alias("dt"))
+
+
 def export_row_summary(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark, "export")
     export_csv(_metric_frames(spark, sf), folder, EXPORT_SINCE)
@@ -485,6 +529,7 @@ QUERIES: dict[str, Query] = {
     "export_user_order_trend": _trend("dws_user_order_basic_di"),
     "export_lines": export_lines,
     "export_row_summary": export_row_summary,
+    "export_order_positions": export_order_positions,
     "validate_day": validate_day,
     "incremental_marks": incremental_marks,
     "mixed_routes": mixed_routes,
@@ -492,6 +537,8 @@ QUERIES: dict[str, Query] = {
     "layered_run": layered_run,
     "layered_run_orders": layered_run_orders,
     "minute_order_stats": minute_orders,
+    "minute_orders_late": minute_orders_late,
     "stream_changelog_append": stream_changelog_append,
     "stream_cdc_merge": stream_cdc_merge,
+    "replay_day_result": replay_day_result,
 }

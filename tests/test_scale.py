@@ -16,7 +16,8 @@ from layerloom.sinks.tables import append_partitions, overwrite_found_partitions
 SF = "/root/testdata/sf0.001"
 STREAMED_OR_WRITTEN = {
     "partition_files", "export_lines", "export_row_summary", "layered_run", "layered_run_orders",
-    "minute_order_stats", "stream_changelog_append", "stream_cdc_merge",
+    "minute_order_stats", "stream_changelog_append", "stream_cdc_merge", "minute_orders_late",
+    "replay_day_result", "export_order_positions", "incremental_marks", "mixed_routes",
 }
 # Frames of one row per calendar day, or one row in all.
 SINGLE_TASK = {
