@@ -41,9 +41,19 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def line_of(columns: Sequence[str]) -> Column:
-    """A row's columns as one line of the same layout."""
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_TOKEN)) for c in columns]
-    return F.concat_ws(DELIMITER, *fields)
+    """A row's columns as one line of the same layout.
+
+    The layout has no escapes: a text that holds the delimiter or a line break, or is the null
+    token itself, would be read back as something else, so it is an error.
+    """
+
+    def field(name: str) -> Column:
+        text = F.col(name).cast("string")
+        misread = text.rlike("[\\x01\\n\\r]") | (text == NULL_TOKEN)
+        message = F.concat(F.lit(f"column {name} holds a value that the text layout cannot carry: "), text)
+        return F.when(misread, F.raise_error(message)).otherwise(F.coalesce(text, F.lit(NULL_TOKEN)))
+
+    return F.concat_ws(DELIMITER, *[field(c) for c in columns])
 
 
 def write_delimited(df: DataFrame, path: str) -> None:

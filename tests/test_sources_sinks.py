@@ -223,3 +223,10 @@ def test_synthetic_amounts_match_details(spark):
     days = made["o_order"].select(F.substring("create_time", 1, 10)).distinct().collect()
     assert [r[0] for r in days] == ["2024-01-31"]
     assert ORDER.key in made["o_order"].columns
+
+
+@pytest.mark.parametrize("text", ["a\u0001b", "a\nb", "\\N"])
+def test_text_that_the_layout_cannot_carry_is_an_error(spark, tmp_path, text):
+    df = spark.createDataFrame([(text, "2024-01-01")], "name string, dt string")
+    with pytest.raises(Exception, match="cannot carry"):
+        delimited.write_delimited(df, str(tmp_path / "out"))
