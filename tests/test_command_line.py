@@ -57,3 +57,14 @@ def test_arguments_are_checked():
         main(["run-day"])
     with pytest.raises(SystemExit):
         main(["unknown", "--root", "x"])
+
+
+def test_validation_and_configured_ingest(spark, root, tmp_path, capsys):
+    main(["validate", "--root", f"{root}/house", DT])
+    assert "repeated_key" in capsys.readouterr().out
+    put(tmp_path / "in", 0, BATCHES[0])
+    configs = tmp_path / "configs.txt"
+    configs.write_text("# tables\nu_user|changes|users|id:BIGINT(20):user_id,name:STRING:username\n")
+    line = ["ingest", "--root", f"{root}/configured", "--checkpoint", str(tmp_path / "ck"), "--files", str(tmp_path / "in"), "--once"]
+    main([*line, "--configs", str(configs), "--rate", "1"])
+    assert spark.read.parquet(f"{root}/configured/ods/users").count() == 2

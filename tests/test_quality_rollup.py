@@ -125,3 +125,12 @@ def test_details_at_order_time(shop, rows):
     orders, details, _ = shop
     got = rollup.details_at_order_time(details, orders)
     assert rows(got, "detail_id", "create_time") == [(1, "t10"), (2, "t10"), (3, "t11")]
+
+
+def test_snapshots_of_a_product_count_once(spark, rows):
+    details = spark.createDataFrame([(1, 7, 1, 2)], "detail_id int, order_id int, product_id int, quantity int")
+    days = [(1, "2024-01-01", "5.00"), (1, "2024-01-02", "3.00"), (1, "bad", "9.00"), (2, "2024-01-01", None)]
+    products = spark.createDataFrame(days, "product_id int, dt string, price string").withColumn("price", F.col("price").cast("decimal(10,2)"))
+    assert [(r.order_id, r.detail_count, str(r.order_amount)) for r in rollup.order_amounts(details, products).collect()] == [(7, 1, "6.00")]
+    prices = {r.product_id: r.price for r in rollup.latest_prices(products).collect()}
+    assert str(prices[1]) == "3.00" and prices[2] is None
