@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -133,6 +134,10 @@ class Bucket:
     pair_context: np.ndarray
     pair_count: np.ndarray
 
+    @cached_property
+    def key(self) -> np.ndarray:
+        return self.pair_word << CONTEXT_BITS | self.pair_context
+
     @staticmethod
     def of(words: np.ndarray, place: np.ndarray, context: np.ndarray, times: np.ndarray) -> Bucket:
         """From training occurrences: ``place`` in sorted ``words``; unused words keep count 0."""
@@ -175,15 +180,15 @@ class Bucket:
             tables, top = self.sweep(tables, top, totals, at, rng, stirling)
             yield tables, top
 
-    def predict(self, place, context, tables, top, totals: Totals, at: int) -> np.ndarray:
-        """Probability of each occurrence; ``place`` is -1 nowhere, as all words of the bucket are known to it."""
+    def predict(self, place, context, tables, parent, totals: Totals, at: int) -> np.ndarray:
+        """Probability of each occurrence, given tables and the parent's probabilities of the words."""
         low = totals.discounts[0]
-        key = self.pair_word << CONTEXT_BITS | self.pair_context
+        key = self.key
         want = place.astype(np.int64) << CONTEXT_BITS | context
         near = np.minimum(np.searchsorted(key, want), max(len(key) - 1, 0))
         hit = key[near] == want if len(key) else np.zeros(len(want), bool)
         own = np.where(hit, self.pair_count[near] - low * tables[near], 0.0) if len(key) else 0.0
-        back = (STRENGTH + low * totals.tables[at][context]) * self.parent(tables, top, totals, at)[place]
+        back = (STRENGTH + low * totals.tables[at][context]) * parent[place]
         return (own + back) / (STRENGTH + totals.customers[context])
 
 
@@ -376,24 +381,26 @@ def _score(schema: pa.Schema, totals: Totals, sweeps: int, burn_in: int):
                 yield found
                 continue
             bucket = found.bucket()
-            total = np.zeros(len(found.place))
-            for s, (tables, top) in enumerate(bucket.states(totals, sweeps, b), 1):
-                if s > burn_in:
-                    total += bucket.predict(found.place, found.context, tables, top, totals, s)
-            model = found.times * np.log10(total / (sweeps - burn_in))
-            count = bucket.word_count[found.place]
-            base = found.times * np.log10((count + 1) / (totals.tokens + totals.known + 1))
+            kept = [
+                (tables, bucket.parent(tables, top, totals, s), s)
+                for s, (tables, top) in enumerate(bucket.states(totals, sweeps, b), 1)
+                if s > burn_in
+            ]
             out = {k: [] for k in ("block", "one", "two", "three", "four")}
             at = 0
-            for block, n in found.blocks:
+            for block, n in found.blocks:  # one block at a time: only its occurrences are expanded
                 part = slice(at, at + n)
                 at += n
+                place, context, times = found.place[part], found.context[part], found.times[part]
+                total = sum(bucket.predict(place, context, tables, parent, totals, s) for tables, parent, s in kept)
+                count = bucket.word_count[place]
+                base = times * np.log10((count + 1) / (totals.tokens + totals.known + 1))
                 texts, where = np.unique(found.owner[part] >> 1, return_inverse=True)
                 out["block"].append(block)
                 out["one"].append(texts.astype(np.uint32).tobytes())
-                for k, v in (("two", base[part]), ("three", model[part])):
-                    out[k].append(np.bincount(where, v).astype(np.float64).tobytes())
-                out["four"].append(np.bincount(where, np.where(count[part] > 0, found.times[part], 0)).astype(np.uint32).tobytes())
+                out["two"].append(np.bincount(where, base).tobytes())
+                out["three"].append(np.bincount(where, times * np.log10(total / len(kept))).tobytes())
+                out["four"].append(np.bincount(where, np.where(count > 0, times, 0)).astype(np.uint32).tobytes())
             m = len(out["block"])
             yield _row(schema, kind=[SCORED] * m, bucket=[b] * m, **out)
 
@@ -405,7 +412,7 @@ def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_I
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
-    buckets = buckets or max(2, shuffle_partitions(spark) // 2)
+    buckets = buckets or shuffle_partitions(spark)
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     narrow = docs.select("doc_id", "text", (crc % MODULUS == HELD_OUT).alias("held"))
     kind = narrow.schema["doc_id"].dataType.simpleString()

@@ -74,7 +74,7 @@ def test_predictions_sum_to_one():
         known = np.flatnonzero(bucket.word_count > 0)
         unknown = np.flatnonzero(bucket.word_count == 0)[:1]
         for c in range(5):
-            p = bucket.predict(np.concatenate((known, unknown)), np.full(len(known) + 1, c), tables, top, totals, at)
+            p = bucket.predict(np.concatenate((known, unknown)), np.full(len(known) + 1, c), tables, bucket.parent(tables, top, totals, at), totals, at)
             assert p.sum() == pytest.approx(1) and (p > 0).all()
         tables, top = bucket.sweep(tables, top, totals, at, np.random.default_rng(at), [log_stirling(d) for d in totals.discounts])
         assert (tables >= 1).all() and (tables <= bucket.pair_count).all()
