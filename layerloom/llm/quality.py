@@ -161,14 +161,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal | N
     def extract(batches):
         for pdf in batches:
             found = [features(t) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "grade": pdf["grade"], "slots": [f[0] for f in found], "counts": [f[1] for f in found]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "grade": pdf["grade"], "slots": [f[0].tobytes() for f in found], "counts": [f[1].tobytes() for f in found]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sparse = texts.mapInPandas(extract, f"doc_id {kind}, grade int, slots array<int>, counts array<float>")
+    sparse = texts.mapInPandas(extract, f"doc_id {kind}, grade int, slots binary, counts binary")
     rows = sparse.orderBy(F.xxhash64("doc_id"), "doc_id", "slots").limit(sample).collect()
     if not rows:
         return None
-    return fit_rows([(np.array(r["slots"], np.int32), np.array(r["counts"], np.float32), r["grade"]) for r in rows])
+    return fit_rows([(np.frombuffer(r["slots"], np.int32), np.frombuffer(r["counts"], np.float32), r["grade"]) for r in rows])
 
 
 def with_quality(docs: DataFrame, model: Ordinal | None, out: str = "quality") -> DataFrame:
