@@ -41,8 +41,8 @@ HELD_OUT, MODULUS = 2, 7
 SWEEPS, BURN_IN = 3, 1
 STRENGTH = 1.0
 EXACT = 40
-BLOCK_TOKENS = 1_500_000
-CACHED_WORDS = 400_000
+BLOCK_TOKENS = 750_000
+CACHED_WORDS = 200_000
 SEED = 7
 END = xxhash.xxh64_intdigest(b"")
 START_CONTEXT = 0
@@ -141,11 +141,15 @@ class Bucket:
     @staticmethod
     def of(words: np.ndarray, place: np.ndarray, context: np.ndarray, times: np.ndarray) -> Bucket:
         """From training occurrences: ``place`` in sorted ``words``; unused words keep count 0."""
-        pair = place.astype(np.int64) << CONTEXT_BITS | context
-        order = np.argsort(pair)
-        pair = pair[order]
+        bits = int(times.max(initial=1)).bit_length()
+        entry = place.astype(np.int64) << CONTEXT_BITS
+        entry |= context
+        entry <<= bits  # how often lies below the pair, so that one sort in place does
+        entry |= times
+        entry.sort()
+        pair = entry >> bits
         first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1]))) if len(pair) else np.zeros(0, int)
-        count = np.add.reduceat(times[order].astype(np.int64), first) if len(pair) else np.zeros(0, np.int64)
+        count = np.add.reduceat(entry & ((1 << bits) - 1), first) if len(pair) else np.zeros(0, np.int64)
         word, context = pair[first] >> CONTEXT_BITS, pair[first] & ((1 << CONTEXT_BITS) - 1)
         return Bucket(words, np.bincount(word, count, len(words)).astype(np.int64), word, context, count)
 
@@ -285,7 +289,7 @@ class Occurrences:
             context = np.frombuffer(three, np.uint16)
             owner, count = np.frombuffer(four, np.uint32).reshape(2, -1)
             place = np.searchsorted(self.words, np.frombuffer(one, U64)).astype(np.int32)
-            parts.append((place[_unsmall(two, len(context))], context, np.repeat(owner, count), _unsmall(five, len(context)).astype(np.int32), block))
+            parts.append((place[_unsmall(two, len(context))], context, np.repeat(owner, count), _unsmall(five, len(context)), block))
         self.place, self.context, self.owner, self.times = (np.concatenate([p[i] for p in parts]) for i in range(4))
         self.blocks = [(p[4], len(p[1])) for p in parts]
 
@@ -306,8 +310,7 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]):
         for b, *row in zip(*columns, strict=True):
             held.setdefault(b, []).append(tuple(row))
     for b in sorted(held):
-        rows = sorted(held.pop(b), key=lambda r: r[0])
-        yield b, Occurrences(rows)
+        yield b, Occurrences(sorted(held.pop(b), key=lambda r: r[0]))
 
 
 SUMS = "name string, place int, value long"
@@ -412,7 +415,7 @@ def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_I
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
-    buckets = buckets or shuffle_partitions(spark)
+    buckets = buckets or max(2, shuffle_partitions(spark) // 2)
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     narrow = docs.select("doc_id", "text", (crc % MODULUS == HELD_OUT).alias("held"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
