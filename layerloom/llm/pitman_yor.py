@@ -1,21 +1,19 @@
 """LM scoring with a hierarchical Pitman-Yor model, seated by Gibbs sampling.
 
-Tokens are words and one end per text. Each context (the token before) is a restaurant whose customers are
-training tokens and whose tables are customers of the one parent restaurant, over a uniform base of all known
-tokens and one unknown. Contexts share a restaurant when their hashes agree in ``CONTEXT_BITS`` bits, so
-restaurant totals are bounded vectors; the dishes of all restaurants are not bounded and stay distributed.
-What a text repeats in one context is counted before it travels.
-
-Every occurrence goes to the bucket of its token, packed, with its context and text. A bucket holds
-all that concerns its tokens: counts, tables in every restaurant, and the parent's tables. A sweep resamples, for
-each token and restaurant, the number of tables from its conditional distribution given all others (generalised
-Stirling numbers up to ``EXACT`` customers; beyond that, customers are seated one by one, then in growing groups). Totals of
-restaurants come from the sweep before, summed over all buckets; that is the only thing that reaches the
-driver. The last job repeats the sweeps with the same seeds, averages the predictive probabilities of those
-after burn-in, and sums their logarithms per text over buckets.
-
-Discounts are estimated from counts of counts of all training tokens. Bucketed occurrences are checkpointed, so a lost executor
-repeats one task.
+Tokens are words and one end per text. Each context (the token before, by its whole 64-bit hash) is a restaurant
+whose customers are training tokens and whose tables are customers of the one parent restaurant, over a uniform base
+of all known tokens and one unknown. No number of words or contexts is fixed: counts, seatings and totals of
+restaurants are distributed tables.
+
+Texts are packed in blocks: its distinct pairs of word and context, and per text which of them it has how often. The
+pairs of all blocks are summed to one row each (combined before the shuffle), with all that seating needs: customers
+and tables. A sweep joins pairs to the totals of their words and contexts and resamples the number of tables of each
+from its conditional distribution given all others (generalised Stirling numbers up to ``EXACT`` customers; beyond
+that, customers are seated one by one, then in growing groups). Each seating is written, so it is drawn once; those
+after burn-in are averaged in the predictive probability of each pair. A block asks for each of its pairs once, so a pair
+that every text has is one row per ``BLOCK_TOKENS`` tokens in that join, and adds up its own texts.
+
+Discounts are estimated from counts of counts of all training tokens. Only sums over all rows reach the driver.
 
 Defined cases: null text counts as empty: its end alone is scored; a row without id hashes as an empty id; repeated
 rows train and are scored each; without training rows every probability is 1; empty tables give no rows; extra columns are ignored.
@@ -34,14 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.llm.common import checkpointed, shuffle_partitions
+from layerloom.llm.common import checkpointed, written
 
-CONTEXT_BITS = 16
+CONTEXT_BITS = 16  # of a Bucket's keys alone: the distributed model takes whole hashes
 HELD_OUT, MODULUS = 2, 7
 SWEEPS, BURN_IN = 3, 1
 STRENGTH = 1.0
 EXACT = 40
 BLOCK_TOKENS = 750_000
+PAIR_ROWS = 50_000
 CACHED_WORDS = 200_000
 SEED = 7
 END = xxhash.xxh64_intdigest(b"")
@@ -66,13 +65,6 @@ def token_hashes(text: str | None, hashes: TokenHashes) -> np.ndarray:
     return out
 
 
-def contexts(tokens: np.ndarray) -> np.ndarray:
-    """The restaurant of each token: high bits of the hash before it."""
-    out = np.full(len(tokens), START_CONTEXT, np.uint16)
-    out[1:] = (tokens[:-1] >> U64(64 - CONTEXT_BITS)).astype(np.uint16)
-    return out
-
-
 # Sampling
 
 
@@ -112,9 +104,20 @@ def sample_tables(count, others, base, discount: float, strength: float, stirlin
     return tables
 
 
+def parent_of(customers, top, everyone: float, top_tables: int, known: int, discount: float):
+    """The parent's predictive probability of words with these customers and tables."""
+    new = (STRENGTH + discount * top_tables) / (known + 1)
+    return (customers - discount * top + new) / (STRENGTH + everyone)
+
+
+def predictive(count, tables, guests, laid, parent, discount: float):
+    """Probability of a word in a context that has ``guests`` customers at ``laid`` tables."""
+    return (count - discount * tables + (STRENGTH + discount * laid) * parent) / (STRENGTH + guests)
+
+
 @dataclass
 class Totals:
-    """Bounded sums over all buckets: training tokens, known tokens, customers and tables."""
+    """Sums over a whole model: training tokens, known tokens, customers and tables."""
 
     tokens: int
     known: int
@@ -126,7 +129,7 @@ class Totals:
 
 @dataclass
 class Bucket:
-    """Counts of one bucket: its tokens, and its pairs of token and restaurant."""
+    """A small model in memory, of up to 2 ** ``CONTEXT_BITS`` contexts, that the distributed one is held against."""
 
     words: np.ndarray
     word_count: np.ndarray
@@ -166,46 +169,25 @@ class Bucket:
 
     def parent(self, tables, top, totals: Totals, at: int) -> np.ndarray:
         """The parent's predictive probability of each word."""
-        high = totals.discounts[1]
         customers = np.bincount(self.pair_word, tables, len(self.words))
-        everyone = float(totals.tables[at].sum())
-        new = (STRENGTH + high * totals.top_tables[at]) / (totals.known + 1)
-        return (customers - high * top + new) / (STRENGTH + everyone)
+        return parent_of(customers, top, float(totals.tables[at].sum()), totals.top_tables[at], totals.known, totals.discounts[1])
 
     def start(self) -> tuple[np.ndarray, np.ndarray]:
         return np.ones(len(self.pair_count), np.int64), (self.word_count > 0).astype(np.int64)
 
-    def states(self, totals: Totals, sweeps: int, bucket: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Tables after each sweep; seeds depend on bucket and sweep alone."""
-        tables, top = self.start()
-        stirling = [log_stirling(d) for d in totals.discounts]
-        for at in range(sweeps):
-            rng = np.random.default_rng((SEED, bucket, at))
-            tables, top = self.sweep(tables, top, totals, at, rng, stirling)
-            yield tables, top
-
     def predict(self, place, context, tables, parent, totals: Totals, at: int) -> np.ndarray:
         """Probability of each occurrence, given tables and the parent's probabilities of the words."""
-        low = totals.discounts[0]
         key = self.key
         want = place.astype(np.int64) << CONTEXT_BITS | context
         near = np.minimum(np.searchsorted(key, want), max(len(key) - 1, 0))
         hit = key[near] == want if len(key) else np.zeros(len(want), bool)
-        own = np.where(hit, self.pair_count[near] - low * tables[near], 0.0) if len(key) else 0.0
-        back = (STRENGTH + low * totals.tables[at][context]) * parent[place]
-        return (own + back) / (STRENGTH + totals.customers[context])
-
-
-# Packed occurrences
+        count, own = (np.where(hit, x[near], 0) if len(key) else 0 for x in (self.pair_count, tables))
+        return predictive(count, own, totals.customers[context], totals.tables[at][context], parent[place], totals.discounts[0])
 
-TEXT, PACKED, SCORED = range(3)
-FIELDS = "kind int, bucket int, block long, doc_ids array<{id}>, one binary, two binary, three binary, four binary, five binary"
 
+# Packed texts
 
-def _row(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    n = len(next(iter(columns.values())))
-    arrays = [columns[f.name] if isinstance(columns.get(f.name), pa.Array) else pa.nulls(n, f.type) if f.name not in columns else pa.array(columns[f.name], f.type) for f in schema]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+FIELDS = "block long, doc_ids array<{id}>, sizes binary, flags binary, runs binary, pairs binary, times binary, words binary, contexts binary, train binary"
 
 
 def _small(x: np.ndarray) -> bytes:
@@ -216,231 +198,205 @@ def _unsmall(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, np.uint16 if len(data) == 2 * n else np.uint32)
 
 
-def _pack(schema: pa.Schema, buckets: int):
+def _block(tokens: list[np.ndarray], flags: list[int]) -> dict[str, bytes]:
+    """Texts as entries (text, pair, times) over the block's distinct pairs; ``train`` counts those not held out."""
+    sizes = np.array([len(t) for t in tokens])
+    starts = np.cumsum(sizes) - sizes
+    words, place = np.unique(np.concatenate([np.array([START_CONTEXT], U64), *tokens]), return_inverse=True)
+    before, place = place[:-1].copy(), place[1:]
+    before[starts] = np.searchsorted(words, U64(START_CONTEXT))
+    pair, where = np.unique(place * len(words) + before, return_inverse=True)
+    train = np.bincount(where, np.repeat(1 - np.array(flags), sizes), len(pair)).astype(np.uint32)
+    # what a text repeats in the same context is one entry, with its number
+    entry, times = np.unique(np.repeat(np.arange(len(sizes)), sizes) * len(pair) + where, return_counts=True)
+    owner = entry // len(pair)
+    return {
+        "sizes": sizes.astype(np.int32).tobytes(),
+        "flags": np.array(flags, np.uint8).tobytes(),
+        "runs": np.bincount(owner, minlength=len(sizes)).astype(np.uint32).tobytes(),
+        "pairs": (entry % len(pair)).astype(np.uint32).tobytes(),
+        "times": _small(times),
+        "words": words[pair // len(words)].tobytes(),
+        "contexts": words[pair % len(words)].tobytes(),
+        "train": train.tobytes(),
+    }
+
+
+def _pack(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = TokenHashes()
         block = TaskContext.get().partitionId() << 32
-        held: list[np.ndarray] = []
-        ids, flags, total = [], [], 0
-
-        def flush():
-            sizes = np.array([len(t) for t in held])
-            tokens, context = np.concatenate(held), np.concatenate([contexts(t) for t in held])
-            owner = np.repeat(np.arange(len(held)), sizes) << 1 | np.repeat(np.array(flags, np.int64), sizes)
-            words, place = np.unique(tokens, return_inverse=True)
-            bits = int(len(words)).bit_length()
-            # what a text repeats in the same context travels once, with its number
-            entry, times = np.unique(owner << (bits + CONTEXT_BITS) | place << CONTEXT_BITS | context, return_counts=True)
-            owner, place, context = entry >> (bits + CONTEXT_BITS), entry >> CONTEXT_BITS & ((1 << bits) - 1), (entry & ((1 << CONTEXT_BITS) - 1)).astype(np.uint16)
-            bucket = (words % U64(buckets)).astype(np.int16 if buckets < 1 << 15 else np.int32)[place]
-            id_type = schema.field("doc_ids").type.value_type
-            yield _row(
-                schema,
-                kind=[TEXT],
-                bucket=[int(block % buckets)],
-                block=[block],
-                doc_ids=pa.array([pa.array(ids, id_type).to_pylist()], pa.list_(id_type)).cast(schema.field("doc_ids").type),
-                one=[sizes.astype(np.int32).tobytes()],
-                two=[np.array(flags, np.uint8).tobytes()],
-            )
-            order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            found = {k: [] for k in ("bucket", "one", "two", "three", "four", "five")}
-            for b in range(buckets):
-                at = order[ends[b] : ends[b + 1]]
-                if not len(at):
-                    continue
-                own, where = np.unique(place[at], return_inverse=True)
-                runs = np.flatnonzero(np.concatenate(([True], owner[at][1:] != owner[at][:-1])))
-                found["bucket"].append(b)
-                found["one"].append(words[own].tobytes())
-                found["two"].append(_small(where))
-                found["three"].append(context[at].tobytes())
-                found["four"].append(np.stack((owner[at][runs], np.diff(np.append(runs, len(at))))).astype(np.uint32).tobytes())
-                found["five"].append(_small(times[at]))
-            n = len(found["bucket"])
-            yield _row(schema, kind=[PACKED] * n, block=[block] * n, **found)
+        tokens, flags, ids, total = [], [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            row = {"block": block, "doc_ids": ids} | _block(tokens, flags)
+            return pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in schema], schema=schema)
 
         for batch in batches:
             columns = (batch[c].to_pylist() for c in ("doc_id", "text", "held"))
             for doc_id, text, flag in zip(*columns, strict=True):
-                tokens = token_hashes(text, hashes)
-                held.append(tokens)
+                tokens.append(token_hashes(text, hashes))
                 ids.append(doc_id)
                 flags.append(int(flag))
-                total += len(tokens)
+                total += len(tokens[-1])
                 if total >= BLOCK_TOKENS:
-                    yield from flush()
-                    held, ids, flags, total = [], [], [], 0
+                    yield flush()
+                    tokens, flags, ids, total = [], [], [], 0
                     block += 1
-        if held:
-            yield from flush()
+        if tokens:
+            yield flush()
 
     return run
 
 
-class Occurrences:
-    """All occurrences of one bucket: words, places, contexts, texts, and how often."""
-
-    def __init__(self, rows: list[tuple]):
-        self.words = np.unique(np.concatenate([np.frombuffer(r[1], U64) for r in rows]))
-        parts = []
-        for block, one, two, three, four, five in rows:
-            context = np.frombuffer(three, np.uint16)
-            owner, count = np.frombuffer(four, np.uint32).reshape(2, -1)
-            place = np.searchsorted(self.words, np.frombuffer(one, U64)).astype(np.int32)
-            parts.append((place[_unsmall(two, len(context))], context, np.repeat(owner, count), _unsmall(five, len(context)), block))
-        self.place, self.context, self.owner, self.times = (np.concatenate([p[i] for p in parts]) for i in range(4))
-        self.blocks = [(p[4], len(p[1])) for p in parts]
-
-    def bucket(self) -> Bucket:
-        train = (self.owner & 1) == 0
-        return Bucket.of(self.words, self.place[train], self.context[train], self.times[train])
-
+def block_pairs(packed: DataFrame) -> DataFrame:
+    """``block, at, word, context, count``: one row for each distinct pair of a block."""
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]):
-    """The packed rows of a partition, gathered per bucket; other rows are given as they come."""
-    held: dict[int, list] = {}
-    for batch in batches:
-        packed = np.asarray(batch["kind"]) == PACKED
-        if not packed.all():
-            yield None, batch.filter(pa.array(~packed))
-        part = batch.filter(pa.array(packed))
-        columns = [part[c].to_pylist() for c in ("bucket", "block", "one", "two", "three", "four", "five")]
-        for b, *row in zip(*columns, strict=True):
-            held.setdefault(b, []).append(tuple(row))
-    for b in sorted(held):
-        yield b, Occurrences(sorted(held.pop(b), key=lambda r: r[0]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                word, context = (np.frombuffer(batch[c][i].as_py(), np.int64) for c in ("words", "contexts"))
+                train = np.frombuffer(batch["train"][i].as_py(), np.uint32).astype(np.int64)
+                columns = [np.full(len(word), batch["block"][i].as_py()), np.arange(len(word), dtype=np.int32), word, context, train]
+                rows = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "at", "word", "context", "count"])
+                yield from (rows.slice(j, PAIR_ROWS) for j in range(0, len(rows), PAIR_ROWS))
 
+    return packed.select("block", "words", "contexts", "train").mapInArrow(run, "block long, at int, word long, context long, count long")
 
-SUMS = "name string, place int, value long"
 
+# Seating
 
-def _sums(pairs: list[tuple[str, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    names = np.concatenate([np.full(len(p), n, object) for n, p, _ in pairs])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(names.tolist(), pa.string()), pa.array(np.concatenate([p for _, p, _ in pairs]), pa.int32()), pa.array(np.concatenate([v for _, _, v in pairs]), pa.int64())],
-        names=["name", "place", "value"],
-    )
 
+@dataclass(frozen=True)
+class Sums:
+    """What the driver knows: sums over all rows, and discounts."""
 
-def _spread(name: str, counts: np.ndarray) -> tuple[str, np.ndarray, np.ndarray]:
-    at = np.flatnonzero(counts)
-    return name, at, counts[at].astype(np.int64)
+    tokens: int
+    known: int
+    discounts: tuple[float, float]
+    tables: int
+    top_tables: int
 
 
-def _total(packed: DataFrame, count) -> dict[str, np.ndarray]:
-    """Sums over all buckets of what ``count(bucket number, Bucket)`` gives; vectors are bounded."""
+def _discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.05, once / (once + 2 * twice))) if once + twice else 0.5
 
-    def run(batches):
-        for b, found in _by_bucket(batches):
-            if b is not None:
-                yield _sums(count(b, found.bucket()))
 
-    out: dict[str, np.ndarray] = {}
-    for r in packed.mapInArrow(run, SUMS).groupBy("name", "place").agg(F.sum("value").alias("value")).collect():
-        out.setdefault(r["name"], np.zeros(1 << CONTEXT_BITS, np.int64))[r["place"]] = r["value"]
-    return out
+PAIRS = "word long, context long, count long, tables long, p double, n long"
+WORDS = "word long, n long, customers long, top long"
 
 
-def _first(b: int, bucket: Bucket):
-    per = lambda w: np.bincount(bucket.pair_context, w, 1 << CONTEXT_BITS)
-    contexts_of = np.bincount(bucket.pair_word, minlength=len(bucket.words))
-    facts = [bucket.word_count.sum(), (bucket.word_count > 0).sum(), (bucket.pair_count == 1).sum(), (bucket.pair_count == 2).sum(), (contexts_of == 1).sum(), (contexts_of == 2).sum()]
-    return [("facts", np.arange(len(facts)), np.array(facts, np.int64)), _spread("customers", per(bucket.pair_count)), _spread("tables", per(np.ones(len(bucket.pair_count))))]
+def _replaced(batch: pa.RecordBatch, names: list[str], **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[c]) if c in columns else batch[c] for c in names], names=names)
 
 
-def _after(totals: Totals, sweeps: int):
-    def count(b: int, bucket: Bucket):
-        *_, (tables, top) = bucket.states(totals, sweeps, b)
-        return [_spread("tables", np.bincount(bucket.pair_context, tables, 1 << CONTEXT_BITS)), ("top", np.array([0]), np.array([top.sum()], np.int64))]
+def _rng(batch: pa.RecordBatch, at: int, *keys: str) -> np.random.Generator:
+    """Seeds come from the sweep and the first row of a batch of sorted rows."""
+    return np.random.default_rng((SEED, at, *(batch[k][0].as_py() & (1 << 64) - 1 for k in keys)))
 
-    return count
 
+def seat_pairs(pairs: DataFrame, words: DataFrame, sums: Sums, at: int, predict: bool, sample: bool) -> DataFrame:
+    """Pairs with the probability that seating ``at`` gives added to ``p``, and with the next seating."""
+    low, high = sums.discounts
 
-def _discount(once: int, twice: int) -> float:
-    return min(0.95, max(0.05, once / (once + 2 * twice))) if once + twice else 0.5
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stirling = log_stirling(low)
+        for batch in batches:
+            if not len(batch):
+                continue
+            count, tables, p, customers, top, guests, laid = (batch[c].to_numpy(zero_copy_only=False) for c in ("count", "tables", "p", "customers", "top", "guests", "laid"))
+            parent = parent_of(customers, top, sums.tables, sums.top_tables, sums.known, high)
+            if predict:
+                p = p + predictive(count, tables, guests, laid, parent, low)
+            if sample:
+                tables = sample_tables(count, np.maximum(laid - tables, 0), parent, low, STRENGTH, stirling, _rng(batch, at, "word", "context"))
+            yield _replaced(batch, ["word", "context", "count", "tables", "p", "n"], tables=tables, p=p)
 
+    restaurants = pairs.groupBy("context").agg(F.sum("count").alias("guests"), F.sum("tables").alias("laid"))
+    met = pairs.drop("n").join(words, "word").join(restaurants, "context")
+    met = met.sortWithinPartitions("word", "context") if sample else met
+    return met.mapInArrow(run, PAIRS)
 
-def fit(packed: DataFrame, sweeps: int = SWEEPS) -> Totals:
-    """Totals before each sweep and after the last, one job each."""
-    zero = np.zeros(1 << CONTEXT_BITS, np.int64)
-    first = _total(packed, _first)
-    facts = first.get("facts", zero)
-    totals = Totals(int(facts[0]), int(facts[1]), first.get("customers", zero), (_discount(facts[2], facts[3]), _discount(facts[4], facts[5])))
-    totals.tables.append(first.get("tables", zero))
-    totals.top_tables.append(totals.known)
-    for s in range(1, sweeps + 1):
-        found = _total(packed, _after(totals, s))
-        totals.tables.append(found.get("tables", zero))
-        totals.top_tables.append(int(found.get("top", zero)[0]))
-    return totals
 
+def seat_words(pairs: DataFrame, words: DataFrame, sums: Sums, at: int) -> DataFrame:
+    """The parent's next seating, of the tables that the pairs have now."""
 
-def _score(schema: pa.Schema, totals: Totals, sweeps: int, burn_in: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, found in _by_bucket(batches):
-            if b is None:
-                yield found
+        stirling = log_stirling(sums.discounts[1])
+        for batch in batches:
+            if not len(batch):
                 continue
-            bucket = found.bucket()
-            kept = [
-                (tables, bucket.parent(tables, top, totals, s), s)
-                for s, (tables, top) in enumerate(bucket.states(totals, sweeps, b), 1)
-                if s > burn_in
-            ]
-            out = {k: [] for k in ("block", "one", "two", "three", "four")}
-            at = 0
-            for block, n in found.blocks:  # one block at a time: only its occurrences are expanded
-                part = slice(at, at + n)
-                at += n
-                place, context, times = found.place[part], found.context[part], found.times[part]
-                total = sum(bucket.predict(place, context, tables, parent, totals, s) for tables, parent, s in kept)
-                count = bucket.word_count[place]
-                base = times * np.log10((count + 1) / (totals.tokens + totals.known + 1))
-                texts, where = np.unique(found.owner[part] >> 1, return_inverse=True)
-                out["block"].append(block)
-                out["one"].append(texts.astype(np.uint32).tobytes())
-                out["two"].append(np.bincount(where, base).tobytes())
-                out["three"].append(np.bincount(where, times * np.log10(total / len(kept))).tobytes())
-                out["four"].append(np.bincount(where, np.where(count > 0, times, 0)).astype(np.uint32).tobytes())
-            m = len(out["block"])
-            yield _row(schema, kind=[SCORED] * m, bucket=[b] * m, **out)
-
-    return run
+            customers, top = (batch[c].to_numpy(zero_copy_only=False) for c in ("customers", "top"))
+            flat = np.full(len(top), 1.0 / (sums.known + 1))
+            top = sample_tables(customers, np.maximum(sums.top_tables - top, 0), flat, sums.discounts[1], STRENGTH, stirling, _rng(batch, at, "word"))
+            yield _replaced(batch, ["word", "n", "customers", "top"], top=top)
+
+    now = pairs.groupBy("word").agg(F.sum("tables").alias("customers"))
+    met = words.drop("customers").join(now, "word").select("word", "n", "customers", "top")
+    return met.sortWithinPartitions("word").mapInArrow(run, WORDS)
+
+
+def predictions(counts: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> tuple[DataFrame, Sums]:
+    """``word, context, p, n`` of all pairs in ``counts(word, context, count)``: probability, and the word's number in training."""
+    seen = (F.col("count") > 0).cast("long")
+    pairs = counts.select("word", "context", "count", seen.alias("tables"), F.lit(0.0).alias("p"), F.lit(0).cast("long").alias("n"))
+    words = pairs.groupBy("word").agg(F.sum("count").alias("n"), F.sum("tables").alias("customers"))
+    words = written(words.withColumn("top", (F.col("n") > 0).cast("long")), "words")
+    number = lambda c, k: F.coalesce(F.sum((F.col(c) == k).cast("long")), F.lit(0))
+    once, twice = pairs.agg(number("count", 1), number("count", 2)).head()
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    tokens, known, tables, *few = words.agg(total("n"), total("top"), total("customers"), number("customers", 1), number("customers", 2)).head()
+    sums = Sums(tokens, known, (_discount(once, twice), _discount(*few)), tables, known)
+    for at in range(sweeps):
+        pairs = written(seat_pairs(pairs, words, sums, at, at > burn_in, True), "pairs")
+        words = written(seat_words(pairs, words, sums, at), "words")
+        tables, top_tables = words.agg(total("customers"), total("top")).head()
+        sums = Sums(tokens, known, sums.discounts, tables, top_tables)
+    last = seat_pairs(pairs, words, sums, sweeps, True, False)
+    return last.select("word", "context", (F.col("p") / (sweeps - burn_in)).alias("p"), "n"), sums
+
+
+# Scoring
 
 
 def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN, buckets: int | None = None) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity`` of every row."""
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity`` of every row.
+
+    ``buckets`` are the partitions of the pair counts, by default as Spark chooses.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
-    buckets = buckets or max(2, shuffle_partitions(spark) // 2)
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     narrow = docs.select("doc_id", "text", (crc % MODULUS == HELD_OUT).alias("held"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     fields = FIELDS.format(id=kind)
     schema = to_arrow_schema(spark.createDataFrame([], fields).schema)
-    packed = checkpointed(narrow.mapInArrow(_pack(schema, buckets), fields).repartition(buckets, "bucket"), "packed")
-    totals = fit(packed, sweeps)
-    scored = packed.mapInArrow(_score(schema, totals, sweeps, burn_in), fields)
-    train_tokens = totals.tokens
-
-    def add_up(part: pa.Table) -> pa.Table:
-        kinds = part["kind"].to_pylist()
-        head = kinds.index(TEXT)
-        sizes = np.frombuffer(part["one"][head].as_py(), np.int32).astype(np.int64)
-        held = np.frombuffer(part["two"][head].as_py(), np.uint8).astype(bool)
-        sums = [np.zeros(len(sizes)), np.zeros(len(sizes)), np.zeros(len(sizes), np.int64)]
-        rows = sorted((b, i) for i, (k, b) in enumerate(zip(kinds, part["bucket"].to_pylist(), strict=True)) if k == SCORED)
-        for _, i in rows:
-            texts = np.frombuffer(part["one"][i].as_py(), np.uint32)
-            for s, c, t in zip(sums, ("two", "three", "four"), (np.float64, np.float64, np.uint32), strict=True):
-                s[texts] += np.frombuffer(part[c][i].as_py(), t)
-        values = [part["doc_ids"][head].values, held, sizes, sums[2], np.full(len(sizes), train_tokens), sums[0], sums[1]]
+    packed = checkpointed(narrow.mapInArrow(_pack(schema), fields), "packed")
+    rows = block_pairs(packed)
+    counts = rows.groupBy("word", "context").agg(F.sum("count").alias("count"))
+    counts = written(counts.repartition(buckets, "word", "context") if buckets else counts, "counts")
+    found, sums = predictions(counts, sweeps, burn_in)
+    answers = rows.select("block", "at", "word", "context").join(found, ["word", "context"]).select("block", "at", "p", "n")
+
+    def add_up(texts: pa.Table, values: pa.Table) -> pa.Table:
+        blob = {c: texts[c][0].as_py() for c in ("sizes", "flags", "runs", "pairs", "times")}
+        sizes, runs = np.frombuffer(blob["sizes"], np.int32), np.frombuffer(blob["runs"], np.uint32)
+        pair = np.frombuffer(blob["pairs"], np.uint32)
+        times, owner = _unsmall(blob["times"], len(pair)), np.repeat(np.arange(len(sizes)), runs)
+        log, base, known = (np.empty(len(values)) for _ in range(3))
+        at, n = values["at"].to_numpy(), values["n"].to_numpy()
+        log[at] = np.log10(values["p"].to_numpy())
+        base[at] = np.log10((n + 1) / (sums.tokens + sums.known + 1))
+        known[at] = n > 0
+        add = lambda x: np.bincount(owner, times * x[pair], len(sizes))
+        held = np.frombuffer(blob["flags"], np.uint8).astype(bool)
+        ids = texts["doc_ids"].combine_chunks().flatten()
+        out = [ids, held, sizes.astype(np.int64), add(known).astype(np.int64), np.full(len(sizes), sums.tokens), add(base), add(log)]
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        return pa.table([v if isinstance(v, pa.Array) else pa.array(v) for v in values], names=names)
+        return pa.table([x if isinstance(x, pa.Array) else pa.array(x) for x in out], names=names)
 
     shape = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    out = scored.groupBy("block").applyInArrow(add_up, shape)
+    texts = packed.select("block", "doc_ids", "sizes", "flags", "runs", "pairs", "times")
+    out = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(add_up, shape)
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

@@ -108,3 +108,29 @@ def test_samples_follow_the_conditional():
     assert np.allclose(got, want / want.sum(), atol=0.015)
     large = sample_tables(np.array([100_000, 41]), np.array([10.0, 10.0]), np.array([0.01, 0.01]), d, strength, stirling, np.random.default_rng(0))
     assert 1 <= large[1] <= 41 and 1 <= large[0] <= 100_000
+
+
+def test_every_context_is_its_own_restaurant(spark):
+    # more contexts than 16 bits tell apart; before any sweep all is exact: a table for each pair
+    rows = [(i, " ".join(f"c{j} w{j % 7}" for j in range(1000 * i, 1000 * i + 1000))) for i in range(90)]
+    rows += [(1000 + i, "hot " * 200) for i in range(20)]  # a word that holds much of all tokens
+    train = [t for i, t in rows if not held(i)]
+    pairs = collections.Counter(p for t in train for p in itertools.pairwise([0, *tokens(t)]))
+    words, guests, laid, customers = (collections.Counter() for _ in range(4))
+    for (c, w), k in pairs.items():
+        words[w] += k
+        guests[c] += k
+        laid[c] += 1
+        customers[w] += 1
+    assert len(guests) > 1 << 16
+    rate = lambda x: min(0.95, max(0.05, x[1] / (x[1] + 2 * x[2])))
+    low, high = rate(collections.Counter(pairs.values())), rate(collections.Counter(customers.values()))
+
+    def p(c, w):
+        parent = (customers[w] - high * (w in words) + (1 + high * len(words)) / (len(words) + 1)) / (1 + len(pairs))
+        return (pairs[c, w] - low * ((c, w) in pairs) + (1 + low * laid[c]) * parent) / (1 + guests[c])
+
+    got = score_documents(spark.createDataFrame(rows, "doc_id long, text string"), sweeps=0, burn_in=-1)
+    got = {r["doc_id"]: r["score"] for r in got.collect()}
+    for i, t in rows:
+        assert got[i] == pytest.approx(math.fsum(math.log10(p(*x)) for x in itertools.pairwise([0, *tokens(t)])), rel=1e-9), i
