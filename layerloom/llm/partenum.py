@@ -35,10 +35,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.llm.common import shuffle_partitions, written
+from layerloom.llm.common import WORD, shuffle_partitions, written
 from layerloom.llm.components import components
 
 WORDS = 5
@@ -258,6 +258,7 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # Spark: from texts to documents, pairs and groups
 
 DOC, STAR, PAIR, MEMBER, BLOB, HOT_BLOB = range(6)
+ROW = "__row_hash"
 FIELDS = "kind int, bucket int, doc_id {id}, a long, b long, n long, sketch binary, keys binary, sizes binary, counts binary, sigs binary"
 
 
@@ -369,6 +370,7 @@ def _sign(schema: pa.Schema, buckets: int, limits: Limits):
                     bucket=bucket,
                     doc_id=part["doc_id"],
                     a=keys,
+                    b=part["row"] if "row" in part.schema.names else None,
                     n=np.array([len(x) for x in sets], np.int64),
                     sketch=[sketch(x) if len(x) else None for x in sets],
                 )
@@ -419,7 +421,7 @@ def _meet(schema: pa.Schema, limits: Limits):
 def _signed(docs: DataFrame, limits: Limits) -> DataFrame:
     spark = docs.sparkSession
     buckets = shuffle_partitions(spark)
-    narrow = docs.select("doc_id", "text")
+    narrow = docs.select("doc_id", "text", *(c for c in docs.columns if c == ROW)).withColumnRenamed(ROW, "row")
     fields = FIELDS.format(id=narrow.schema["doc_id"].dataType.simpleString())
     schema = _arrow(spark, fields)
     signed = narrow.mapInArrow(_sign(schema, buckets, limits), fields)
@@ -518,10 +520,13 @@ def _across(groups: DataFrame, classes: DataFrame, block: int) -> DataFrame:
     return mine.groupBy("g", "i", "j").applyInPandas(compare, "a long, b long")
 
 
-def join_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row: components over all links."""
+def _rooted(docs: DataFrame, limits: Limits) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, key, n, row`` of every row, and ``key, min_row, root`` of every class.
+
+    ``row`` is the column ``ROW`` of ``docs``, if there is one.
+    """
     signed = _signed(docs, limits)
-    rows = signed.filter(F.col("kind") == DOC).select("doc_id", F.col("a").alias("key"), "n", "sketch")
+    rows = signed.filter(F.col("kind") == DOC).select("doc_id", F.col("a").alias("key"), "n", "sketch", F.col("b").alias("row"))
     classes = written(
         rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("min_row"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
         "classes",
@@ -542,6 +547,12 @@ def join_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         roots = components(edges(links.unionByName(late)))
 
     least = classes.join(roots, classes["key"] == roots["u"], "left").select("key", "min_row", F.coalesce("root", "key").alias("root"))
+    return rows.drop("sketch"), least
+
+
+def join_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row: components over all links."""
+    rows, least = _rooted(docs.select("doc_id", "text"), limits)
     names = least.groupBy("root").agg(F.min("min_row").alias("component_id"))
     of_class = least.join(names, "root").select(F.col("key").alias("__key"), "component_id")
     placed = rows.join(of_class, F.col("key") == F.col("__key"), "left")
@@ -549,13 +560,22 @@ def join_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """``docs`` with one row of each component: the one with its least id.
+    """``docs`` with one row of each component: that with its least id, rows without id last.
 
-    Of rows with that id one stays, the same in every run. Rows without an id stay, as nothing names them.
+    Of rows with that id one stays, the same in every run. Rows without words link with nothing: one of each id
+    stays, and all that have no id.
     """
-    found = join_documents(docs, limits)
-    leads = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.length("text"))
-    named = docs.filter(F.col("doc_id").isNotNull()).join(leads, "doc_id", "left_semi")
-    one = named.withColumn("__row", F.row_number().over(first)).filter(F.col("__row") == 1).drop("__row")
-    return one.select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    plain = [f.name for f in docs.schema if f.dataType.typeName() != "map"]
+    marked = docs.withColumn(ROW, F.xxhash64(*plain))
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    rows, roots = _rooted(marked.filter(worded), limits)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("row").alias("row"))
+    of_root = rows.join(roots.select("key", "root"), "key").groupBy("root").agg(F.min(order).alias("lead"))
+    leads = of_root.select(F.col("lead.id").alias("__id"), F.col("lead.row").alias("__row"))
+    named = marked.filter(worded).join(leads, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col(ROW) == F.col("__row")), "left_semi")
+    wordless = marked.filter(~worded)
+    firsts = wordless.filter("doc_id is not null").groupBy("doc_id").agg(F.min(ROW).alias("__row")).withColumnRenamed("doc_id", "__id")
+    empty = wordless.join(firsts, (F.col("doc_id") == F.col("__id")) & (F.col(ROW) == F.col("__row")), "left_semi")
+    # rows of one id and one hash are equal
+    kept = named.dropDuplicates(["doc_id", ROW]).unionByName(empty.dropDuplicates(["doc_id", ROW]))
+    return kept.select(docs.columns).unionByName(docs.filter(~worded & F.col("doc_id").isNull()))

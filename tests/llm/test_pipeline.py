@@ -77,3 +77,11 @@ def test_stages_on_odd_rows(spark):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).collect() == [], name
         assert stage(spark, docs, SF).count() >= 1, name
+
+
+def test_copies_are_dropped_by_row_and_component(spark):
+    copy, other = "a copy of the text of three", "a text that nothing else is like"
+    rows = [(3, copy), (5, copy), (5, other), (6, other), (6, other), (None, copy), (None, "only here and without id"), (None, "only here and without id"), (7, "x"), (7, ""), (7, ""), (None, "")]
+    kept = drop_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(3, copy), (5, other), (None, "only here and without id"), (7, "x"), (7, ""), (None, "")]
+    assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, want))
