@@ -3,12 +3,12 @@
 Three base patterns find labelled credentials. From a bounded sample of distinct labelled
 values, one automaton per kind is inferred (state merging after ALERGIA): a prefix tree with counts,
 whose states are merged while a Hoeffding test cannot tell their continuations apart. Every other
-token of 16 or more characters with a digit is then scored by its mean log likelihood per symbol under each
-automaton; a token that fits a kind as well as all but the worst hundredth of the labelled values, and
+run of 12 or more of the characters that labelled values have, and its parts between dots and equals signs of that
+length, is then scored by its mean log likelihood per symbol under each automaton; of nested ones the outermost that fits counts. A token that fits a kind as well as all but the worst hundredth of the labelled values, and
 better than it fits the automaton of other tokens, is a finding of kind ``format``.
 
 Texts are scanned once by partition; spans and tokens are written, the sample (``SAMPLE``
-values a kind, smallest hash first) is the only thing that reaches the driver.
+values a kind, smallest hash first, labelled ones of any length) is the only thing that reaches the driver.
 
 Defined cases: null text counts as empty; texts are scanned whole; repeated rows and rows without id are scanned
 each; extra columns are ignored by ``scan_secrets`` and kept by ``redact_secrets``. Without labelled values there
@@ -38,12 +38,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 
-TOKEN = re.compile(r"[A-Za-z0-9+/_-]+")
-TOKEN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
-DIGIT = re.compile(r"[0-9]")
-TOKEN_LEAST = 16
+# Candidates have the alphabet and the least length of labelled values.
+TOKEN_LEAST = ASSIGN_LEAST
+RUN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % TOKEN_LEAST)
+PARTS = re.compile(r"[^=]+=*"), re.compile(r"[^.=]+=*"), re.compile(r"[^.=]+")
 SAMPLE = 1000
-LONGEST_SAMPLE = 256
+LONGEST_OTHER = 256
 ALPHA = 0.05
 SMOOTHING = 1e-3
 WORST = 0.01
@@ -63,21 +63,29 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return found
 
 
+def nested(run: str) -> list[tuple[int, int]]:
+    """The run, and its parts: without the marks around it, between equals signs, and between dots; outer ones first."""
+    found = {(0, len(run))}
+    if "=" in run or "." in run:
+        spans = [(0, len(run)), *(m.span() for parts in PARTS for m in parts.finditer(run))]
+        for s, e in spans:
+            s += len(run[s:e]) - len(run[s:e].lstrip(".="))
+            found.add((s, s + len(run[s:e].rstrip("."))))
+    return sorted((x for x in found if x[1] - x[0] >= TOKEN_LEAST), key=lambda x: (x[0], -x[1]))
+
+
 def other_tokens(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
-    """Runs of token characters, 16 or more with a digit, that touch no base span."""
-    found, at = [], 0
+    """Runs of the labelled values' characters, and their parts, that touch no base span."""
+    found = []
     spans = sorted((s, e) for _, s, e, _ in taken)
     starts = [s for s, _ in spans]
     reach, far = [], 0
     for _, e in spans:
         far = max(far, e)
         reach.append(far)
-    while m := DIGIT.search(text, at):
-        start = m.start()
-        while start > at and text[start - 1] in TOKEN_CHARS:
-            start -= 1
-        at = TOKEN.match(text, start).end()
-        if at - start >= TOKEN_LEAST:
+    for m in RUN.finditer(text):
+        for s, e in nested(m[0]):
+            start, at = m.start() + s, m.start() + e
             before = bisect_right(starts, at - 1)  # spans that begin before the token's end
             if not before or reach[before - 1] <= start:
                 found.append((start, at, text[start:at]))
@@ -207,7 +215,13 @@ class Formats:
         return max(fits)
 
     def added(self, tokens) -> list[tuple[int, int, int, float]]:
-        return [(3, s, e, score) for s, e, v in tokens if (score := self.likelihood(v)) is not None]
+        """Findings among tokens in order; what lies in one is not another."""
+        found, reach = [], 0
+        for s, e, v in tokens:
+            if s >= reach and (score := self.likelihood(v)) is not None:
+                found.append((3, s, e, score))
+                reach = e
+        return found
 
 
 # Spark
@@ -227,7 +241,7 @@ def fit_formats(scanned: DataFrame, sample: int = SAMPLE) -> Formats:
     kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("x.kind") + 1)
     labelled = scanned.select(F.explode("base").alias("x")).select(kind.alias("kind"), F.col("x.value").alias("value"))
     other = scanned.select(F.explode("tokens").alias("x")).select(F.lit("other").alias("kind"), F.col("x.value").alias("value"))
-    values = labelled.unionByName(other).filter(F.length("value") <= LONGEST_SAMPLE).distinct()
+    values = labelled.unionByName(other.filter(F.length("value") <= LONGEST_OTHER)).distinct()
     samples = {}
     for name in (*KINDS[:3], "other"):
         rows = values.filter(F.col("kind") == name).orderBy(F.xxhash64("value"), "value").limit(sample).collect()

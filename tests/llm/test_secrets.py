@@ -99,3 +99,25 @@ def test_redaction_takes_effect_and_keeps_other_columns(spark):
     got = redact_secrets(docs).orderBy("doc_id", F.col("text").asc_nulls_last()).collect()
     assert [tuple(r) for r in got] == [(1, "a [assign] z", 12, None), (1, None, None, "s"), (2, "clean words", 11, "s")]
     assert fit_formats(spark.createDataFrame([], "base array<struct<kind:int,value:string>>, tokens array<struct<value:string>>")).kinds == {}
+
+
+def test_short_dotted_padded_and_long_credentials_are_candidates(spark):
+    rng = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    made = lambda n, of=letters: "".join(rng.choice(of) for _ in range(n))
+    part = lambda: made(14, letters + "0123456789")
+    words = ["internationalization", "well-known-phrases", "the.quick.brown.fox", "2024-01-15T10-20-30"]
+    formats = {"letters": lambda: made(13), "dotted": lambda: f"{part()}.{part()}.{part()}", "padded": lambda: made(22, letters + "0123456789") + "=="}
+    for name, value in formats.items():
+        fitted = Formats({"assign": [value() for _ in range(300)], "other": words * 50})
+        for text, start, bare in [(f"bare {v} here", 5, v) for v in [value() for _ in range(20)]] + [(f"at key={v}.", 7, v) for v in [value() for _ in range(20)]]:
+            found = fitted.added(other_tokens(text, base_spans(text)))
+            assert any(s <= start and start + len(bare) <= e for _, s, e, _ in found) or fitted.likelihood(bare) is None, (name, text)
+        bare = [value() for _ in range(200)]
+        hits = sum(bool(fitted.added(other_tokens(f"bare {v} here", []))) for v in bare)
+        assert hits > 190, (name, hits)
+        assert fitted.added(other_tokens(" ".join(words), [])) == []
+    long = [(i, "token=" + made(300, "ABCDEFGH0123")) for i in range(30)]
+    row = [([(0, 0, 306, t[6:])], []) for _, t in long]
+    scanned = spark.createDataFrame(row, "base array<struct<kind:int,start:int,end:int,value:string>>, tokens array<struct<start:int,end:int,value:string>>")
+    assert "assign" in fit_formats(scanned).kinds
