@@ -7,7 +7,8 @@ and tail probability P(grade = 2) follow for every row.
 Features of a whole text: its distinct words, and buckets of its share of each symbol, of repeated words,
 of distinct words, and of its mean word length. The model is fitted on the ``SAMPLE`` labelled rows with
 the smallest id hash (the bound is a parameter); their hashed features, not their texts, reach the driver. Features in
-fewer than ``LEAST_ROWS`` of them keep weight 0.
+fewer than ``LEAST_ROWS`` of them keep weight 0. The least tail of rows that are kept comes from halves of these rows,
+each rated by a model of the other: the cut that costs ``MOST_LOST`` of the good ones, though at least ``LEAST_TAIL``.
 
 Defined cases: null text counts as empty; rows with null quality are no labels, null toxic counts as
 0, and of repeated labels the lowest quality and the highest toxicity hold. Without any labels nothing is rejected and
@@ -30,7 +31,8 @@ SAMPLE = 6000
 LEAST_ROWS = 5
 GRADES = 3
 LEAST_TAIL = 0.5
-STEPS, SPARSITY = 250, 5e-4
+MOST_LOST, LEAST_HELD = 0.02, 50
+STEPS, SPARSITY = 800, 1e-3
 SYMBOLS = "%|*#&$@^~<>{}[]\\/=+_;:!?()\"'-0123456789"
 EDGES = ".,;:!?()\"'%|*#&$@^~<>{}[]\\/=+_-"
 CACHED_WORDS = 400_000
@@ -72,8 +74,8 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 class Ordinal:
     """Weights and thresholds; ``tails`` gives P(grade > j) for j = 0, 1."""
 
-    def __init__(self, weights: np.ndarray, thresholds: np.ndarray):
-        self.weights, self.thresholds = weights, thresholds
+    def __init__(self, weights: np.ndarray, thresholds: np.ndarray, cut: float = LEAST_TAIL):
+        self.weights, self.thresholds, self.cut = weights, thresholds, cut
         self._cache: dict[str, float] = {}
 
     def score(self, text: str | None) -> float:
@@ -93,10 +95,13 @@ class Ordinal:
         return 1 / (1 + np.exp(-np.clip(np.asarray(score)[..., None] - self.thresholds, -500, 500)))
 
     def __getstate__(self):
-        return {"weights": self.weights, "thresholds": self.thresholds, "_cache": {}}
+        return {"weights": self.weights, "thresholds": self.thresholds, "cut": self.cut, "_cache": {}}
 
 
-def fit_rows(rows: list[tuple[np.ndarray, np.ndarray, int]], least_rows: int = LEAST_ROWS) -> Ordinal:
+Rows = list[tuple[np.ndarray, np.ndarray, int]]
+
+
+def fit_rows(rows: Rows, least_rows: int = LEAST_ROWS) -> Ordinal:
     """Maximum likelihood with a sparse penalty, by accelerated proximal gradient; thresholds stay ordered."""
     slots = np.concatenate([r[0] for r in rows]).astype(np.int64)
     values = np.concatenate([r[1] for r in rows]).astype(float)
@@ -147,6 +152,18 @@ def _curvature(row: np.ndarray, where: np.ndarray, values: np.ndarray, n: int, w
     return 0.5 * (norm / n + 1)
 
 
+def choose_cut(rows: Rows) -> float:
+    """The least tail, from two halves that rate each other; the default where good or toxic rows are few."""
+    grade = np.array([r[2] for r in rows])
+    if min((grade == 1).sum(), (grade == 2).sum()) < LEAST_HELD:
+        return LEAST_TAIL
+    tails = np.empty(len(rows))
+    for half in (0, 1):
+        model = fit_rows(rows[1 - half :: 2])
+        tails[half::2] = [model.tails(float((model.weights[slots] * counts).sum()))[1] for slots, counts, _ in rows[half::2]]
+    return max(LEAST_TAIL, float(np.quantile(tails[grade == 2], MOST_LOST)))
+
+
 def grade_of() -> Column:
     return F.when(F.col("quality") < 1, 0).when(F.col("toxic") > 0, 1).otherwise(2)
 
@@ -168,7 +185,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal | N
     rows = sparse.orderBy(F.xxhash64("doc_id"), "doc_id", "slots").limit(sample).collect()
     if not rows:
         return None
-    return fit_rows([(np.frombuffer(r["slots"], np.int32), np.frombuffer(r["counts"], np.float32), r["grade"]) for r in rows])
+    rows = [(np.frombuffer(r["slots"], np.int32), np.frombuffer(r["counts"], np.float32), r["grade"]) for r in rows]
+    model = fit_rows(rows)
+    model.cut = choose_cut(rows)
+    return model
 
 
 def with_quality(docs: DataFrame, model: Ordinal | None, out: str = "quality") -> DataFrame:
@@ -186,15 +206,21 @@ def with_quality(docs: DataFrame, model: Ordinal | None, out: str = "quality") -
     return docs.withColumn(out, rate("text"))
 
 
-def rate_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_tail: float = LEAST_TAIL) -> DataFrame:
+def _cut(model: Ordinal | None, least_tail: float | None) -> float:
+    return least_tail if least_tail is not None else model.cut if model else LEAST_TAIL
+
+
+def rate_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_tail: float | None = None) -> DataFrame:
     """``doc_id, expected_grade, tail, keep`` of every row."""
     narrow = docs.select("doc_id", "text")
-    rated = with_quality(narrow, fit(docs, labels, sample), "q")
-    keep = F.coalesce(F.col("q.tail") >= least_tail, F.lit(True))
+    model = fit(docs, labels, sample)
+    rated = with_quality(narrow, model, "q")
+    keep = F.coalesce(F.col("q.tail") >= _cut(model, least_tail), F.lit(True))
     return rated.select("doc_id", F.col("q.expected_grade").alias("expected_grade"), F.col("q.tail").alias("tail"), keep.alias("keep"))
 
 
-def select_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_tail: float = LEAST_TAIL) -> DataFrame:
+def select_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_tail: float | None = None) -> DataFrame:
     """The rows of ``docs`` whose tail probability is high enough, all columns kept."""
-    rated = with_quality(docs, fit(docs, labels, sample), "__quality")
-    return rated.filter(F.coalesce(F.col("__quality.tail") >= least_tail, F.lit(True))).drop("__quality")
+    model = fit(docs, labels, sample)
+    rated = with_quality(docs, model, "__quality")
+    return rated.filter(F.coalesce(F.col("__quality.tail") >= _cut(model, least_tail), F.lit(True))).drop("__quality")

@@ -59,3 +59,16 @@ def test_without_labels_or_rows(spark):
     assert select_quality(docs.filter(F.lit(False)), none).collect() == []
     assert fit(docs, none) is None
     assert len(features(None)[0]) == len(set(features("")[0].tolist()))
+
+
+def test_held_out_toxic_rows_with_telling_words_are_rejected(spark):
+    telling = {"trash", "pathetic", "idiot", "disgusting", "worthless", "clown", "loser", "scum", "stupid", "moron"}
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    train, test = labels.filter("doc_id % 4 > 0"), labels.filter("doc_id % 4 = 0")
+    docs = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
+    rated = rate_documents(docs, train).join(test, "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()
+    toxic = [r["keep"] for r in rated if r["toxic"] == 1 and r["quality"] == 1 and telling & {w.strip(".,;:!?").lower() for w in r["text"].split()}]
+    good = [r["keep"] for r in rated if r["quality"] == 1 and r["toxic"] == 0]
+    print("toxic with a telling word", len(toxic), "kept", sum(toxic), "good", len(good), "kept", sum(good))
+    assert len(toxic) > 40 and sum(toxic) / len(toxic) < 0.1
+    assert sum(good) / len(good) > 0.97
