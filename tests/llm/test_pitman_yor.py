@@ -134,3 +134,14 @@ def test_every_context_is_its_own_restaurant(spark):
     got = {r["doc_id"]: r["score"] for r in got.collect()}
     for i, t in rows:
         assert got[i] == pytest.approx(math.fsum(math.log10(p(*x)) for x in itertools.pairwise([0, *tokens(t)])), rel=1e-9), i
+
+
+def test_a_hot_word_travels_once_per_block():
+    from layerloom.llm.pitman_yor import TokenHashes, _block, token_hashes
+
+    texts = [token_hashes("hot pair " * 500, TokenHashes()) for _ in range(300)]
+    block = _block(texts, [i % 3 == 0 for i in range(300)])
+    assert len(block["words"]) == len(block["contexts"]) == 4 * 8  # four distinct pairs, however many texts have them
+    train = np.frombuffer(block["train"], np.uint32)
+    assert sorted(train) == [200, 200, 200 * 499, 200 * 500]
+    assert np.frombuffer(block["times"], np.uint16).sum() == 300 * 1001
