@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from layerloom.llm.bloom_cascade import judge_urls
 from layerloom.llm.common import table
+from layerloom.llm.conversations import repair_damaged
 from layerloom.llm.cross_polytope import neighbours
 from layerloom.llm.mixing import mix
 from layerloom.llm.partenum import join_documents
@@ -16,7 +17,9 @@ from layerloom.llm.pieces import encode_documents
 from layerloom.llm.pitman_yor import score_documents
 from layerloom.llm.quality import rate_documents
 from layerloom.llm.secrets import scan_secrets, secret_digest
+from layerloom.llm.spelling import spelling_variants
 from layerloom.llm.surrogates import replace_documents
+from layerloom.llm.token_files import token_index
 from layerloom.llm.topk import top_k
 
 
@@ -60,6 +63,18 @@ def op10_judge_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_scan_secrets": op1_scan_secrets,
     "op2_top_k": op2_top_k,
@@ -71,4 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_replace_entities": op8_replace_entities,
     "op9_score_documents": op9_score_documents,
     "op10_judge_urls": op10_judge_urls,
+    "op11_repair_conversations": op11_repair_conversations,
+    "op12_token_files": op12_token_files,
+    "op13_spelling_variants": op13_spelling_variants,
 }
