@@ -12,7 +12,8 @@ or of positions reads the row groups and pages that can hold it. Documents are e
 
 The tokenizer is a file of the tokenizers library. Its pre-tokenizer never joins what a space or a line feed
 separates, so texts are cut there and each distinct unit of a worker is encoded once while it stays in a bounded
-cache; for a tokenizer of which that is not known, ``whole=True`` encodes texts whole.
+cache; for a tokenizer of which that is not known, ``whole=True`` encodes texts whole. A unit of Latin letters goes to
+the tokenizer's model without its normaliser and splitter, if these only lower-case it.
 
 Defined cases: a null text is empty and has the end id alone; rows without id come first; rows with equal id are ordered by a
 hash of their text; a repeated row is written again; very long texts are one row; an empty table gives a table without
@@ -21,8 +22,11 @@ rows; extra columns are ignored, and none can clash, as two are read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +42,8 @@ PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1024
 CACHED_UNITS = 400_000
 CHUNK_CHARS = 1 << 20
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MARKS = ".,;:!?"
 
 
 def default_tokenizer() -> str:
@@ -55,20 +61,55 @@ class Encoder:
 
         self.tokenizer, self.whole, self.cached = Tokenizer.from_str(definition), whole, cached
         self.cache: dict[str, bytes] = {}
+        self.spelling = self._letters(json.loads(definition))
+
+    @staticmethod
+    def _letters(definition: dict) -> dict[int, str] | None:
+        """How the model spells letters, if a run of them is one word in lower case for this tokenizer."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        kinds = lambda part, steps: [step["type"] for step in (definition[part] or {}).get(steps, ())]
+        if kinds("normalizer", "normalizers") != ["NFC", "Replace", "Lowercase"] or kinds("pre_tokenizer", "pretokenizers") != ["Split", "ByteLevel"]:
+            return None
+        split, level = definition["pre_tokenizer"]["pretokenizers"]
+        if r"|[\p{L}]+|" not in split["pattern"].get("Regex", "") or not split["invert"] or level["add_prefix_space"] or level["use_regex"]:
+            return None
+        spelled = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        return {ord(c): spelled(c.lower())[0][0] for c in map(chr, range(256)) if LETTERS.fullmatch(c)}
 
     def _ids(self, units: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _solve(self, units: list[str]) -> None:
+        """Cache units: a word of Latin letters, alone or before marks, goes to the model at once."""
+        known, others, tokenize = self.cache, [], self.tokenizer.model.tokenize
+        for unit in units:
+            word = unit.rstrip(MARKS)
+            if self.spelling is None or not (word.isascii() and word.isalpha() or LETTERS.fullmatch(word)):
+                others.append(unit)
+                continue
+            ids = known.get(word) if word != unit else None
+            if ids is None:
+                spelled = word.lower() if word.isascii() else word.translate(self.spelling)
+                ids = array("I", [t.id for t in tokenize(spelled)]).tobytes()
+            if word != unit:
+                marks = unit[len(word) :]
+                if marks not in known:
+                    known[marks] = self._ids([marks])[0]
+                ids += known[marks]
+            known[unit] = ids
+        known.update(zip(others, self._ids(others), strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.whole:
             return self._ids(texts)
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         wanted = set().union(*cut) if cut else set()
-        fresh = [u for u in wanted if u not in self.cache]
+        fresh = wanted - self.cache.keys()
         if len(self.cache) + len(fresh) > self.cached:
-            self.cache, fresh = {}, list(wanted)
-        self.cache.update(zip(fresh, self._ids(fresh), strict=True))  # one chunk can go beyond the bound, until the next
+            self.cache, fresh = {}, wanted
+        self._solve(list(fresh))  # one chunk can go beyond the bound, until the next
         get = self.cache.__getitem__
         return [b"".join(map(get, units)) for units in cut]
 

@@ -50,6 +50,16 @@ def test_units_give_the_ids_of_whole_texts(tokenizer):
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(tokenizer, t)[:-1] for t in texts[i : i + 100]]
 
 
+def test_words_give_the_ids_of_the_tokenizer(spark, tokenizer):
+    with open(default_tokenizer(), encoding="utf-8") as file:
+        encoder = Encoder(file.read())
+    assert encoder.spelling is not None
+    units = {u for r in spark.read.parquet(SF).collect() for u in (r["text"] or "").split()}
+    units |= {"É", "ÀÖØßÿ", "Straße!?", "a.,;", "...", "x'", "'s", "don't.", "ÅNGSTRÖM", "×", "a×b", "﻿a", "aª", "º"}
+    units = sorted(units)
+    assert encoder.encode(units) == [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(units, add_special_tokens=False)]
+
+
 def test_digest_equals_plain_encoding(spark, stored, tokenizer):
     docs = sorted(((r["doc_id"], r["text"]) for r in spark.read.parquet(SF).collect()))
     at, want = 0, []
