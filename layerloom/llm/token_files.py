@@ -28,6 +28,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -114,6 +115,12 @@ class Encoder:
         return [b"".join(map(get, units)) for units in cut]
 
 
+@lru_cache(maxsize=1)
+def _encoder(definition: str, whole: bool) -> Encoder:
+    """One encoder a worker, which later tasks find with its cache."""
+    return Encoder(definition, whole)
+
+
 def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``CHUNK_CHARS`` characters."""
     begin = total = 0
@@ -138,7 +145,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None, end: int = END, whole:
     last = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, start = Encoder(shared.value, whole), 0
+        encoder, start = _encoder(shared.value, whole), 0
         for batch in batches:
             texts = batch["text"].to_pylist()
             for a, b in _chunks([len(t or "") for t in texts]):
