@@ -25,6 +25,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -32,6 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,9 +44,9 @@ ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1024
 CACHED_UNITS = 400_000
-CHUNK_CHARS = 1 << 20
+CHUNK_BYTES = 4 << 20
 LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-MARKS = ".,;:!?"
+MARKS = string.punctuation.replace("'", "")  # an apostrophe can begin a word
 
 
 def default_tokenizer() -> str:
@@ -54,7 +56,7 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Ids of texts, as bytes of little-endian 32-bit integers."""
+    """Ids of texts; its cache has those of a unit as bytes of little-endian 32-bit integers."""
 
     def __init__(self, definition: str, whole: bool = False, cached: int = CACHED_UNITS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
@@ -82,37 +84,49 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _solve(self, units: list[str]) -> None:
-        """Cache units: a word of Latin letters, alone or before marks, goes to the model at once."""
-        known, others, tokenize = self.cache, [], self.tokenizer.model.tokenize
+    def _solve(self, units: list[str]) -> list[bytes]:
+        """Ids of units: a word of Latin letters, alone or before marks, goes to the model at once, in lower case."""
+        if len(self.cache) > self.cached:
+            self.cache = {}  # one chunk can go beyond the bound, until the next
+        known, tokenize, out, others = self.cache, self.tokenizer.model.tokenize, [], []
         for unit in units:
             word = unit.rstrip(MARKS)
             if self.spelling is None or not (word.isascii() and word.isalpha() or LETTERS.fullmatch(word)):
-                others.append(unit)
+                if unit not in known:
+                    others.append(unit)
+                out.append(None)
                 continue
-            ids = known.get(word) if word != unit else None
-            if ids is None:
-                spelled = word.lower() if word.isascii() else word.translate(self.spelling)
-                ids = array("I", [t.id for t in tokenize(spelled)]).tobytes()
+            lower = word.lower()
+            if (ids := known.get(lower)) is None:
+                spelled = lower if lower.isascii() else lower.translate(self.spelling)
+                ids = known[lower] = array("I", [t.id for t in tokenize(spelled)]).tobytes()
             if word != unit:
                 marks = unit[len(word) :]
                 if marks not in known:
                     known[marks] = self._ids([marks])[0]
                 ids += known[marks]
-            known[unit] = ids
+            out.append(ids)
         known.update(zip(others, self._ids(others), strict=True))
+        return [known[u] if x is None else x for u, x in zip(units, out, strict=True)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array, *after: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of texts without nulls, one text after the other, each with ``after`` behind it; and how many each has."""
+        tail = np.array(after, "<u4").tobytes()
         if self.whole:
-            return self._ids(texts)
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        wanted = set().union(*cut) if cut else set()
-        fresh = wanted - self.cache.keys()
-        if len(self.cache) + len(fresh) > self.cached:
-            self.cache, fresh = {}, wanted
-        self._solve(list(fresh))  # one chunk can go beyond the bound, until the next
-        get = self.cache.__getitem__
-        return [b"".join(map(get, units)) for units in cut]
+            rows = [ids + tail for ids in self._ids(texts.to_pylist())]
+            return np.frombuffer(b"".join(rows), "<i4"), np.array([len(r) // 4 for r in rows], np.int64)
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")  # a text has one unit at least
+        codes = cut.flatten().dictionary_encode()
+        units = codes.dictionary.to_pylist()
+        solved = [*self._solve(units), tail]
+        flat = np.frombuffer(b"".join(solved), "<i4")
+        sizes = np.fromiter(map(len, solved), np.int64, len(solved)) // 4
+        ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64))
+        order = np.insert(codes.indices.to_numpy().astype(np.int64), ends, len(units))
+        size = sizes[order]
+        until = np.cumsum(size)
+        at = np.arange(until[-1]) + np.repeat((np.cumsum(sizes) - sizes)[order] - (until - size), size)
+        return flat[at], np.diff(until[ends + np.arange(len(ends))], prepend=0)
 
 
 @lru_cache(maxsize=1)
@@ -122,38 +136,32 @@ def _encoder(definition: str, whole: bool) -> Encoder:
 
 
 def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``CHUNK_CHARS`` characters."""
+    """Row ranges of about ``CHUNK_BYTES``."""
     begin = total = 0
     for end, size in enumerate(sizes, 1):
         total += size
-        if total >= CHUNK_CHARS:
+        if total >= CHUNK_BYTES:
             yield begin, end
             begin, total = end, 0
     if begin < len(sizes):
         yield begin, len(sizes)
 
 
-def _lists(rows: list[bytes]) -> pa.ListArray:
-    offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
-
-
 def encode(docs: DataFrame, tokenizer: str | None = None, end: int = END, whole: bool = False) -> DataFrame:
     """``doc_id, start, n_tokens, ids``: texts with the end id; ``start`` counts within a partition."""
     with open(tokenizer or default_tokenizer(), encoding="utf-8") as file:  # a few MB whatever the input
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
-    last = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, start = _encoder(shared.value, whole), 0
         for batch in batches:
-            texts = batch["text"].to_pylist()
-            for a, b in _chunks([len(t or "") for t in texts]):
-                ids = [row + last for row in encoder.encode([t or "" for t in texts[a:b]])]
-                sizes = np.array([len(row) // 4 for row in ids], np.int64)
-                starts = start + np.cumsum(sizes) - sizes
-                start += int(sizes.sum())
-                columns = [batch["doc_id"].slice(a, b - a), pa.array(starts), pa.array(sizes), _lists(ids)]
+            texts = pc.fill_null(batch["text"], "")
+            for a, b in _chunks(pc.binary_length(texts).to_pylist()):
+                ids, sizes = encoder.encode(texts.slice(a, b - a), end)
+                until = np.cumsum(sizes)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], until)).astype(np.int32)), pa.array(ids))
+                columns = [batch["doc_id"].slice(a, b - a), pa.array(start + until - sizes), pa.array(sizes), lists]
+                start += int(until[-1])
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
@@ -35,29 +36,38 @@ def stored(spark, tmp_path_factory):
     return path
 
 
+def definition():
+    with open(default_tokenizer(), encoding="utf-8") as file:
+        return file.read()
+
+
+def encoded(encoder, texts, *after):
+    ids, sizes = encoder.encode(pa.array(texts, pa.string()), *after)
+    return [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+
+
 def ids_of(tokenizer, text):
     return tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def test_units_give_the_ids_of_whole_texts(tokenizer):
-    with open(default_tokenizer(), encoding="utf-8") as file:
-        encoder = Encoder(file.read(), cached=50)
+    encoder = Encoder(definition(), cached=50)
     rng = random.Random(3)
     signs = ["a", "B", "'s", "'", "é", "é", "́", " ", "  ", "\n", "\t", " ", " ", "\x1c", "1", "23", "ß", "İ", "Σ", "中文", "😀", "<|endoftext|>", "…", "don't", "\r\n", "‍", "ﬁ"]
     texts = ["".join(rng.choices(signs, k=rng.randint(0, 30))) for _ in range(2000)]
     for i in range(0, len(texts), 100):
-        got = encoder.encode(texts[i : i + 100])
-        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(tokenizer, t)[:-1] for t in texts[i : i + 100]]
+        assert encoded(encoder, texts[i : i + 100], 1) == [ids_of(tokenizer, t) for t in texts[i : i + 100]]
+    whole = Encoder(definition(), whole=True)
+    assert encoded(whole, texts[:50]) == [ids_of(tokenizer, t)[:-1] for t in texts[:50]]
 
 
 def test_words_give_the_ids_of_the_tokenizer(spark, tokenizer):
-    with open(default_tokenizer(), encoding="utf-8") as file:
-        encoder = Encoder(file.read())
+    encoder = Encoder(definition())
     assert encoder.spelling is not None
     units = {u for r in spark.read.parquet(SF).collect() for u in (r["text"] or "").split()}
     units |= {"É", "ÀÖØßÿ", "Straße!?", "a.,;", "...", "x'", "'s", "don't.", "ÅNGSTRÖM", "×", "a×b", "﻿a", "aª", "º"}
     units = sorted(units)
-    assert encoder.encode(units) == [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(units, add_special_tokens=False)]
+    assert encoded(encoder, units) == [e.ids for e in tokenizer.encode_batch(units, add_special_tokens=False)]
 
 
 def test_digest_equals_plain_encoding(spark, stored, tokenizer):
