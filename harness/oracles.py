@@ -6,7 +6,7 @@ ranked rows), not the way the Spark queries reach it.
 
 from __future__ import annotations
 
-from harness.spark_queries import ETL_TIME, EXPORT_SINCE, RUN_DT, WINDOW
+from harness.spark_queries import DAYS, ETL_TIME, EXPORT_SINCE, RUN_DT, WINDOW
 from harness.views import with_views
 
 _TAIL = f"'mysql_demo_oltp' as data_source, '{ETL_TIME}' as etl_time, dt"
@@ -285,6 +285,34 @@ _RUN_ROWS = " union all ".join(
     for s in _STEPS
 )
 
+_DAYS_RAW = (
+    "select order_id, user_id, cast(total_amount + case when update_time >= lo and update_time < hi then 1 else 0 end as decimal(10,2)) as total_amount, "
+    "order_status, create_time, update_time, d.dt from (select * exclude (dt) from ods_o_order) cross join "
+    f"(values ('{DAYS[0]}', '', '{WINDOW[0]}'), ('{DAYS[1]}', '{WINDOW[0]}', '{WINDOW[1]}')) d(dt, lo, hi)"
+)
+
+
+def _table_rows() -> str:
+    """The latest change of each key of the four tables that ``table_events`` makes, deletes left out before ranking."""
+    floor = "case when amount < 0 then cast(0 as decimal(10,2)) else amount end"
+    shapes = {
+        "u_user": ("user_id", "user_id, event_type, made_at"),
+        "p_product": ("event_id % 500", f"event_id % 500, event_type, {floor}, made_at"),
+        "o_order": ("event_id % 700", f"event_id % 700, user_id, {floor}, case when event_id % 5 in (1, 2, 3) then event_id % 5 else -1 end, made_at"),
+        "o_order_detail": ("event_id % 900", "event_id % 900, event_id % 700, event_id % 500, event_id % 7, made_at"),
+    }
+    parts = [
+        f"select '{name}' as table_name, '{RUN_DT}' as dt, concat_ws('|', {columns}) as row from changes "
+        f"where event_id % 4 = {n} qualify row_number() over (partition by {key} order by ts desc, event_id desc) = 1"
+        for n, (name, (key, columns)) in enumerate(shapes.items())
+    ]
+    changes = (
+        "select *, substr(cast(ts as varchar), 1, 19) as made_at, cast(case when event_id % 9 = 0 then -value else value end as decimal(10,2)) as amount "
+        "from events where event_type <> 'error'"
+    )
+    return f"with changes as ({changes}) " + " union all ".join(f"(select * from ({p}))" for p in parts)
+
+
 ORACLES: dict[str, str] = {
     "dwd_user": with_views(["ods_u_user"], [], DWD_USER),
     "dwd_product": with_views(["ods_p_product"], [], DWD_PRODUCT),
@@ -460,6 +488,14 @@ ORACLES: dict[str, str] = {
         "select * replace (cast(total_order_count as int) as total_order_count, "
         "cast(valid_order_count as int) as valid_order_count) from stats",
     ),
+    "layered_run_days": with_views(
+        ["ods_o_order"],
+        [("raw", _DAYS_RAW), ("dwd", DWD_ORDER.replace("from ods_o_order", "from raw")), ("stats", _order_stats("select distinct dt from dwd"))],
+        "select * replace (cast(total_order_count as int) as total_order_count, "
+        "cast(valid_order_count as int) as valid_order_count) from stats",
+    ),
+    "stream_cdc_tables": _table_rows(),
+    "compacted_replay": _table_rows(),
     "validate_day": with_views(
         ["ods_u_user", "ods_p_product", "ods_o_order", "ods_o_order_detail"],
         [("dwd_u", DWD_USER), ("dwd_p", DWD_PRODUCT), ("dwd_o", DWD_ORDER), ("dwd_d", "select detail_id, order_id, product_id, quantity, create_time, dt from ods_o_order_detail"),

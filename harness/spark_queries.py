@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harness.views import change_events, table, view
+from harness.views import change_events, table, table_events, view
 from layerloom.functions.times import epoch_ms_text, to_epoch_ms
 from layerloom.operators import history, metrics, quality, rollup
 from layerloom.operators.changelog import bad_events, flatten_table, parse_events
@@ -24,13 +24,14 @@ from layerloom.sinks.tables import overwrite_found_partitions, read_partitions
 from layerloom.sources.delimited import line_of, parse_lines
 from layerloom.sources.field_list import ingest, read_config, read_short_config
 from layerloom.sources.relational import import_full, import_incremental
-from layerloom.streaming.cdc import CdcJob, apply_batch, read_change_log, replay_day, start_append, start_ingest
+from layerloom.streaming.cdc import CdcJob, apply_batch, compact_log, read_change_log, replay_day, start_append, start_ingest
 from layerloom.streaming.windows import minute_order_stats, with_event_time
 
 ETL_TIME = "2024-02-01 00:00:00"
 RUN_DT = "2024-01-15"
 EXPORT_SINCE = "2024-01-10"
 WINDOW = ("2024-01-10 00:00:00", "2024-01-20 12:30:00")
+DAYS = ("2024-01-14", RUN_DT)
 FIELD_LINE = "u_user|changes|ods_u_user|id:BIGINT(20):user_id,amount:DECIMAL(12,3):user_id,name:STRING:username,at:DATETIME:register_time"
 SHORT_LINE = "u_user|ods_u_user|user_id,username,register_time,update_time"
 
@@ -181,6 +182,36 @@ def replay_day_result(spark: SparkSession, sf: str) -> DataFrame:
     return read_partitions(spark, job.dwd_path(USER), USER.dwd_schema())
 
 
+def _table_rows(spark: SparkSession, job: CdcJob) -> DataFrame:
+    """The detail rows of all four tables, one text each."""
+    parts = []
+    for name in job.tables:
+        spec = SOURCE_TABLES[name]
+        rows = read_partitions(spark, job.dwd_path(spec), spec.dwd_schema(), spec.detail_format)
+        values = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in spec.detail_columns])
+        parts.append(rows.select(F.lit(name).alias("table_name"), "dt", values.alias("row")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stream_cdc_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Three micro-batches of changes of all four tables, each merged into the stored state of its days."""
+    root = scratch_path(spark, "cdc")
+    job = CdcJob(f"{root}/tables", etl_time=ETL_TIME, dt_policy="run_date", run_date=RUN_DT)
+    start_ingest(table_events(_batches(spark, _thirds(spark, sf))), job, f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+    return _table_rows(spark, job)
+
+
+def compacted_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches appended and folded into one load in between, then merged by replay."""
+    job = CdcJob(scratch_path(spark, "compact"), etl_time=ETL_TIME, dt_policy="run_date", run_date=RUN_DT, merge_each_batch=False)
+    for n, part in enumerate(_thirds(spark, sf)):
+        apply_batch(table_events(part), job, f"batch-{n}")
+        if n:
+            compact_log(spark, job, RUN_DT)
+    replay_day(spark, job, RUN_DT)
+    return _table_rows(spark, job)
+
+
 def minute_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Closed one-minute windows of a replayed stream."""
     return _minutes(spark, _event_stream(spark, sf))
@@ -476,6 +507,20 @@ def layered_run_orders(spark: SparkSession, sf: str) -> DataFrame:
     return daily.Warehouse(spark, root).dws("dws_order_stats_di")
 
 
+def layered_run_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Two days with a snapshot and a window of changed orders each; the first is cleansed again at the end."""
+    root = scratch_path(spark, "days")
+    house, frames = daily.Warehouse(spark, root), _ods_frames(spark, sf)
+    changed = {"o_order": frames["o_order"].withColumn("total_amount", (F.col("total_amount") + 1).cast("decimal(10,2)"))}
+    for dt, now in zip(DAYS, WINDOW, strict=True):
+        daily.run_day(spark, root, frames, dt, ETL_TIME)
+        daily.import_changes(house, changed, dt, now)
+        daily.clean_day(house, dt, ETL_TIME)
+    daily.clean_day(house, DAYS[0], ETL_TIME)
+    daily.backfill_metrics(house, ETL_TIME)
+    return house.dws("dws_order_stats_di")
+
+
 QUERIES: dict[str, Query] = {
     "dwd_user": dwd_user,
     "dwd_product": dwd_product,
@@ -536,9 +581,12 @@ QUERIES: dict[str, Query] = {
     "bad_change_events": bad_change_events,
     "layered_run": layered_run,
     "layered_run_orders": layered_run_orders,
+    "layered_run_days": layered_run_days,
     "minute_order_stats": minute_orders,
     "minute_orders_late": minute_orders_late,
     "stream_changelog_append": stream_changelog_append,
     "stream_cdc_merge": stream_cdc_merge,
     "replay_day_result": replay_day_result,
+    "stream_cdc_tables": stream_cdc_tables,
+    "compacted_replay": compacted_replay,
 }

@@ -18,9 +18,9 @@ VIEWS: dict[str, tuple[str, str]] = {
         """
 select case when user_id % 41 = 0 then null else cast(user_id as int) end as user_id,
        concat('  user_', cast(user_id as string), ' ') as username,
-       substr(cast(min(ts) as string), 1, 19) as register_time,
+       concat('2024-01-', lpad(cast(user_id % 30 + 1 as string), 2, '0'), substr(cast(min(ts) as string), 11, 9)) as register_time,
        substr(cast(max(ts) as string), 1, 19) as update_time,
-       substr(cast(min(ts) as string), 1, 10) as dt
+       concat('2024-01-', lpad(cast(user_id % 30 + 1 as string), 2, '0')) as dt
 from events group by user_id""",
     ),
     "ods_u_user_rows": (
@@ -173,3 +173,25 @@ def change_events(events: DataFrame) -> DataFrame:
     cut = F.col("event_id") % 50 == 7
     value = F.when(cut, F.substring(message, 1, 30)).otherwise(message)
     return events.select(value.alias("value"), F.col("event_id").alias("src_offset"))
+
+
+def table_events(events: DataFrame) -> DataFrame:
+    """Change-log messages for all four tables, one row each, dealt by ``event_id``; keys repeat, so rows get several versions."""
+    text = lambda c: c.cast("string")
+    ts = F.substring(text(F.col("ts")), 1, 19)
+    i = F.col("event_id")
+    amount = text(F.when(i % 9 == 0, -F.col("value")).otherwise(F.col("value")).cast("decimal(10,2)"))
+    shapes = {
+        "u_user": {"user_id": text(F.col("user_id")), "username": F.col("event_type"), "register_time": ts, "update_time": ts},
+        "p_product": {"product_id": text(i % 500), "product_name": F.col("event_type"), "price": amount, "create_time": ts, "update_time": ts},
+        "o_order": {"order_id": text(i % 700), "user_id": text(F.col("user_id")), "total_amount": amount, "order_status": text(i % 5), "create_time": ts, "update_time": ts},
+        "o_order_detail": {"detail_id": text(i % 900), "order_id": text(i % 700), "product_id": text(i % 500), "quantity": text(i % 7), "create_time": ts, "update_time": ts},
+    }
+    row, name = None, None
+    for n, (table_name, columns) in enumerate(shapes.items()):
+        fields = F.create_map(*[x for k, v in columns.items() for x in (F.lit(k), v)])
+        row = F.when(i % 4 == n, fields) if row is None else row.when(i % 4 == n, fields)
+        name = F.when(i % 4 == n, table_name) if name is None else name.when(i % 4 == n, table_name)
+    kind = F.when(F.col("event_type") == "signup", "INSERT").when(F.col("event_type") == "error", "DELETE").otherwise("UPDATE")
+    event = F.struct(F.array(row).alias("data"), F.lit(SOURCE_DATABASE).alias("database"), name.alias("table"), kind.alias("type"), to_epoch_ms("ts").alias("ts"))
+    return events.select(F.to_json(event).alias("value"), i.alias("src_offset"))

@@ -49,27 +49,38 @@ def merge_changes(
     delete survives; ``"tombstone"`` ranks first and drops keys whose last change is a delete.
     ``null_op``: rows without a change type (full imports) are dropped or kept.
     """
+    if dt is not None:
+        ods = ods.filter(F.col("dt") == dt)
+    return live_rows(newest_changes(ods, spec, scope, delete_mode, null_op), spec, rules, etl_time)
+
+
+def _live() -> Column:
+    return F.col("op_type").isNull() | (F.col("op_type") != DELETE)
+
+
+def newest_changes(ods: DataFrame, spec: TableSpec, scope: str = "dt", delete_mode: str = "filter", null_op: str = "drop") -> DataFrame:
+    """The latest change of each key, with its order marks; with ``"tombstone"`` also deletes.
+
+    It can be folded: the newest of the newest changes of parts of a log are those of the whole log.
+    """
     _one_of("scope", scope, ("dt", "all"))
     _one_of("delete_mode", delete_mode, ("filter", "tombstone"))
     _one_of("null_op", null_op, ("drop", "keep"))
-    if dt is not None:
-        ods = ods.filter(F.col("dt") == dt)
     if null_op == "drop":
         ods = ods.filter(F.col("op_type").isNotNull())
-    live = F.col("op_type").isNull() | (F.col("op_type") != DELETE)
     if delete_mode == "filter":
-        ods = ods.filter(live)
-
+        ods = ods.filter(_live())
     order_by = [c for c in ORDER_COLUMNS if c in ods.columns]
     # The key first: its values differ early, which makes the sort before the aggregate cheap.
     keys = [spec.key, "dt"] if scope == "dt" else [spec.key]
     needed = dict.fromkeys([*keys, *order_by, *spec.detail_columns, "op_type", "dt"])
-    newest = latest_rows(ods.select(*needed), keys, order_by)
-    if delete_mode == "tombstone":
-        newest = newest.filter(live)
+    return latest_rows(ods.select(*needed), keys, order_by)
+
 
+def live_rows(newest: DataFrame, spec: TableSpec, rules: dict[str, Column] | None = None, etl_time: str | None = None) -> DataFrame:
+    """Detail rows of the latest changes, without deleted keys."""
     rules = rules or {}
-    return newest.select(
+    return newest.filter(_live()).select(
         *[rules.get(c, F.col(c)).alias(c) for c in spec.detail_columns],
         F.lit(DATA_SOURCE).alias("data_source"),
         load_time(etl_time).alias("etl_time"),

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import re
 import time
+from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,16 +29,15 @@ from layerloom.operators.quality import (
 )
 from layerloom.params import now_text, run_dt
 from layerloom.plans.runlog import STEPS, MetricStore, flow_metrics, sync_metrics
-from layerloom.schemas import SOURCE_TABLES, dws_schema
+from layerloom.schemas import IMPORTED, SOURCE_TABLES, dws_schema
+from layerloom.sinks import loads
 from layerloom.sinks.tables import (
     claim_route,
     conform,
     drop_days_from,
     overwrite_found_partitions,
-    overwrite_load,
     overwrite_partition,
     partition_days,
-    partition_exists,
     publish_partitions,
     read_partitions,
     register_table,
@@ -54,7 +54,7 @@ class CheckFailed(RuntimeError):
 class Warehouse:
     """Folder layout of the layers.
 
-    Raw tables lie in ``dt=/load=`` folders: full imports write the load ``full``, windows
+    Raw tables have published loads (``sinks.loads``): full imports write the load ``full``, windows
     ``since_<mark>``, streams a load per batch. With ``catalog``, a database, every import
     and every layer registers its tables and partitions there.
     """
@@ -74,18 +74,47 @@ class Warehouse:
         return f"{self.root}/dws/{table}"
 
     def ods(self, table: str, dts: list[str] | None = None) -> DataFrame:
-        """Imported rows; the change log of a stream in the same table is not among them."""
-        schema = _raw_schema(table)
-        rows = read_partitions(self.spark, self.ods_path(table), schema, dts=dts)
-        return rows.filter(F.col("load").rlike(IMPORTED)).drop("load")
-
-    def publish(self, path: str, dts: list[str], schema: T.StructType, fmt: str = "parquet", load: str | None = None) -> None:
+        """Imported rows; the change log of a stream in the same table is not among them.
+
+        A day can have a snapshot and windows that were read after it. The rows of its newest load with a key count;
+        rows of one load stay as they are, and so do rows without a key.
+        """
+        path, wanted = self.ods_path(table), lambda name: re.match(IMPORTED, name) is not None
+        rows = loads.read_loads(self.spark, path, _raw_schema(table), dts, wanted)
+        per_day = Counter(load.dt for load in loads.published(self.spark, path, dts) if wanted(load.name))
+        mixed = sorted(day for day, n in per_day.items() if n > 1)
+        if not mixed:
+            return rows.drop("load")
+        key = F.col(SOURCE_TABLES[table].key)
+        several = F.col("dt").isin(mixed) & key.isNotNull()
+        age = F.regexp_replace("load", "^full$", "")  # windows are named after their start
+        ranked = rows.filter(several).withColumn("age", age)
+        newest = F.max("age").over(Window.partitionBy("dt", SOURCE_TABLES[table].key))
+        kept = ranked.withColumn("newest", newest).filter("age = newest").drop("age", "newest")
+        return rows.filter(~several).unionByName(kept).drop("load")
+
+    def publish(self, path: str, dts: list[str], schema: T.StructType, fmt: str = "parquet") -> None:
         """Mark days of a table finished; with a catalog, register the table and the days."""
-        name = None
+        name = self._registered(path, schema, fmt, ("dt",), True) if self.catalog else None
+        publish_partitions(self.spark, path, dts, name)
+
+    def publish_load(self, table: str, load: loads.Load, replaces: Callable[[str], bool] | None = None) -> None:
+        """Let a written load count, then remove what it replaces: its own earlier tries and, on its day, other loads."""
+        path = self.ods_path(table)
+        before = [x for x in loads.published(self.spark, path, [load.dt]) if replaces and replaces(x.name)]
+        gone = loads.publish(self.spark, path, [load], everywhere=replaces is None)
+        gone += loads.remove(self.spark, path, before)
+        publish_partitions(self.spark, path, [load.dt])
         if self.catalog:
-            name = f"{self.catalog}.{path.rsplit('/', 1)[1]}"
-            register_table(self.spark, name, path, schema, fmt, ("dt", "load") if load else ("dt",))
-        publish_partitions(self.spark, path, dts, name, load)
+            name = self._registered(path, _raw_schema(table), "parquet", ("dt", "load"), False)
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (dt='{load.dt}', load='{load.stored}')")
+            for old in gone:
+                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (dt='{old.dt}', load='{old.stored}')")
+
+    def _registered(self, path: str, schema: T.StructType, fmt: str, by: tuple[str, ...], repair: bool) -> str:
+        name = f"{self.catalog}.{path.rsplit('/', 1)[1]}"
+        register_table(self.spark, name, path, schema, fmt, by, repair)
+        return name
 
     def dwd(self, table: str, dts: list[str] | None = None) -> DataFrame:
         spec = SOURCE_TABLES[table]
@@ -110,9 +139,6 @@ class Warehouse:
         return MarkStore(self.spark, f"{self.root}/{self.mark_folder}")
 
 
-# Fixed value: names of loads that imports write.
-IMPORTED = "^(full$|since_)"
-
 
 def _raw_schema(table: str) -> T.StructType:
     return T.StructType([*SOURCE_TABLES[table].ods_schema().fields, T.StructField("load", T.StringType())])
@@ -123,9 +149,9 @@ def import_day(house: Warehouse, sources: Mapping[str, DataFrame], dt: str) -> N
 
     def one(name: str) -> None:
         rows = import_full(sources[name], SOURCE_TABLES[name], dt)
-        # a full snapshot of the day stands for the imports of that day before it
-        overwrite_load(rows, house.ods_path(name), dt, "full")
-        house.publish(house.ods_path(name), [dt], _raw_schema(name), load="full")
+        # a full snapshot of the day stands for the imports of that day before it, and for no other day
+        load = loads.write_load(rows, house.ods_path(name), dt, "full")
+        house.publish_load(name, load, replaces=lambda other: other.startswith("since_"))
 
     run_together(one, sources)
 
@@ -145,9 +171,7 @@ def import_changes(
     def one(name: str) -> None:
         last = house.marks.current(name)
         rows = import_incremental(sources[name], SOURCE_TABLES[name], last, now, dt)
-        load = "since_" + re.sub("[^0-9]", "", last)
-        overwrite_load(rows, house.ods_path(name), dt, load)
-        house.publish(house.ods_path(name), [dt], _raw_schema(name), load=load)
+        house.publish_load(name, loads.write_load(rows, house.ods_path(name), dt, "since_" + re.sub("[^0-9]", "", last)))
         house.marks.advance(name, now)
 
     run_together(one, sources)
@@ -177,10 +201,10 @@ def check_counts(
 def check_partitions(house: Warehouse, tables: Iterable[str], dt: str) -> DataFrame:
     """Presence and data files of the raw partition ``dt`` of every table.
 
-    Both come from the folders, so an empty but written partition is present.
+    Both come from the folders, so an empty but published partition is present.
     """
     spark = house.spark
-    found = {t: partition_exists(spark, house.ods_path(t), dt) for t in tables}
+    found = {t: bool(loads.published(spark, house.ods_path(t), [dt])) for t in tables}
     expected = spark.createDataFrame([(t, dt, p) for t, p in found.items()], "table_name string, dt string, present boolean")
     files = [
         partition_files(spark, house.ods_path(t), dt).select(F.lit(t).alias("table_name"), "data_files")

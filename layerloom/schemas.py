@@ -159,3 +159,7 @@ DWS_SPECS: dict[str, tuple[tuple[str, str], ...]] = {
 
 def dws_schema(table: str) -> T.StructType:
     return _schema(DWS_SPECS[table] + (("etl_time", "string"), ("dt", "string")))
+
+
+# Fixed value: names of raw loads that imports write.
+IMPORTED = "^(full$|since_)"

@@ -1,7 +1,6 @@
 """Partitioned table writers.
 
-A table is a folder with ``dt=...`` partitions; raw tables also have ``load=...`` folders below
-them, one for each import or stream batch, which a repeated load replaces. Rows are written from the tasks that hold
+A table is a folder with ``dt=...`` partitions; for the loads of raw tables see ``sinks.loads``. Rows are written from the tasks that hold
 them; ``spread=True`` first rebalances by ``dt`` for backfills over many days, where AQE
 splits a day that is larger than a normal partition instead of sending it to one task.
 """
@@ -26,10 +25,6 @@ def partition_path(path: str, dt: str) -> str:
     return f"{path.rstrip('/')}/dt={dt}"
 
 
-def load_path(path: str, dt: str, load: str) -> str:
-    return f"{partition_path(path, dt)}/load={load}"
-
-
 class RouteConflict(RuntimeError):
     """A detail table is written by the other ingest route."""
 
@@ -63,19 +58,6 @@ def overwrite_partition(df: DataFrame, path: str, dt: str, fmt: str = "parquet")
     rows.write.mode("overwrite").format(fmt).options(**_options(fmt)).save(partition_path(path, dt))
 
 
-def overwrite_load(df: DataFrame, path: str, dt: str, load: str, fmt: str = "parquet") -> None:
-    """Replace one load of a raw partition; the same load of other days is dropped.
-
-    So a load that is repeated under another day is not there twice.
-    """
-    spark = df.sparkSession
-    system, pattern = _folder(spark, f"{path.rstrip('/')}/dt=*/load={load}")
-    for status in system.globStatus(pattern) or []:
-        if status.getPath().getParent().getName() != f"dt={dt}":
-            system.delete(status.getPath(), True)
-    df.drop("dt").write.mode("overwrite").format(fmt).options(**_options(fmt)).save(load_path(path, dt, load))
-
-
 def overwrite_found_partitions(
     df: DataFrame, path: str, fmt: str = "parquet", by: tuple[str, ...] = ("dt",), spread: bool = False
 ) -> None:
@@ -151,26 +133,24 @@ def read_partitions(
     return spark.read.format(fmt).schema(schema).option("basePath", path).load(folders)
 
 
-def publish_partitions(
-    spark: SparkSession, path: str, dts: Iterable[str], table: str | None = None, load: str | None = None
-) -> None:
+def publish_partitions(spark: SparkSession, path: str, dts: Iterable[str], table: str | None = None) -> None:
     """Mark partitions finished and, for a catalog table, register them."""
     dts = list(dts)
     for dt in dts:
         system, marker = _folder(spark, f"{partition_path(path, dt)}/{SUCCESS_FILE}")
         system.create(marker, True).close()
     if table is not None and dts:
-        of_load = f", load='{load}'" if load else ""
-        partitions = " ".join(f"PARTITION (dt='{dt}'{of_load})" for dt in dts)
+        partitions = " ".join(f"PARTITION (dt='{dt}')" for dt in dts)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partitions}")
 
 
 def register_table(
-    spark: SparkSession, table: str, path: str, schema: T.StructType, fmt: str = "parquet", by: tuple[str, ...] = ("dt",)
+    spark: SparkSession, table: str, path: str, schema: T.StructType, fmt: str = "parquet", by: tuple[str, ...] = ("dt",), repair: bool = True
 ) -> None:
-    """A catalog table over a table folder; existing partitions are picked up."""
+    """A catalog table over a table folder; existing partitions are picked up, unless they are added one by one."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {fmt} PARTITIONED BY ({', '.join(by)}) LOCATION '{path}'"
     )
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+    if repair:
+        spark.sql(f"MSCK REPAIR TABLE {table}")

@@ -1,16 +1,18 @@
 """Change-log ingest: one stream, parsed once, fanned out to raw and detail tables.
 
-Every micro-batch appends its rows to the raw tables and then recomputes the latest rows of
-the partitions it touched. A merge reads the raw log of a whole day, so with large days and
-short triggers set ``merge_each_batch=False`` and run ``replay_day`` on a schedule.
-
-``foreachBatch`` may run a batch again after a failure; raw rows are therefore written to a
-``load`` folder named after query and batch, which a second run replaces, and detail
-partitions are overwritten.
+Every micro-batch appends its rows to the raw tables and merges them into the latest change of each key
+of the days that it touched. That state is a table of its own, so a batch reads its own rows and the state of those days, not
+their log; the log of a day is read where it has no state yet, and by ``replay_day``, which builds the state anew.
+A state belongs to one set of merge options: replay the days after changing them.
+
+``foreachBatch`` may run a batch again after a failure. Raw rows are a load named after query and batch, which a second run
+replaces; a change that is merged twice stays the latest or does not; detail partitions are overwritten. ``compact_log`` folds the many
+loads of a day into one.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -21,16 +23,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from layerloom.jobs import run_together
 from layerloom.operators.changelog import bad_events, flatten_table, parse_events, rows_without_day
-from layerloom.operators.merge import merge_table
+from layerloom.operators.merge import ORDER_COLUMNS, live_rows, merge_rules, newest_changes
 from layerloom.params import run_dt
-from layerloom.schemas import SOURCE_DATABASE, SOURCE_TABLES, TableSpec
+from layerloom.schemas import IMPORTED, SOURCE_DATABASE, SOURCE_TABLES, TableSpec
+from layerloom.sinks import loads
 from layerloom.sinks.tables import (
     claim_route,
     clear_partitions,
     drop_days_from,
     overwrite_found_partitions,
     publish_partitions,
-    read_partitions,
 )
 from layerloom.sources.field_list import IngestConfig, ingest
 
@@ -60,6 +62,9 @@ class CdcJob:
     def dwd_path(self, spec: TableSpec) -> str:
         return f"{self.root}/dwd/{spec.dwd_name}"
 
+    def state_path(self, spec: TableSpec) -> str:
+        return f"{self.root}/state/{spec.ods_name}"
+
     @property
     def bad_path(self) -> str:
         return f"{self.root}/bad_events"
@@ -81,12 +86,12 @@ def with_position(raw: DataFrame) -> DataFrame:
 def read_change_log(
     spark: SparkSession, job: CdcJob, spec: TableSpec, dts: Sequence[str] | None = None
 ) -> DataFrame:
-    """The raw log of a table; with ``dts`` only the folders of those days are listed."""
-    return read_partitions(spark, job.ods_path(spec), change_log_schema(spec), dts=dts)
+    """The published raw log of a table; with ``dts`` only the folders of those days are listed."""
+    return loads.read_loads(spark, job.ods_path(spec), change_log_schema(spec), dts)
 
 
 def append_changes(parsed: DataFrame, job: CdcJob, spec: TableSpec, load: str) -> list[str]:
-    """Write one load of a table; returns the days it touched (at most one per calendar day).
+    """Write and publish one load of a table; returns the days it touched (at most one per calendar day).
 
     Rows without a day stay in the raw table's default partition, are never merged, and are
     kept as bad events.
@@ -95,17 +100,50 @@ def append_changes(parsed: DataFrame, job: CdcJob, spec: TableSpec, load: str) -
     run_date = job.run_date or (run_dt() if job.dt_policy == "run_date" else None)
     rows = flatten_table(parsed, spec, job.database, dt_policy=job.dt_policy, run_date=run_date, keep_order=True)
     _keep_bad(rows_without_day(rows), job.bad_path, f"{load}-{spec.name}")
-    days = rows.filter("dt is not null").select("dt").distinct()
-    touched = sorted(row["dt"] for row in days.collect())
+    days = [row["dt"] for row in rows.select("dt").distinct().collect()]
     path = job.ods_path(spec)
-    # Spread by day: every task of a large batch would write a file into every day otherwise.
-    overwrite_found_partitions(rows.withColumn("load", F.lit(load)), path, by=("dt", "load"), spread=True)
+    written = loads.write_load_days(rows, path, load, days)
+    loads.publish(rows.sparkSession, path, written)
+    touched = sorted(day for day in days if day is not None)
     publish_partitions(rows.sparkSession, path, touched)
     return touched
 
 
-def merge_days(spark: SparkSession, job: CdcJob, spec: TableSpec, dts: Sequence[str]) -> None:
-    """Recompute the detail partitions ``dts`` from the whole raw log of those days.
+def state_schema(spec: TableSpec) -> T.StructType:
+    """The latest change of each key and day: key, day, order marks, detail columns, kind of change."""
+    known = {f.name: f for f in change_log_schema(spec).fields}
+    marks = [c for c in ORDER_COLUMNS if c in known]
+    names = dict.fromkeys([spec.key, *marks, *spec.detail_columns, "op_type", "dt", "load"])
+    return T.StructType([known[n] for n in names])
+
+
+# Fixed value: the name under which states are stored as loads.
+STATE = "state"
+
+
+def changes_to_merge(spark: SparkSession, job: CdcJob, spec: TableSpec, dts: Sequence[str], load: str | None) -> DataFrame:
+    """What decides the latest changes of the days: their state and the rows of ``load``, or their log.
+
+    The log is read of days without a state, and of all days without ``load``.
+    """
+    log, states = job.ods_path(spec), job.state_path(spec)
+    have = {found.dt for found in loads.published(spark, states, dts)} if load else set()
+    known, new = [dt for dt in dts if dt in have], [dt for dt in dts if dt not in have]
+    columns = [f.name for f in state_schema(spec).fields if f.name != "load"]
+    parts = []
+    if new:
+        parts.append(loads.read_loads(spark, log, change_log_schema(spec), new))
+    if known:
+        parts.append(loads.read_loads(spark, log, change_log_schema(spec), known, lambda name: name == load))
+        parts.append(loads.read_loads(spark, states, state_schema(spec), known))
+    rows = parts[0].select(columns)
+    for part in parts[1:]:
+        rows = rows.unionByName(part.select(columns))
+    return rows.filter("op_ms is not null")  # rows of imports in the same raw table have no change time
+
+
+def merge_days(spark: SparkSession, job: CdcJob, spec: TableSpec, dts: Sequence[str], load: str | None = None) -> None:
+    """Merge the rows of ``load`` into the detail partitions ``dts``; without it, build them from the whole log.
 
     A day whose keys were all deleted has no rows left and is emptied explicitly.
     """
@@ -113,17 +151,29 @@ def merge_days(spark: SparkSession, job: CdcJob, spec: TableSpec, dts: Sequence[
         return
     claim_route(spark, job.dwd_path(spec), "stream")
     drop_days_from(spark, f"{job.root}/digests/{spec.name}", min(dts))
-    # rows of imports in the same raw table have no change time
-    log = read_change_log(spark, job, spec, dts).filter("op_ms is not null")
-    live = merge_table(log, spec.name, etl_time=job.etl_time, **job.merge_options).persist()
-    try:
-        path, fmt = job.dwd_path(spec), spec.detail_format
-        overwrite_found_partitions(live, path, fmt, spread=True)
-        left = {row["dt"] for row in live.select("dt").distinct().collect()}
-        clear_partitions(spark, path, sorted(set(dts) - left), spec.dwd_schema(), fmt)
-        publish_partitions(spark, path, dts)
-    finally:
-        live.unpersist()
+    states = job.state_path(spec)
+    options = {"delete_mode": "filter", "null_op": "drop"} | {k: v for k, v in job.merge_options.items() if k != "scope"}
+    newest = newest_changes(changes_to_merge(spark, job, spec, dts, load), spec, **options)
+    loads.publish(spark, states, loads.write_load_days(newest, states, STATE, dts), everywhere=False)
+
+    stored = loads.read_loads(spark, states, state_schema(spec), dts)
+    live = live_rows(stored, spec, merge_rules(spec.name), job.etl_time)
+    path, fmt = job.dwd_path(spec), spec.detail_format
+    overwrite_found_partitions(live, path, fmt, spread=True)
+    left = {row["dt"] for row in live.select("dt").distinct().collect()}
+    clear_partitions(spark, path, sorted(set(dts) - left), spec.dwd_schema(), fmt)
+    publish_partitions(spark, path, dts)
+
+
+def compact_log(spark: SparkSession, job: CdcJob, dt: str) -> None:
+    """Fold the change loads of one day into one sorted load for each table; imports stay as they are."""
+
+    def one_table(name: str) -> None:
+        spec = SOURCE_TABLES[name]
+        order = [spec.key, *(c for c in ORDER_COLUMNS if c in change_log_schema(spec).names)]
+        loads.compact_day(spark, job.ods_path(spec), change_log_schema(spec), dt, order, lambda load: not re.match(IMPORTED, load))
+
+    run_together(one_table, job.tables)
 
 
 def _keep_bad(bad: DataFrame, path: str, load: str) -> None:
@@ -150,7 +200,7 @@ def apply_batch(raw: DataFrame, job: CdcJob, load: str) -> None:
             spec = SOURCE_TABLES[name]
             touched = append_changes(parsed, job, spec, load)
             if job.merge_each_batch:
-                merge_days(spark, job, spec, touched)
+                merge_days(spark, job, spec, touched, load)
 
         run_together(one_table, job.tables)
     finally:

@@ -13,7 +13,8 @@ from layerloom.params import now_text
 from layerloom.plans import daily
 from layerloom.schemas import USER
 from layerloom.session import scratch_path
-from layerloom.sinks.tables import RouteConflict, load_path, overwrite_partition, partition_days
+from layerloom.sinks import loads
+from layerloom.sinks.tables import RouteConflict, overwrite_partition, partition_days
 from layerloom.sources.relational import spread_predicates
 from layerloom.streaming import cdc
 from tests.test_scale import plan
@@ -70,7 +71,8 @@ def test_a_window_that_is_read_again_is_there_once(spark, users):
     lost = daily.Warehouse(spark, house.root, mark_folder="lost")
     daily.import_changes(lost, users, "2024-01-02", f"{DT} 13:00:00")
     assert house.ods("u_user").count() == 3
-    assert not os.path.exists(load_path(house.ods_path("u_user"), DT, "since_19700101000000"))
+    assert [(x.dt, x.name, x.number) for x in loads.published(spark, house.ods_path("u_user"))] == [("2024-01-02", "since_19700101000000", 2)]
+    assert os.listdir(f"{house.ods_path('u_user')}/dt={DT}") == ["_SUCCESS"] or not any("load=" in n for n in os.listdir(f"{house.ods_path('u_user')}/dt={DT}"))
     assert house.marks.current("u_user") == f"{DT} 12:00:00"
 
 
