@@ -8,7 +8,8 @@ import zlib
 import numpy as np
 import pytest
 
-from layerloom.llm.pitman_yor import CONTEXT_BITS, Bucket, Totals, log_stirling, sample_tables, score_documents
+from layerloom.llm import pitman_yor as P
+from layerloom.llm.pitman_yor import log_stirling, parent_of, sample_tables, score_documents
 
 DOCS = "doc_id long, text string, score double, held boolean"
 
@@ -49,8 +50,8 @@ def test_the_table(spark):
 def test_odd_rows(spark):
     rows = [(i, t) for i, t in enumerate([None, "", " ", "A b a B", "É é", "x " * 30_000, "a b", "unseen words only here"])]
     rows += [(None, "a b"), (3, "A b a B"), (3, "other text")] + [(100 + i, "hot pair " * 20) for i in range(60)]
-    for buckets in (2, 5):
-        got = score_documents(spark.createDataFrame([(i, t, 0.0, True) for i, t in rows], DOCS), buckets=buckets).collect()
+    for slices in (None, 7):
+        got = score_documents(spark.createDataFrame([(i, t, 0.0, True) for i, t in rows], DOCS), slices=slices).collect()
         check_base(rows, got)
         assert all(math.isfinite(r["score"]) and r["score"] <= 1e-9 for r in got)
     assert score_documents(spark.createDataFrame([], DOCS)).collect() == []
@@ -59,27 +60,163 @@ def test_odd_rows(spark):
     assert (r["n_known"], r["train_tokens"], r["base_score"], r["score"]) == (0, 0, 0.0, 0.0)
 
 
-def small_bucket(rng, words=30, contexts=5):
-    place, context = rng.integers(0, words - 2, 400) // rng.integers(1, 4, 400), rng.integers(0, contexts, 400)
-    bucket = Bucket.of(np.arange(words, dtype=np.uint64), place, context, np.ones(400, int))
-    per = lambda w: np.bincount(bucket.pair_context, w, 1 << CONTEXT_BITS)
-    totals = Totals(400, int((bucket.word_count > 0).sum()), per(bucket.pair_count), (0.6, 0.4), [per(np.ones(len(bucket.pair_count)))], [int((bucket.word_count > 0).sum())])
-    return bucket, totals, per
+def plain_counts(rows):
+    train = [t for i, t in rows if not held(i)]
+    return collections.Counter(p for t in train for p in itertools.pairwise([0, *tokens(t)]))
+
+
+def token_hash(token):
+    return 0 if token == 0 else P.TokenHashes()[token or b""]
+
+
+def kept_seatings(spark, monkeypatch, rows, sweeps, burn_in):
+    """Scores, and the state, lexicon and sums that they come from."""
+    seen = {}
+    real = P.seatings
+
+    def spy(store, facts, *args):
+        state, lexicon, found = real(store, facts, *args)
+        kept = [c for k in range(burn_in + 1, sweeps + 1) for c in P.kept_columns(k)]
+        seen["state"] = store.read(state, P.STATE).collect()
+        seen["lexicon"] = store.read(lexicon, P.WORDS + "".join(f", {c} long" for c in kept)).collect()
+        seen["sums"] = found
+        return state, lexicon, found
 
+    monkeypatch.setattr(P, "seatings", spy)
+    got = score_documents(spark.createDataFrame(rows, "doc_id long, text string"), sweeps, burn_in, slices=3).collect()
+    return {r["doc_id"]: r["score"] for r in got}, seen
 
-def test_predictions_sum_to_one():
-    bucket, totals, per = small_bucket(np.random.default_rng(1))
-    tables, top = bucket.start()
-    for at in range(3):
-        known = np.flatnonzero(bucket.word_count > 0)
-        unknown = np.flatnonzero(bucket.word_count == 0)[:1]
-        for c in range(5):
-            p = bucket.predict(np.concatenate((known, unknown)), np.full(len(known) + 1, c), tables, bucket.parent(tables, top, totals, at), totals, at)
-            assert p.sum() == pytest.approx(1) and (p > 0).all()
-        tables, top = bucket.sweep(tables, top, totals, at, np.random.default_rng(at), [log_stirling(d) for d in totals.discounts])
-        assert (tables >= 1).all() and (tables <= bucket.pair_count).all()
-        totals.tables.append(per(tables))
-        totals.top_tables.append(int(top.sum()))
+
+@pytest.mark.parametrize("sweeps, burn_in", [(1, 0), (3, 1)])
+def test_scores_follow_from_the_seatings(spark, monkeypatch, sweeps, burn_in):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{j}" for j in rng.zipf(1.4, 60) % 40)) for i in range(80)]
+    pairs = plain_counts(rows)
+    scores, seen = kept_seatings(spark, monkeypatch, rows, sweeps, burn_in)
+    kept = range(burn_in + 1, sweeps + 1)
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    state = {(r["word"], r["context"]): r for r in seen["state"]}
+    words = {r["h"]: r for r in seen["lexicon"]}
+    assert {k: r["count"] for k, r in state.items()} == {(signed(token_hash(w)), signed(token_hash(c))): n for (c, w), n in pairs.items() if n > 1}
+    for r in seen["state"]:
+        assert 1 <= r["tables"] <= r["count"] and len(kept) <= r["kept"] <= len(kept) * r["count"]
+    assert seen["sums"][0].tokens == sum(pairs.values())
+    # the last seating's tables are what the lexicon has
+    dish = collections.Counter()
+    for (c, w), n in pairs.items():
+        dish[signed(token_hash(w))] += state[signed(token_hash(w)), signed(token_hash(c))]["tables"] if n > 1 else 1
+    assert all(words[h]["dish"] == n for h, n in dish.items())
+    assert sum(r["top"] for r in words.values()) == seen["sums"][-1].top_tables
+    low, high = seen["sums"][0].discounts
+    for i, t in rows:
+        log = 0.0
+        for c, w in itertools.pairwise([0, *tokens(t)]):
+            hw, hc, n = signed(token_hash(w)), signed(token_hash(c)), pairs[c, w]
+            laid = state[hw, hc]["kept"] if n > 1 else len(kept) * min(n, 1)
+            p = len(kept) * n - low * laid
+            for k, sums in zip(kept, seen["sums"], strict=True):
+                word = words.get(hw)
+                parent = parent_of(word[f"dish_{k}"] if word else 0, word[f"top_{k}"] if word else 0, sums.tables, sums.top_tables, sums.known, high)
+                p += (1 + low * (words[hc][f"laid_{k}"] if hc in words else 0)) * parent
+            log += math.log10(p / len(kept) / (1 + (words[hc]["guests"] if hc in words else 0)))
+        assert scores[i] == pytest.approx(log, rel=1e-9)
+
+
+def test_predictions_sum_to_one(spark, monkeypatch):
+    # held-out texts "w3 x" for every known word x and an unknown one; "w3" alone is followed by the end
+    vocabulary = [f"w{j}" for j in range(12)]
+    rng = np.random.default_rng(0)
+    out, kept = (i for i in range(100_000) if held(i)), (i for i in range(100_000) if not held(i))
+    rows = [(next(kept), " ".join(rng.choice(vocabulary, 30))) for _ in range(40)]
+    asked = {(a, b): (next(out), f"{a} {b}") for a in ["w3"] for b in [*vocabulary, "unknown"]}
+    singles = {w: (next(out), w) for w in [*vocabulary, "unknown"]}
+    scores, seen = kept_seatings(spark, monkeypatch, rows + list(asked.values()) + list(singles.values()), 2, 0)
+    words = {r["h"]: r for r in seen["lexicon"]}
+    known = len([r for r in words.values() if r["n"] > 0])
+    assert known == 13  # with the end
+    # P(x | w3) P(end | x) from "w3 x", P(x | start) P(end | x) from "x": their ratio times P(x | start) is P(x | w3)
+    ratios = {b: 10 ** (scores[i] - scores[singles[b][0]]) for (_, b), (i, _) in asked.items()}
+    low, high = seen["sums"][0].discounts
+    pairs = plain_counts(rows)
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    state = {(r["word"], r["context"]): r for r in seen["state"]}
+
+    def p(c, w):
+        hw, hc, n = signed(token_hash(w)), signed(token_hash(c)), pairs[c, w]
+        total = 2 * n - low * (state[hw, hc]["kept"] if n > 1 else 2 * min(n, 1))
+        for k, sums in zip((1, 2), seen["sums"], strict=True):
+            word = words.get(hw)
+            parent = parent_of(word[f"dish_{k}"] if word else 0, word[f"top_{k}"] if word else 0, sums.tables, sums.top_tables, sums.known, high)
+            total += (1 + low * words[hc][f"laid_{k}"]) * parent
+        return total / 2 / (1 + words[hc]["guests"])
+
+    tokens_ = [*(w.encode() for w in vocabulary), None, b"unknown"]
+    for context in (0, b"w3"):
+        assert sum(p(context, w) for w in tokens_) == pytest.approx(1)
+    for b, ratio in ratios.items():  # "w3 x" against "x": P(w3 | start) P(x | w3) / P(x | start)
+        assert ratio == pytest.approx(p(0, b"w3") * p(b"w3", b.encode()) / p(0, b.encode()))
+
+
+def plain_sampler(pairs, discounts, sweeps, rng):
+    """A sequential Gibbs sampler over all customers: each leaves and is seated again, given all others as they are now."""
+    low, high = discounts
+    known = len({w for _, w in pairs})
+    tables = {p: [n] for p, n in pairs.items()}
+    top = collections.defaultdict(list)
+    for _, w in pairs:
+        top[w] = [top[w][0] + 1] if top[w] else [1]
+    laid, guests = collections.Counter(c for c, _ in pairs), collections.Counter()
+    for (c, _), n in pairs.items():
+        guests[c] += n
+    sizes = lambda: (sum(map(len, top.values())), sum(map(sum, top.values())))
+    top_tables, everyone = sizes()
+    means = []
+    for sweep in range(sweeps):
+        for (c, w), n in pairs.items():
+            for _ in range(n):
+                own, up = tables[c, w], top[w]
+                at = rng.choice(len(own), p=np.array(own) / sum(own))
+                own[at] -= 1
+                if not own[at]:
+                    own.pop(at)
+                    laid[c] -= 1
+                    j = rng.choice(len(up), p=np.array(up) / sum(up))
+                    up[j] -= 1
+                    everyone -= 1
+                    if not up[j]:
+                        up.pop(j)
+                        top_tables -= 1
+                fresh_top = (1 + high * top_tables) / (known + 1)
+                parent = (sum(up) - high * len(up) + fresh_top) / (1 + everyone)
+                weights = np.array([k - low for k in own] + [(1 + low * laid[c]) * parent])
+                at = rng.choice(len(weights), p=weights / weights.sum())
+                if at < len(own):
+                    own[at] += 1
+                    continue
+                own.append(1)
+                laid[c] += 1
+                weights = np.array([k - high for k in up] + [fresh_top])
+                j = rng.choice(len(weights), p=weights / weights.sum())
+                everyone += 1
+                if j < len(up):
+                    up[j] += 1
+                else:
+                    up.append(1)
+                    top_tables += 1
+        if sweep >= sweeps // 2:
+            means.append((everyone, top_tables))
+    return np.mean(means, axis=0)
+
+
+def test_seating_is_near_a_sequential_sampler(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{j}" for j in rng.zipf(1.5, 40) % 20)) for i in range(40)]
+    pairs = plain_counts(rows)
+    _, seen = kept_seatings(spark, monkeypatch, rows, 8, 3)
+    everyone, top = plain_sampler(pairs, seen["sums"][0].discounts, 40, rng)
+    mine = np.mean([(s.tables, s.top_tables) for s in seen["sums"]], axis=0)
+    assert mine[0] == pytest.approx(everyone, rel=0.15)
+    assert mine[1] == pytest.approx(top, rel=0.25)
 
 
 def test_stirling_numbers_count_seatings():
@@ -106,8 +243,20 @@ def test_samples_follow_the_conditional():
     got = np.bincount(sample_tables(np.full(m, c), np.full(m, others), np.full(m, base), d, strength, stirling, np.random.default_rng(0)), minlength=c + 1)[1:] / m
     want = np.array([math.exp(stirling[c, t]) * base**t * math.prod(strength + d * (others + j) for j in range(t)) for t in range(1, c + 1)])
     assert np.allclose(got, want / want.sum(), atol=0.015)
-    large = sample_tables(np.array([100_000, 41]), np.array([10.0, 10.0]), np.array([0.01, 0.01]), d, strength, stirling, np.random.default_rng(0))
-    assert 1 <= large[1] <= 41 and 1 <= large[0] <= 100_000
+
+
+@pytest.mark.parametrize("discount", [0.3, 0.5, 0.8])
+def test_many_customers_are_near_the_conditional(monkeypatch, discount):
+    c, m = 300, 2000
+    stirling = log_stirling(discount, c)
+    monkeypatch.setattr(P, "EXACT", 100)
+    for base, others in itertools.product((0.0005, 0.02), (1.0, 60.0, 1000.0)):
+        t = np.arange(1, c + 1)
+        log = stirling[c, 1:] + np.cumsum(np.log(1 + discount * (others + np.arange(c)))) + t * math.log(base)
+        weight = np.exp(log - log.max())
+        got = sample_tables(np.full(m, c), np.full(m, others), np.full(m, base), discount, 1.0, stirling, np.random.default_rng(0))
+        assert got.min() >= 1 and got.max() <= c
+        assert got.mean() == pytest.approx((weight * t).sum() / weight.sum(), rel=0.08)
 
 
 def test_every_context_is_its_own_restaurant(spark):
@@ -137,11 +286,19 @@ def test_every_context_is_its_own_restaurant(spark):
 
 
 def test_a_hot_word_travels_once_per_block():
-    from layerloom.llm.pitman_yor import TokenHashes, _block, token_hashes
-
-    texts = [token_hashes("hot pair " * 500, TokenHashes()) for _ in range(300)]
-    block = _block(texts, [i % 3 == 0 for i in range(300)])
-    assert len(block["words"]) == len(block["contexts"]) == 4 * 8  # four distinct pairs, however many texts have them
-    train = np.frombuffer(block["train"], np.uint32)
-    assert sorted(train) == [200, 200, 200 * 499, 200 * 500]
-    assert np.frombuffer(block["times"], np.uint16).sum() == 300 * 1001
+    texts = [P.token_hashes("hot pair " * 500, P.TokenHashes()) for _ in range(300)]
+    row = P.pack_block(texts, [i % 3 == 0 for i in range(300)])
+    block = P.Block(row["a"], row["b"], row["c"], row["d"])
+    assert len(block.words) == 4 and len(block.hash) == 4  # four distinct pairs, however many texts have them
+    assert sorted(block.train()) == [200, 200, 200 * 499, 200 * 500]
+    assert np.bincount(block.pair).sum() == 300 * 1001
+    assert sum(j - i for _, i, j in P._slices(block.hash, 1000)) == 4
+
+
+def test_numbers_come_back():
+    for top in (0, 255, 256, 65_535, 65_536, 1 << 32, 1 << 40):
+        x = np.array([0, top // 2, top])
+        assert P.numbers(P.packed_numbers(x)).tolist() == x.tolist()
+    assert P.numbers(P.packed_numbers(np.zeros(0, int))).tolist() == []
+    frames = [np.arange(5), np.zeros(0, int), np.array([1 << 20])]
+    assert [x.tolist() for x in P._unframed(b"".join(map(P._framed, frames)))] == [f.tolist() for f in frames]
