@@ -89,7 +89,22 @@ def log_stirling(discount: float, largest: int = EXACT) -> np.ndarray:
     return s
 
 
-def sample_tables(count, others, base, discount: float, strength: float, stirling, rng) -> np.ndarray:
+class Draws:
+    """Random numbers of rows: those of a row follow from its key and the sweep, whatever batch it is in."""
+
+    def __init__(self, keys: np.ndarray, at: int):
+        self.keys = keys ^ U64(xxhash.xxh64_intdigest(f"{SEED}:{at}"))
+        self.rng = np.random.default_rng((SEED, at, int(np.bitwise_xor.reduce(keys)) if len(keys) else 0))  # of batches
+
+    def gumbel(self, rows: np.ndarray, n: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            z = self.keys[rows][:, None] + np.arange(1, n + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)
+            z = (z ^ z >> U64(30)) * U64(0xBF58476D1CE4E5B9)
+            z = (z ^ z >> U64(27)) * U64(0x94D049BB133111EB)
+        return -np.log(-np.log(((z ^ z >> U64(31)) >> U64(11)).astype(float) * 2.0**-53 + 2.0**-54))
+
+
+def sample_tables(count, others, base, discount: float, strength: float, stirling, draws: Draws) -> np.ndarray:
     """Tables of each dish given its customers, the restaurant's other tables, and the base probability of a table.
 
     ``base`` is a probability for each dish, or ``f(places, j)`` for the table after ``j`` tables of its own.
@@ -103,7 +118,7 @@ def sample_tables(count, others, base, discount: float, strength: float, stirlin
             j = np.broadcast_to(np.arange(c), (len(part), c))
             steps = np.log(strength + discount * (others[part, None] + j)) + np.log(chance(part, j))
             weight = np.cumsum(steps, axis=1) + stirling[c, 1 : c + 1]
-            weight += rng.gumbel(size=weight.shape)
+            weight += draws.gumbel(part, c)
             tables[part] = weight.argmax(axis=1) + 1
     many = np.flatnonzero(count > EXACT)
     seated = 1
@@ -114,7 +129,7 @@ def sample_tables(count, others, base, discount: float, strength: float, stirlin
         ahead = (seated / count[many]) ** (discount * (1 - open_))
         fresh = (strength + discount * (others[many] + tables[many])) * open_ * ahead
         share = fresh / (fresh + seated - discount * tables[many])
-        tables[many] += rng.binomial(group, share)
+        tables[many] += draws.rng.binomial(group, share)
         seated += max(1, seated // 16)
         many = many[count[many] > seated]
     return tables
@@ -144,13 +159,19 @@ def own_parent(tables, customers, top, sums: Sums):
 
 
 def packed_numbers(x: np.ndarray) -> bytes:
-    """Whole numbers in the least width that holds them, which the first byte names."""
+    """Whole numbers in the least width that holds them, byte by byte (all lowest bytes first), compressed.
+
+    Width and size stand before them.
+    """
     width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(x) or x.max() < 1 << 8 * w)
-    return bytes([width]) + x.astype(f"<u{width}").tobytes()
+    planes = np.ascontiguousarray(x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
+    return bytes([width]) + len(x).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def numbers(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+    width, size = data[0], int.from_bytes(data[1:9], "little")
+    planes = pa.decompress(data[9:], decompressed_size=width * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, size).T).view(f"<u{width}").reshape(-1).astype(np.int64)
 
 
 def pair_hash(word: np.ndarray, context: np.ndarray) -> np.ndarray:
@@ -361,7 +382,7 @@ WORDS = "h long, n long, dish1 long, guests long, laid1 long, dish long, laid lo
 
 def block_facts(packed: DataFrame, totals: DataFrame) -> DataFrame:
     """What each block contributes. ``state``: its own pairs with several customers; ``lexicon``: the shares of its own pairs in their words and
-    contexts; ``asks``: all its pairs with several customers, and the totals of all its pairs."""
+    contexts; ``asks``: all its pairs with several customers; ``totals`` of all its pairs."""
     schema = _schema(packed.sparkSession, FACTS)
 
     def facts(table: pa.Table) -> pa.Table:
@@ -379,7 +400,8 @@ def block_facts(packed: DataFrame, totals: DataFrame) -> DataFrame:
         out = [
             {"kind": "state", "a": block.words[block.word[mine]].tobytes(), "b": block.words[block.context[mine]].tobytes(), "c": packed_numbers(total[mine])},
             {"kind": "lexicon", "a": block.words[used].tobytes()} | {k: packed_numbers(c[used]) for k, c in zip("bcde", columns, strict=True)},
-            {"kind": "asks", "a": block.hash[several].tobytes(), "b": packed_numbers(total)},
+            {"kind": "asks", "a": block.hash[several].tobytes()},
+            {"kind": "totals", "a": packed_numbers(total)},
         ]
         return pa.Table.from_batches([_rows(schema, [r | {"block": row["block"]} for r in out])])
 
@@ -415,11 +437,6 @@ def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once + twice else 0.5
 
 
-def _rng(batch: pa.RecordBatch, at: int, *keys: str) -> np.random.Generator:
-    """Seeds come from the sweep and the first row of a batch of sorted rows."""
-    return np.random.default_rng((SEED, at, *(batch[k][0].as_py() & (1 << 64) - 1 for k in keys)))
-
-
 def _replaced(batch: pa.RecordBatch, names: list[str], **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[c]) if c in columns else batch[c] for c in names], names=names)
 
@@ -433,14 +450,17 @@ def seat_pairs(state: DataFrame, lexicon: DataFrame, sums: Sums, at: int, keep:
         for batch in batches:
             if not len(batch):
                 continue
-            count, tables, kept, dish, top, laid = (batch[c].to_numpy(zero_copy_only=False) for c in ("count", "tables", "kept", "dish", "top", "laid"))
+            word, context, count, tables, kept, dish, top, laid = (
+                batch[c].to_numpy(zero_copy_only=False) for c in ("word", "context", "count", "tables", "kept", "dish", "top", "laid")
+            )
+            draws = Draws(pair_hash(word.view(U64), context.view(U64)), at)
             parent = own_parent(tables, dish, top, sums)
-            tables = sample_tables(count, np.maximum(laid - tables, 0), parent, low, STRENGTH, stirling, _rng(batch, at, "word", "context"))
+            tables = sample_tables(count, np.maximum(laid - tables, 0), parent, low, STRENGTH, stirling, draws)
             yield _replaced(batch, ["word", "context", "count", "tables", "kept"], tables=tables, kept=kept + keep * tables)
 
     words = lexicon.select(F.col("h").alias("word"), "dish", "top")
     met = state.join(words, "word").join(lexicon.select(F.col("h").alias("context"), "laid"), "context")
-    return met.sortWithinPartitions("word", "context").mapInArrow(run, STATE)
+    return met.mapInArrow(run, STATE)
 
 
 def seat_words(state: DataFrame, lexicon: DataFrame, sums: Sums | None, at: int) -> DataFrame:
@@ -451,9 +471,9 @@ def seat_words(state: DataFrame, lexicon: DataFrame, sums: Sums | None, at: int)
         for batch in batches:
             if not len(batch):
                 continue
-            dish, top = (batch[c].to_numpy(zero_copy_only=False) for c in ("dish", "top"))
+            h, dish, top = (batch[c].to_numpy(zero_copy_only=False) for c in ("h", "dish", "top"))
             flat = np.full(len(top), 1.0 / (sums.known + 1))
-            top = sample_tables(dish, np.maximum(sums.top_tables - top, 0), flat, sums.discounts[1], STRENGTH, stirling, _rng(batch, at, "h"))
+            top = sample_tables(dish, np.maximum(sums.top_tables - top, 0), flat, sums.discounts[1], STRENGTH, stirling, Draws(h.view(U64), at))
             yield _replaced(batch, batch.schema.names, top=top)
 
     zero = F.lit(0).cast("long")
@@ -463,7 +483,7 @@ def seat_words(state: DataFrame, lexicon: DataFrame, sums: Sums | None, at: int)
     met = met.select(lexicon.columns)
     if sums is None:
         return met
-    return met.sortWithinPartitions("h").mapInArrow(run, lexicon.schema)
+    return met.mapInArrow(run, lexicon.schema)
 
 
 def kept_columns(k: int) -> list[str]:
@@ -544,7 +564,7 @@ def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_I
     totals = store.write(pair_totals(ask(packed, slices, "pairs")), "totals")
     facts = store.write(block_facts(packed, store.read(totals, PARTS)), "facts", ("kind",))
     store.drop(totals)
-    asks = facts_of(store, facts, "asks")
+    totals = facts_of(store, facts, "totals")
     state, lexicon, found = seatings(store, facts, sweeps, burn_in)
     first = burn_in + 1
     kept = [c for k in range(first, sweeps + 1) for c in kept_columns(k)]
@@ -560,14 +580,14 @@ def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_I
             yield pa.RecordBatch.from_arrays([pa.array(slice_of(h, slices)), pa.array(h.view(np.int64)), batch["kept"]], names=["slice", "h", "kept"])
 
     pairs = store.read(state, STATE).mapInArrow(hashed, "slice long, h long, kept long")
-    tables = store.write(look_up(ask(asks, slices, "given"), pairs, TABLES, ["kept"]), "tables")
-    for path in (state, lexicon):
+    tables = store.write(look_up(ask(facts_of(store, facts, "asks"), slices, "given"), pairs, TABLES, ["kept"]), "tables")
+    for path in (state, lexicon, f"{facts}/kind=asks"):
         store.drop(path)
 
     def add_up(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         (row,), (known,) = _answers(rows, PACKED), _answers(rows, TOTALS)
-        block, total = Block(row["a"], row["b"], row["c"], row["d"]), numbers(known["b"])
+        block, total = Block(row["a"], row["b"], row["c"], row["d"]), numbers(known["a"])
         looked = [_unframed(r["a"]) for r in _answers(rows, LEXICON)]
         n, guests, *seated = (np.concatenate(x) for x in zip(*looked, strict=True))
         laid_tables = len(found) * np.minimum(total, 1)
@@ -598,7 +618,7 @@ def score_documents(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_I
     ids = ("doc_ids", f"array<{kind}>")
     texts = packed.select("block", "part", *nothing(("slice", "long")), "doc_ids", "a", "b", "c", "d")
     others = [
-        asks.select("block", F.lit(TOTALS).alias("part"), *nothing(("slice", "long"), ids, ("a", "binary")), "b", *nothing(("c", "binary"), ("d", "binary"))),
+        totals.select("block", F.lit(TOTALS).alias("part"), *nothing(("slice", "long"), ids), "a", *nothing(*((c, "binary") for c in "bcd"))),
         *(store.read(path, PARTS).select("block", "part", "slice", *nothing(ids), "a", "b", "c", "d") for path in (answers, tables)),
     ]
     for other in others:

@@ -240,7 +240,7 @@ def test_stirling_numbers_count_seatings():
 def test_samples_follow_the_conditional():
     d, strength, base, others, c, m = 0.5, 1.0, 0.2, 4.0, 5, 20_000
     stirling = log_stirling(d)
-    got = np.bincount(sample_tables(np.full(m, c), np.full(m, others), np.full(m, base), d, strength, stirling, np.random.default_rng(0)), minlength=c + 1)[1:] / m
+    got = np.bincount(sample_tables(np.full(m, c), np.full(m, others), np.full(m, base), d, strength, stirling, P.Draws(np.arange(m, dtype=np.uint64), 0)), minlength=c + 1)[1:] / m
     want = np.array([math.exp(stirling[c, t]) * base**t * math.prod(strength + d * (others + j) for j in range(t)) for t in range(1, c + 1)])
     assert np.allclose(got, want / want.sum(), atol=0.015)
 
@@ -254,7 +254,7 @@ def test_many_customers_are_near_the_conditional(monkeypatch, discount):
         t = np.arange(1, c + 1)
         log = stirling[c, 1:] + np.cumsum(np.log(1 + discount * (others + np.arange(c)))) + t * math.log(base)
         weight = np.exp(log - log.max())
-        got = sample_tables(np.full(m, c), np.full(m, others), np.full(m, base), discount, 1.0, stirling, np.random.default_rng(0))
+        got = sample_tables(np.full(m, c), np.full(m, others), np.full(m, base), discount, 1.0, stirling, P.Draws(np.arange(m, dtype=np.uint64), 0))
         assert got.min() >= 1 and got.max() <= c
         assert got.mean() == pytest.approx((weight * t).sum() / weight.sum(), rel=0.08)
 
