@@ -9,7 +9,7 @@ and a bucket that is large because many vectors are equal is split over the bloc
 Largest inner product becomes smallest angle by one more component, which gives all vectors the
 greatest norm; original vectors decide the scores.
 
-Defined cases are those of ``vectors``; zero vectors take no part either; a query's own id is no
+Defined cases are those of ``vectors``; zero vectors take no part either; a query's own row is no
 candidate; a query that probes fewer than k vectors in a block gets all of the block's as candidates.
 """
 
@@ -74,8 +74,9 @@ def padded(x: np.ndarray, extra: np.ndarray) -> np.ndarray:
     return out
 
 
-def nearest(x, ids, queries, asked, largest: float, k: int = K, tables: int = TABLES, probes: int = PROBES):
+def nearest(x, ids, queries, asked, largest: float, k: int = K, tables: int = TABLES, probes: int = PROBES, rows=None):
     """The k best probed vectors of the block for each query, and their exact inner products."""
+    rows = ids if rows is None else rows
     norms = (x**2).sum(axis=1)
     points = padded(x, np.sqrt(np.maximum(largest - norms, 0)))
     asks = padded(queries / np.linalg.norm(queries, axis=1, keepdims=True), np.zeros(len(queries)))
@@ -84,9 +85,9 @@ def nearest(x, ids, queries, asked, largest: float, k: int = K, tables: int = TA
         near |= probe(rotate(asks, t), min(probes, 2 * len(asks)))[:, buckets(rotate(points, t))]
     out = []
     for j, q in enumerate(queries):
-        found = np.flatnonzero(near[j] & (ids != asked[j]))
+        found = np.flatnonzero(near[j] & (rows != asked[j]))
         if len(found) < k:
-            found = np.flatnonzero(ids != asked[j])
+            found = np.flatnonzero(rows != asked[j])
         scores = x[found] @ q
         best = best_of(scores, ids[found], k)
         out.append((np.full(len(best), asked[j]), ids[found][best], scores[best]))
@@ -100,7 +101,7 @@ def neighbours(df: DataFrame, query: Column, k: int = K, tables: int = TABLES, p
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     largest = vectors.agg(F.max(norm).alias("m")).head()["m"] or 0.0
 
-    def search(x, ids, queries, asked):
-        return nearest(x, ids, queries, asked, largest, k, tables, probes)
+    def search(x, ids, rows, queries, asked):
+        return nearest(x, ids, queries, asked, largest, k, tables, probes, rows)
 
     return search_blocks(vectors, query, search, k, BLOCK_ROWS, QUERY_ROWS, "double")

@@ -114,12 +114,12 @@ ORACLES = {
 with ints as (
   select vec_id, list_transform(embedding, lambda x: floor(cast(x as double) * 1024)) as v from embeddings
 ), valid as (
-  select vec_id, min(v) as v from ints where vec_id is not null and v is not null and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0 group by vec_id
+  select vec_id, v, row_number() over () as r from ints where vec_id is not null and v is not null and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
-  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
-  from valid q join valid c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0
+  select q.vec_id as query_id, q.r, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from valid q join valid c on q.r <> c.r where q.vec_id % 100 = 0
 )
-select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score
+select query_id, cast(row_number() over (partition by r order by score desc, vec_id) as int) as rank, vec_id, score
 from scored qualify rank <= 10
 """,
     "op5_mix_sources": r"""

@@ -11,27 +11,28 @@ NAN, INF = float("nan"), float("inf")
 
 
 def brute(rows, divisor, k, value=lambda x: x, nonzero=False):
-    valid = {}
+    valid = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) for x in v) or nonzero and not any(v):
             continue
-        w = [float(np.float32(x)) for x in v]
-        valid[i] = min(valid.get(i, w), w)
-    width = max(map(len, valid.values()), default=0)
-    full = {i: np.array([value(x) for x in v] + [0.0] * (width - len(v))) for i, v in valid.items()}
+        valid.append((i, [float(np.float32(x)) for x in v]))
+    width = max((len(v) for _, v in valid), default=0)
+    full = [(i, np.array([value(x) for x in v] + [0.0] * (width - len(v)))) for i, v in valid]
     out = {}
-    for q in full:
+    for at, (q, x) in enumerate(full):
         if q % divisor == 0:
-            out[q] = sorted(((-(full[q] @ full[c]), c) for c in full if c != q))[:k]
+            out[q] = sorted((-(x @ y), c) for j, (c, y) in enumerate(full) if j != at)[:k]
     return {q: [(c, -s) for s, c in x] for q, x in out.items()}
 
 
 def found(df):
+    """Results by query id; rows of one id that are queries have equal vectors here, so equal results."""
     out = {}
-    for r in sorted(df.collect(), key=lambda r: (r["query_id"], r["rank"])):
-        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
-        assert r["rank"] == len(out[r["query_id"]])
-    return out
+    for r in df.collect():
+        assert out.setdefault(r["query_id"], {}).setdefault(r["rank"], (r["vec_id"], r["score"])) == (r["vec_id"], r["score"])
+    for ranks in out.values():
+        assert sorted(ranks) == list(range(1, len(ranks) + 1))
+    return {q: [ranks[r] for r in sorted(ranks)] for q, ranks in out.items()}
 
 
 def odd_rows():
@@ -52,6 +53,31 @@ def test_top_k_equals_brute_force_on_odd_rows(spark):
     assert found(top_k(df, F.col("vec_id") % 10 == 0)) == want
 
 
+def test_rows_of_one_id_find_each_other(spark):
+    df = frame(spark, [(10, [1.0, 0.0]), (10, [1.0, 0.0]), (11, [0.5, 0.0])])
+    rows = sorted(tuple(r) for r in top_k(df, F.col("vec_id") == 10).collect())
+    assert rows == sorted([(10, 1, 10, 1 << 20), (10, 2, 11, 1 << 19)] * 2)
+    near = sorted(tuple(r) for r in neighbours(df, F.col("vec_id") == 10).collect())
+    assert near == sorted([(10, 1, 10, 1.0), (10, 2, 11, 0.5)] * 2)
+
+
+@pytest.mark.parametrize("size", [1 << 20, 1 << 27, 1 << 57])
+def test_large_components_are_exact(spark, size):
+    rng = np.random.default_rng(size)
+    x = rng.integers(-3, 4, (60, 4)).astype(float)
+    x[::7] *= size  # products of two are beyond doubles, or, with the last, of one with a small number
+    x[::7] += rng.integers(0, 2, (9, 4))
+    ids = np.arange(60)
+    whole = [[int(v) for v in r] for r in x]
+    queries = ids if size < 1 << 31 else ids[ids % 7 > 0]
+    q, v, s = read_lists(x, ids, x[queries], queries, 10)
+    for i in queries:
+        want = sorted((-sum(a * b for a, b in zip(whole[j], whole[i], strict=True)), j) for j in ids if j != i)[:10]
+        assert [(-int(b), int(a)) for a, b in zip(v[q == i], s[q == i], strict=True)] == want
+    df = frame(spark, [(1, [1e9, 1.0]), (2, [1.0, 2.0]), (4, [0.5, 0.5])])
+    assert found(top_k(df, F.col("vec_id") == 1))[1] == [(2, int(1e9) * 1024 * 1024 + 2 * 1024 * 1024), (4, int(1e9) * 512 * 1024 + 512 * 1024)]
+
+
 @pytest.mark.parametrize("n", [1, 2, 9, 50, 300])
 def test_lists_equal_brute_force(n):
     rng = np.random.default_rng(n)
