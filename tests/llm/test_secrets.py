@@ -121,3 +121,38 @@ def test_short_dotted_padded_and_long_credentials_are_candidates(spark):
     row = [([(0, 0, 306, t[6:])], []) for _, t in long]
     scanned = spark.createDataFrame(row, "base array<struct<kind:int,start:int,end:int,value:string>>, tokens array<struct<start:int,end:int,value:string>>")
     assert "assign" in fit_formats(scanned).kinds
+
+
+def test_automata_keep_lengths_and_prefixes(spark):
+    rng = random.Random(11)
+    draw = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    hexes, plain40 = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for count in (20, 130, 400):
+        samples = {"assign": [draw(40, plain40) for _ in range(count)], "hex": [draw(16, "0123456789") for _ in range(count)] + [draw(40, hexes) for _ in range(count)]}
+        fitted = Formats(samples | {"other": ["internationalization", "well-known-phrases", "197.237.160.135"] * 50})
+        assert len(fitted.kinds["assign"][0].states) > 40
+        for n, of in ((40, plain40), (16, "0123456789"), (40, hexes)):
+            assert sum(fitted.likelihood(draw(n, of)) is not None for _ in range(200)) > (190 if count > 20 else 150)
+        for clean in ("20240115103045", "1234567890123", "2024-01-15T10-20-30", "internationalization", draw(39, plain40), draw(15, "0123456789"), "a" * 100_000):
+            assert fitted.likelihood(clean) is None, (count, clean)
+    keyed = Automaton(["key-" + draw(16, plain40) for _ in range(300)])
+    assert keyed.score("key-" + draw(16, plain40)) > keyed.score(draw(20, plain40)) + 0.5
+
+
+def test_all_spans_equal_a_plain_run(spark):
+    """The distributed scan against one pass over the same rows, background counts included."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    planted = [(10_000 + i, t) for i, t in enumerate(["bare AKIB" + "Q7" * 18 + " here", None, "", "20240115103045"])]
+    rng = random.Random(4)
+    planted += [(20_000 + i, "token=" + "".join(rng.choice("GHJKLMNPQRST23456789") for _ in range(24)) + " x") for i in range(60)]
+    planted += [(30_000 + i, "see " + "".join(rng.choice("GHJKLMNPQRST23456789") for _ in range(24)) + " x") for i in range(20)]
+    docs = docs.unionByName(spark.createDataFrame(planted, "doc_id long, text string")).repartition(7)
+    scans = {r["doc_id"]: (base_spans(r["text"] or ""), other_tokens(r["text"] or "", base_spans(r["text"] or ""))) for r in docs.collect()}
+    samples = {k: {x[3] for base, _ in scans.values() for x in base if x[0] == i} for i, k in enumerate(("assign", "access", "hex"))}
+    fitted = Formats(samples | {"other": [v for _, tokens in scans.values() for *_, v in tokens]})
+    found = 0
+    for r in scan_secrets(docs).collect():
+        want = [(s, e) for _, s, e, _ in fitted.added(scans[r["doc_id"]][1])]
+        assert [(x["start"], x["end"]) for x in r["added"]] == want
+        found += r["doc_id"] >= 30_000 and bool(want)
+    assert found >= 19
