@@ -1,9 +1,11 @@
 """Mixing and url filters: edge rows; the whole tables are compared in test_queries."""
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from layerloom.llm.bloom_cascade import build_cascade, judge_urls, key_hashes
-from layerloom.llm.mixing import mix
+from layerloom.llm.mixing import mix, mix_documents
 
 DOCS = "doc_id long, text string, source string, size long, target double"
 
@@ -33,6 +35,29 @@ def test_mix_of_nothing(spark):
     assert [r["taken"] for r in mix(spark.createDataFrame([(1, None, None, 1, 1.0)], DOCS)).collect()] == [0]
 
 
+def test_mixed_documents_are_whole_rows_near_their_targets(spark):
+    """Rows without id, repeated ids, equal rows, and columns that clash with every helper's name."""
+    rows = [(None, f"n{i} " * 10, "s0", i, 7, "x") for i in range(5000)]
+    rows += [(1, f"r{i} " * 3, "s1", i, 7, "x") for i in range(900)] + [(2, "same row here", "s2", 0, 7, "x")] * 3000
+    rows += [(i, "w " * (i % 9), "s1" if i % 2 else None, 0, 7, "x") for i in range(3, 600)] + [(5, None, "s0", 0, 7, None), (6, " ", "s3", 0, 7, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, row long, size int, `__size` string").withColumn("tell", F.lit(1)).withColumn("times", F.lit(2))
+    targets = {r["source"]: (r["source_size"], r["target"]) for r in mix(docs).select("source", "source_size", "target").distinct().collect()}
+    for range_rows in (1024, 16):
+        got = mix_documents(docs, range_rows=range_rows)
+        assert got.columns == docs.columns
+        got = [tuple(r) for r in got.collect()]
+        given, kept = Counter((*r, 1, 2) for r in rows), Counter(got)
+        for r, n in kept.items():
+            assert n <= 3 * given[r]
+        for source, (_, target) in targets.items():
+            words = [len((r[1] or "").split()) for r in got if r[2] == source]
+            longest = max((len((r[1] or "").split()) for r in rows if r[2] == source), default=0)
+            assert abs(sum(words) - target) <= longest / 2 + 1, (source, sum(words), target)
+        again = mix_documents(docs.repartition(5), range_rows=range_rows).collect()
+        assert sorted(map(repr, map(tuple, again))) == sorted(map(repr, got))
+    assert mix_documents(docs.limit(0)).collect() == []
+
+
 def test_cascade_is_exact_in_one_and_many_shards(spark):
     universe = spark.range(3000).select(F.concat(F.lit("k"), F.col("id")).alias("key"))
     universe = universe.unionByName(universe).unionByName(spark.createDataFrame([(None,)], "key string"))
