@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,6 +109,13 @@ def write_load(df: DataFrame, path: str, dt: str, name: str, fmt: str = "parquet
     return load
 
 
+def write_counted(df: DataFrame, path: str, dt: str, name: str, fmt: str = "parquet") -> tuple[Load, int]:
+    """``write_load``, and the rows that it wrote, counted on their way to the writer."""
+    seen = Observation(f"rows of {name}")
+    load = write_load(df.observe(seen, F.count(F.lit(1)).alias("row_count")), path, dt, name, fmt)
+    return load, int(seen.get.get("row_count", 0))
+
+
 def write_load_days(df: DataFrame, path: str, name: str, dts: Iterable[str | None]) -> list[Load]:
     """Write the rows as a load of the days that they have, given as ``dts``; not published yet.
 

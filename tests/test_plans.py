@@ -61,7 +61,7 @@ def test_run_metrics_are_stored(house, rows):
 
 def test_a_missing_source_partition_stops_the_run(spark, sources, house, monkeypatch):
     root = scratch_path(spark, "house")
-    monkeypatch.setattr(daily, "import_day", lambda *_: None)
+    monkeypatch.setattr(daily, "import_day", lambda *_: {})
     with pytest.raises(Exception):
         daily.run_day(spark, root, sources, DT, ETL)
     stored = daily.Warehouse(spark, root).run_metrics.read()
@@ -70,6 +70,20 @@ def test_a_missing_source_partition_stops_the_run(spark, sources, house, monkeyp
     assert runlog.lookup(stored, names=[runlog.FLOW_SUCCESS]).first().value == 0
 
 
+def test_counts_come_from_the_writers(spark, sources, monkeypatch):
+    """No raw file is read for them, and they equal the rows that readers see, also of an empty table."""
+    counted, real = [], daily.row_counts
+    monkeypatch.setattr(daily, "row_counts", lambda frames: counted.extend(f for df in frames.values() for f in df.inputFiles()) or real(frames))
+    some = dict(sources, o_order_detail=sources["o_order_detail"].limit(0))
+    root = scratch_path(spark, "house")
+    daily.run_day(spark, root, some, DT, ETL)
+    assert not [f for f in counted if "/ods/" in f]
+    house = daily.Warehouse(spark, root)
+    assert daily.import_day(house, some, DT) == {t: house.ods(t, [DT]).count() for t in some}
+    stored = {r["business"]: r["value"] for r in house.run_metrics.read().filter(F.col("metric") == runlog.SYNC_ROWS).collect()}
+    assert stored == {f"{runlog.SYNC_LABEL}_{t}": house.ods(t, [DT]).count() for t in some}
+
+
 def test_strict_counts(spark, sources, monkeypatch):
     more = dict(sources, u_user=sources["u_user"])
     real = daily.import_day
