@@ -133,6 +133,9 @@ class Automaton:
             for a, (_, count) in self.next[state].items():
                 self.overall[a] += count
         self.steps = sum(self.overall.values())
+        # if every step goes one deeper, only fitted lengths can end
+        deeper = all(self.depth[to] == self.depth[p] + 1 for p in self.states for to, _ in self.next[p].values())
+        self.lengths = {self.depth[p] for p in self.states if self.ends[p]} if deeper else None
         # where a symbol goes that a state has not seen: the way of its most frequent one
         self.usual = {p: self.next[p][max(sorted(self.next[p]), key=lambda a: self.next[p][a][1])][0] for p in self.states if self.next[p]}
 
@@ -244,6 +247,8 @@ class Automaton:
         A class's likelihood is shared by its characters. Steps are smoothed by the symbols of the whole automaton. ``own``
         is how often the value itself was counted; leaving it out makes scores of fitted values comparable to those of others.
         """
+        if self.lengths is not None and len(value) not in self.lengths:
+            return -math.inf
         at, total = 0, 0.0
         word = symbols(value)
         mine = Counter(word) if own else Counter()
