@@ -77,6 +77,15 @@ def change_log_schema(spec: TableSpec) -> T.StructType:
     return T.StructType(declared + [T.StructField(n, T.DataType.fromDDL(t)) for n, t in marks])
 
 
+def parse_spread(raw: DataFrame) -> DataFrame:
+    """``parse_events`` over evenly dealt messages, persisted for the tables that take rows of them.
+
+    Parsed rows are many times the size of the messages as stored, and one stored file or topic partition can hold a
+    whole batch. Dealing out the texts first keeps that from being one parsed block, read whole by one task of each table.
+    """
+    return parse_events(raw.hint("rebalance")).persist()
+
+
 def with_position(raw: DataFrame) -> DataFrame:
     """Source position columns, NULL where the source has none."""
     missing = {n: F.lit(None).cast(t) for n, t in _POSITION if n not in raw.columns}
@@ -192,7 +201,7 @@ def apply_batch(raw: DataFrame, job: CdcJob, load: str) -> None:
     Also takes a bounded read of the topic; ``load`` then names that read.
     """
     spark = raw.sparkSession
-    parsed = parse_events(with_position(raw)).persist()
+    parsed = parse_spread(with_position(raw))
     try:
         _keep_bad(bad_events(parsed), job.bad_path, load)
 
@@ -240,7 +249,7 @@ def start_configured(
     by_target = {config.target: config for config in configs}
 
     def apply(batch: DataFrame, load: str) -> None:
-        parsed = parse_events(batch).persist()
+        parsed = parse_spread(batch)
         try:
             _keep_bad(bad_events(parsed), f"{root}/bad_events", load)
 
@@ -261,7 +270,7 @@ def start_append(
     """Only append one table's changes, by load, and keep bad events under ``path`` + ``_bad``."""
 
     def apply(batch: DataFrame, load: str) -> None:
-        parsed = parse_events(batch).persist()
+        parsed = parse_spread(batch)
         try:
             _keep_bad(bad_events(parsed), f"{path}_bad", load)
             rows = flatten_table(parsed, spec, **options).withColumn("load", F.lit(load))
