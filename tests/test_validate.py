@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerloom.operators import quality, rollup
-from layerloom.plans.validate import faults, validate
+from layerloom.plans.validate import _checks, _facts, _findings, faults, validate
 from layerloom.schemas import SOURCE_TABLES
 from layerloom.session import scratch_path
 
@@ -90,3 +90,17 @@ def test_each_table_is_scanned_at_most_twice(spark):
     assert sum(scans) == len(re.findall("FileScan", plan)) and max(scans) <= 2 and scans[2:] == [1, 1]
     assert got(stored) == plain(stored)
     assert validate({}, stored).filter(F.col("findings") < 0).isEmpty()
+
+
+def test_foreign_keys_of_many_days_meet_in_one_row(spark):
+    """What children say about a parent has no day; a parent's own rows keep theirs, so repeats are counted by day."""
+    tables = {
+        "o_order": spark.createDataFrame([(1, "d1"), (1, "d1"), (1, "d2"), (1, None), (1, None)], "order_id int, dt string"),
+        "o_order_detail": spark.createDataFrame([(i, i % 2 + 1, f"d{i}") for i in range(6)], "detail_id int, order_id int, dt string"),
+    }
+    checks, _ = _checks(tables)
+    own = [c for c in checks if c.keys_of == "o_order"]
+    facts = _facts("o_order_detail", tables, own, {})
+    assert facts.filter("keys_of = 'o_order'").select("key", "dt").distinct().count() == 2
+    found = {(r.check_name, r.table_name): r.findings for r in _findings({n: f.select("*", *[F.lit(1).cast(t).alias(c) for c, t in SOURCE_TABLES[n].columns if c not in f.columns]) for n, f in tables.items()}).collect()}
+    assert found["repeated_key", "o_order"] == 2 and found["orphan", "o_order_detail"] == 3
