@@ -35,6 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -49,7 +50,8 @@ EXACT = 1000
 BLOCK_TOKENS = 750_000
 SLICE_TOKENS = 1_500_000
 ROWS = 50_000
-CACHED_WORDS = 200_000
+TEXTS = 1_000
+CELLS = 200_000
 SEED = 7
 END = xxhash.xxh64_intdigest(b"")
 START_CONTEXT = 0  # sorts before all hashes
@@ -62,11 +64,31 @@ class TokenHashes(dict):
         return h
 
 
+def batch_hashes(texts: pa.Array) -> list[np.ndarray]:
+    """Hashes of the tokens of each text, A-Z in lower case, the end last. Every distinct spelling of the texts is hashed once."""
+    # the bytes start anew, and A-Z are lowered in the distinct words: Arrow's own lowering takes other bytes where texts are a slice
+    lists = pc.ascii_split_whitespace(pc.fill_null(pa.concat_arrays([texts.slice(0, 0), texts]).cast(pa.large_string()), ""))
+    parts = lists.flatten().dictionary_encode()
+    _, cuts, data = parts.dictionary.buffers()
+    at, data = np.frombuffer(cuts, np.int64, len(parts.dictionary) + 1).tolist() if cuts else [0], data.to_pybytes().lower() if data else b""
+    known = np.fromiter((xxhash.xxh64_intdigest(data[i:j]) for i, j in zip(at, at[1:], strict=False)), U64, len(parts.dictionary))
+    places = parts.indices.to_numpy()
+    sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    words = (np.diff(at) > 0)[places]  # white space at an end of a text gives an empty part there, which is no word
+    if not words.all():
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[words], minlength=len(sizes))
+        places = places[words]
+    ends = np.cumsum(sizes + 1)
+    out = np.full(len(places) + len(sizes), END, U64)
+    inner = np.ones(len(out), bool)
+    inner[ends - 1] = False
+    out[inner] = known[places]
+    return [out[i:j] for i, j in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+
+
 def token_hashes(text: str | None, hashes: TokenHashes) -> np.ndarray:
-    """Hashes of the tokens of a whole text, A-Z in lower case, the end last."""
+    """``batch_hashes`` of one text, word by word."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if len(hashes) > CACHED_WORDS:
-        hashes.clear()
     out = np.empty(len(words) + 1, U64)
     out[:-1] = np.fromiter(map(hashes.__getitem__, words), U64, len(words))
     out[-1] = END
@@ -96,9 +118,10 @@ class Draws:
         self.keys = keys ^ U64(xxhash.xxh64_intdigest(f"{SEED}:{at}"))
         self.rng = np.random.default_rng((SEED, at, int(np.bitwise_xor.reduce(keys)) if len(keys) else 0))  # of batches
 
-    def gumbel(self, rows: np.ndarray, n: int) -> np.ndarray:
+    def gumbel(self, rows: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The ``j``-th number (from 0) of each row."""
         with np.errstate(over="ignore"):
-            z = self.keys[rows][:, None] + np.arange(1, n + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)
+            z = self.keys[rows] + (j + 1).astype(U64) * U64(0x9E3779B97F4A7C15)
             z = (z ^ z >> U64(30)) * U64(0xBF58476D1CE4E5B9)
             z = (z ^ z >> U64(27)) * U64(0x94D049BB133111EB)
         return -np.log(-np.log(((z ^ z >> U64(31)) >> U64(11)).astype(float) * 2.0**-53 + 2.0**-54))
@@ -109,17 +132,21 @@ def sample_tables(count, others, base, discount: float, strength: float, stirlin
 
     ``base`` is a probability for each dish, or ``f(places, j)`` for the table after ``j`` tables of its own.
     """
-    chance = base if callable(base) else lambda at, j: base[at].reshape(-1, *[1] * (j.ndim - 1)) + 0.0 * j
+    chance = base if callable(base) else lambda at, j: base[at]
     tables = np.minimum(count, 1).astype(np.int64)
-    for c in np.unique(count[(count > 1) & (count <= EXACT)]).tolist():
-        at = np.flatnonzero(count == c)
-        for i in range(0, len(at), 200_000 // c + 1):
-            part = at[i : i + 200_000 // c + 1]
-            j = np.broadcast_to(np.arange(c), (len(part), c))
-            steps = np.log(strength + discount * (others[part, None] + j)) + np.log(chance(part, j))
-            weight = np.cumsum(steps, axis=1) + stirling[c, 1 : c + 1]
-            weight += draws.gumbel(part, c)
-            tables[part] = weight.argmax(axis=1) + 1
+    some = np.flatnonzero((count > 1) & (count <= EXACT))
+    cells = np.cumsum(count[some])
+    # numbers of tables of all dishes stand in one row of cells, dish by dish
+    for part in np.split(some, np.searchsorted(cells, np.arange(CELLS, cells[-1], CELLS)) if len(some) else []):
+        size = count[part].astype(np.int64)
+        begin = np.cumsum(size) - size
+        at = np.repeat(part, size)
+        j = np.arange(len(at)) - np.repeat(begin, size)
+        steps = np.log((strength + discount * (others[at] + j)) * chance(at, j))
+        so_far = np.cumsum(steps)
+        weight = so_far - np.repeat(so_far[begin] - steps[begin], size) + stirling[np.repeat(size, size), j + 1] + draws.gumbel(at, j)
+        best = np.flatnonzero(weight == np.repeat(np.maximum.reduceat(weight, begin), size)) if len(at) else begin
+        tables[at[best]] = j[best] + 1
     many = np.flatnonzero(count > EXACT)
     seated = 1
     while len(many):
@@ -148,9 +175,8 @@ def own_parent(tables, customers, top, sums: Sums):
     rest = customers - tables
 
     def chance(at, j):
-        shape = (-1, *[1] * (j.ndim - 1))
-        served = rest[at].reshape(shape) + j
-        return (served - high * np.minimum(top[at].reshape(shape), served) + new) / (STRENGTH + sums.tables - tables[at].reshape(shape) + j)
+        served = rest[at] + j
+        return (served - high * np.minimum(top[at], served) + new) / (STRENGTH + sums.tables - tables[at] + j)
 
     return chance
 
@@ -174,6 +200,15 @@ def numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, size).T).view(f"<u{width}").reshape(-1).astype(np.int64)
 
 
+def packed_hashes(ordered: np.ndarray) -> bytes:
+    """Sorted hashes as packed differences, whose upper bytes are mostly 0."""
+    return packed_numbers(np.diff(ordered, prepend=U64(0)))
+
+
+def hashes(data: bytes) -> np.ndarray:
+    return np.cumsum(numbers(data).view(U64), dtype=U64)
+
+
 def pair_hash(word: np.ndarray, context: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         h = word * U64(0x9E3779B97F4A7C15) ^ (context << U64(31) | context >> U64(33)) * U64(0xC2B2AE3D27D4EB4F)
@@ -181,6 +216,25 @@ def pair_hash(word: np.ndarray, context: np.ndarray) -> np.ndarray:
         return h ^ h >> U64(32)
 
 
+def sorted_order(h: np.ndarray) -> np.ndarray:
+    """The stable order of hashes, by one plain sort of their upper bits with their places in the lower ones.
+
+    Where the upper bits do not tell hashes apart, their own order is taken.
+    """
+    bits = U64(len(h).bit_length())
+    places = (U64(1) << bits) - U64(1)
+    order = (np.sort((h & ~places) | np.arange(len(h), dtype=U64)) & places).astype(np.int64)
+    found = h[order]
+    return order if (found[1:] >= found[:-1]).all() else np.argsort(h, kind="stable")
+
+
+def distinct(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted numbers: where each distinct one begins, and the number of each entry among them."""
+    first = np.ones(len(ordered), bool)
+    first[1:] = ordered[1:] != ordered[:-1]
+    return np.flatnonzero(first), np.cumsum(first) - 1
+
+
 def slice_of(h: np.ndarray, slices: int) -> np.ndarray:
     """Equal ranges of hashes, numbered in their order."""
     return ((h >> U64(32)) * U64(slices) >> U64(32)).astype(np.int64)
@@ -194,27 +248,37 @@ def _slices(h: np.ndarray, slices: int) -> Iterator[tuple[int, int, int]]:
 
 
 def pack_block(tokens: list[np.ndarray], flags: list[int]) -> dict[str, bytes]:
-    """``a`` sorted hashes of distinct words, ``b`` tokens as places among them, ``c`` tokens per text, ``d`` held out or not."""
-    words, place = np.unique(np.concatenate([np.array([START_CONTEXT], U64), *tokens]), return_inverse=True)
+    """``a`` sorted hashes of distinct words as packed differences, ``b`` tokens as places among them, ``c`` tokens per text, ``d`` held out or not."""
+    found = pa.array(np.concatenate([np.array([START_CONTEXT], U64), *tokens])).dictionary_encode()
+    words = found.dictionary.to_numpy()
+    order = sorted_order(words)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    words, place = words[order], rank[found.indices.to_numpy()]
     sizes = np.array([len(t) for t in tokens])
-    return {"a": words.tobytes(), "b": packed_numbers(place[1:]), "c": packed_numbers(sizes), "d": packed_numbers(np.array(flags))}
+    return {"a": packed_hashes(words), "b": packed_numbers(place[1:]), "c": packed_numbers(sizes), "d": packed_numbers(np.array(flags))}
 
 
 class Block:
     """The pairs of a packed block, sorted by hash: places of word and context, training tokens; and the pair of each token."""
 
     def __init__(self, a: bytes, b: bytes, c: bytes, d: bytes):
-        self.words, place, self.sizes, self.held = np.frombuffer(a, U64), numbers(b), numbers(c), numbers(d)
+        self.words, place, self.sizes, self.held = hashes(a), numbers(b), numbers(c), numbers(d)
         before = np.concatenate(([0], place[:-1]))
         before[np.cumsum(self.sizes) - self.sizes] = 0  # the start, whose hash is least
-        pair, where = np.unique(place * len(self.words) + before, return_inverse=True)
-        hashes = pair_hash(self.words[pair // len(self.words)], self.words[pair % len(self.words)])
-        order = np.argsort(hashes)
-        self.hash, pair = hashes[order], pair[order]
-        self.word, self.context = pair // len(self.words), pair % len(self.words)
+        bits = len(self.words).bit_length()
+        pairs = place << bits | before
+        by_pair = sorted_order(pairs.astype(U64) << U64(64 - 2 * bits))
+        first, number = distinct(pairs[by_pair])
+        pair = pairs[by_pair[first]]
+        word, context = pair >> bits, pair & (1 << bits) - 1
+        hashed = pair_hash(self.words[word], self.words[context])
+        order = sorted_order(hashed)
+        self.hash, self.word, self.context = hashed[order], word[order], context[order]
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        self.pair = rank[where]
+        self.pair = np.empty(len(place), np.int64)
+        self.pair[by_pair] = rank[number]
 
     def train(self) -> np.ndarray:
         return np.bincount(self.pair, np.repeat(1 - self.held, self.sizes), len(self.hash)).astype(np.int64)
@@ -236,13 +300,12 @@ def _rows(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
 
 def _packer(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = TokenHashes()
         block = TaskContext.get().partitionId() << 32
         tokens, flags, ids, total = [], [], [], 0
         for batch in batches:
-            columns = (batch[c].to_pylist() for c in ("doc_id", "text", "held"))
-            for doc_id, text, flag in zip(*columns, strict=True):
-                tokens.append(token_hashes(text, hashes))
+            texts = (found for i in range(0, len(batch), TEXTS) for found in batch_hashes(batch["text"].slice(i, TEXTS)))
+            for doc_id, found, flag in zip(batch["doc_id"].to_pylist(), texts, batch["held"].to_pylist(), strict=True):
+                tokens.append(found)
                 ids.append(doc_id)
                 flags.append(int(flag))
                 total += len(tokens[-1])
@@ -298,7 +361,7 @@ def ask(packed: DataFrame, slices: int, kind: str) -> DataFrame:
                     block = Block(row["a"], row["b"], row["c"], row["d"])
                     keys, counts = block.hash, block.train()
                 else:
-                    keys = np.frombuffer(row["a"], U64)
+                    keys = hashes(row["a"])
                 rows = [
                     {"slice": s, "block": row["block"], "keys": keys[i:j].tobytes(), "counts": None if counts is None else packed_numbers(counts[i:j])}
                     for s, i, j in _slices(keys, slices)
@@ -322,10 +385,11 @@ def pair_totals(asked: DataFrame) -> DataFrame:
 
     def total(table: pa.Table) -> pa.Table:
         rows, keys, cuts = _keys(table)
-        _, first, place = np.unique(keys, return_index=True, return_inverse=True)
-        sums = np.bincount(place, np.concatenate([numbers(r["counts"]) for r in rows]))[place].astype(np.int64)
-        own = np.zeros(len(keys), bool)
-        own[first] = True
+        order = sorted_order(keys)  # stable: the first entry of a pair is that of the least block
+        first, number = distinct(keys[order])
+        sums, own = np.empty(len(keys), np.int64), np.zeros(len(keys), bool)
+        sums[order] = np.bincount(number, np.concatenate([numbers(r["counts"]) for r in rows])[order])[number].astype(np.int64)
+        own[order[first]] = True
         out = [
             {"block": r["block"], "part": TOTALS, "slice": r["slice"], "a": packed_numbers(sums[i:j]), "b": np.packbits(own[i:j]).tobytes()}
             for r, i, j in zip(rows, cuts, cuts[1:], strict=False)
@@ -342,7 +406,7 @@ def look_up(asked: DataFrame, table: DataFrame, part: int, columns: list[str]) -
     def find(wanted: pa.Table, known: pa.Table) -> pa.Table:
         rows, keys, cuts = _keys(wanted)
         h = known["h"].to_numpy().view(U64)
-        order = np.argsort(h)
+        order = sorted_order(h)
         h = h[order]
         at = np.minimum(np.searchsorted(h, keys), max(len(h) - 1, 0))
         hit = h[at] == keys if len(h) else np.zeros(len(keys), bool)
@@ -400,7 +464,7 @@ def block_facts(packed: DataFrame, totals: DataFrame) -> DataFrame:
         out = [
             {"kind": "state", "a": block.words[block.word[mine]].tobytes(), "b": block.words[block.context[mine]].tobytes(), "c": packed_numbers(total[mine])},
             {"kind": "lexicon", "a": block.words[used].tobytes()} | {k: packed_numbers(c[used]) for k, c in zip("bcde", columns, strict=True)},
-            {"kind": "asks", "a": block.hash[several].tobytes()},
+            {"kind": "asks", "a": packed_hashes(block.hash[several])},
             {"kind": "totals", "a": packed_numbers(total)},
         ]
         return pa.Table.from_batches([_rows(schema, [r | {"block": row["block"]} for r in out])])

@@ -302,3 +302,42 @@ def test_numbers_come_back():
     assert P.numbers(P.packed_numbers(np.zeros(0, int))).tolist() == []
     frames = [np.arange(5), np.zeros(0, int), np.array([1 << 20])]
     assert [x.tolist() for x in P._unframed(b"".join(map(P._framed, frames)))] == [f.tolist() for f in frames]
+
+
+def test_words_of_a_batch_are_hashed_once(monkeypatch):
+    texts = [None, "", " ", "A b a B", "\tÉ é\x0b x\n", "one " + "two three " * 50, " end\r\f", "a\x1cb c d"] * 20
+    plain = [P.token_hashes(t, P.TokenHashes()) for t in texts]
+    asked, real = [], P.xxhash.xxh64_intdigest
+    monkeypatch.setattr(P, "CACHED_WORDS", 2, raising=False)
+    monkeypatch.setattr(P.xxhash, "xxh64_intdigest", lambda word: asked.append(word) or real(word))
+    monkeypatch.setattr(P, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": lambda self: 0})())}))
+    schema = P.pa.schema([("block", P.pa.int64()), ("doc_ids", P.pa.list_(P.pa.int64())), *((c, P.pa.binary()) for c in "abcd")])
+    batch = P.pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts, "held": [False] * len(texts)})
+    (block,) = (r for b in P._packer(schema)(iter([batch.slice(0, 0), batch])) for r in b.to_pylist())
+    spellings = {w for t in texts for w in (t or "").encode().split()}
+    assert len(asked) <= len(spellings) + 1 and {*asked} - {b""} == {w.lower() for w in spellings}
+    for n in (0, 3, 7, 100):  # slices of a column
+        assert [x.tolist() for x in P.batch_hashes(batch["text"].slice(n, 40))] == [x.tolist() for x in plain[n : n + 40]]
+    made = P.Block(block["a"], block["b"], block["c"], block["d"])
+    assert made.sizes.tolist() == [len(t) for t in plain]
+    flat = np.concatenate(plain)
+    assert (made.words[made.word][made.pair] == flat).all()
+    assert (made.hash[:-1] <= made.hash[1:]).all() and (made.hash == P.pair_hash(made.words[made.word], made.words[made.context])).all()
+
+
+def test_orders_where_upper_bits_do_not_tell_hashes_apart():
+    rng = np.random.default_rng(3)
+    for h in (rng.integers(0, 9, 500, dtype=np.uint64), rng.integers(0, 2**64, 5000, dtype=np.uint64), np.array([], np.uint64), np.repeat(rng.integers(0, 2**64, 50, dtype=np.uint64), 7)):
+        order = P.sorted_order(h)
+        assert (order == np.argsort(h, kind="stable")).all()
+        first, number = P.distinct(h[order])
+        assert (h[order][first] == np.unique(h)).all() and (h[order][first][number] == h[order]).all()
+
+
+def test_words_of_a_block_take_less_than_their_hashes():
+    rng = np.random.default_rng(5)
+    words = rng.integers(1, 2**64, 100_000, dtype=np.uint64)
+    row = P.pack_block([words], [0])
+    assert len(row["a"]) < 7 * len(words)
+    for h in (np.sort(words), np.array([], np.uint64), np.array([0, 0, 2**64 - 1], np.uint64)):
+        assert (P.hashes(P.packed_hashes(h)) == h).all()
