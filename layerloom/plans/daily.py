@@ -80,18 +80,27 @@ class Warehouse:
         rows of one load stay as they are, and so do rows without a key.
         """
         path, wanted = self.ods_path(table), lambda name: re.match(IMPORTED, name) is not None
-        rows = loads.read_loads(self.spark, path, _raw_schema(table), dts, wanted)
-        per_day = Counter(load.dt for load in loads.published(self.spark, path, dts) if wanted(load.name))
+
+        def read(days: list[str] | None, named: Callable[[str], bool]) -> DataFrame:
+            return loads.read_loads(self.spark, path, _raw_schema(table), days, lambda name: wanted(name) and named(name))
+
+        found = [load for load in loads.published(self.spark, path, dts) if wanted(load.name)]
+        per_day = Counter(load.dt for load in found)
         mixed = sorted(day for day, n in per_day.items() if n > 1)
         if not mixed:
-            return rows.drop("load")
-        key = F.col(SOURCE_TABLES[table].key)
-        several = F.col("dt").isin(mixed) & key.isNotNull()
-        age = F.regexp_replace("load", "^full$", "")  # windows are named after their start
-        ranked = rows.filter(several).withColumn("age", age)
-        newest = F.max("age").over(Window.partitionBy("dt", SOURCE_TABLES[table].key))
-        kept = ranked.withColumn("newest", newest).filter("age = newest").drop("age", "newest")
-        return rows.filter(~several).unionByName(kept).drop("load")
+            return read(dts, lambda name: True).drop("load")
+        key = SOURCE_TABLES[table].key
+        # windows, which are named after their start, are ranked among themselves; snapshots only lose the keys that windows have
+        windows = read(mixed, lambda name: name != "full")
+        if max(Counter(load.dt for load in found if load.name != "full").values()) > 1:
+            newest = F.max("load").over(Window.partitionBy("dt", key))
+            windows = windows.withColumn("newest", newest).filter(F.col(key).isNull() | (F.col("load") == F.col("newest"))).drop("newest")
+        snapshots = read(mixed, lambda name: name == "full").drop("load")
+        kept = snapshots.join(windows.select("dt", key), ["dt", key], "left_anti").select(*snapshots.columns)
+        rows = kept.unionByName(windows.drop("load"))
+        if alone := [day for day, n in per_day.items() if n == 1]:
+            rows = rows.unionByName(read(alone, lambda name: True).drop("load"))
+        return rows
 
     def publish(self, path: str, dts: list[str], schema: T.StructType, fmt: str = "parquet") -> None:
         """Mark days of a table finished; with a catalog, register the table and the days."""

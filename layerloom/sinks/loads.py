@@ -88,7 +88,8 @@ def read_loads(
         return spark.createDataFrame([], schema)
     stored = T.StructType([*schema.fields, T.StructField("from_load", T.StringType())])
     rows = spark.read.format(fmt).schema(stored).option("basePath", path).load([f"{path}/{load.folder}" for load in loads])
-    name = F.coalesce("from_load", F.regexp_extract("load", "^(.*)@[0-9]+$", 1))
+    number = F.length(F.substring_index("load", "@", -1))
+    name = F.coalesce("from_load", F.left("load", F.length("load") - number - 1))
     rows = rows.withColumn("load", name)
     folded = [n for load in loads if load.name == COMPACT for n in _covered(spark, path, load)]
     if unwanted := sorted({n for n in folded if not wanted(n)}):

@@ -163,3 +163,24 @@ def test_catalog_partitions_are_published_loads(spark):
     assert listed == {x.folder for x in loads.published(spark, house.ods_path("o_order"))}
     assert {r["order_id"] for r in spark.table("gated.ods_o_order").collect()} == {1, 2, 4}
     spark.sql("drop table gated.ods_o_order")
+
+
+def test_only_windows_are_ranked(spark, tmp_path):
+    """A snapshot of a day loses the keys that windows have; it is not sorted by key, and no row's load name is parsed."""
+    house = daily.Warehouse(spark, str(tmp_path))
+    path = house.ods_path("o_order")
+    schema = "order_id int, total_amount decimal(10,2)"
+
+    def put(name, *rows):
+        made = [(i, Decimal(a)) for i, a in rows]
+        load = loads.write_load(spark.createDataFrame(made, schema), path, D1, name)
+        loads.publish(spark, path, [load], everywhere=False)
+
+    put("full", (1, "1"), (1, "2"), (2, "3"), (3, "4"), (None, "5"))
+    put("since_1", (2, "10"), (2, "11"), (3, "12"), (None, "13"))
+    rows = lambda: sorted((str(r["order_id"]), int(r["total_amount"])) for r in house.ods("o_order", [D1]).collect())
+    assert rows() == [("1", 1), ("1", 2), ("2", 10), ("2", 11), ("3", 12), ("None", 5), ("None", 13)]
+    text = house.ods("o_order", [D1])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in text and "regexp" not in text
+    put("since_2", (3, "20"), (3, "21"), (4, "22"), (None, "23"))
+    assert rows() == [("1", 1), ("1", 2), ("2", 10), ("2", 11), ("3", 20), ("3", 21), ("4", 22), ("None", 5), ("None", 13), ("None", 23)]
